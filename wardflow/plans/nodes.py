@@ -147,6 +147,60 @@ def department_dashboard(encounters: DataFrame) -> DataFrame:
     )
 
 
+def department_partials(encounters: DataFrame, by: tuple[str, ...] = ("bucket", "department")) -> DataFrame:
+    """The additive measures of the dashboard per storage bucket, free of the current day.
+
+    Encounters are stored by patient, so patients counted per bucket add up over buckets.
+    """
+    type_, open_ = F.col("encounter_type"), F.col("discharge_date").isNull()
+    stay = day_boundaries(F.col("admit_date"), F.col("discharge_date")).cast("bigint")
+    admit_day = F.unix_date("admit_date").cast("bigint")
+    return encounters.groupBy(*by).agg(
+        F.count_distinct("pat_id").alias("unique_patients"),
+        F.count_if(type_ == "Inpatient").alias("inpatient_count"),
+        F.count_if(type_ == "Emergency").alias("ed_count"),
+        F.sum(stay).alias("closed_days"),
+        F.count(stay).alias("closed_stays"),
+        F.sum(F.when(open_, admit_day)).alias("open_admit_days"),
+        F.count(F.when(open_, admit_day)).alias("open_stays"),
+        F.sum("total_charges").alias("charges"),
+        F.count("total_charges").alias("charged"),
+    )
+
+
+def department_encounter_counts(encounters: DataFrame, by: tuple[str, ...] = ("bucket", "department")) -> DataFrame:
+    """Distinct encounters per department over a copy stored by encounter id, so the counts add up over buckets."""
+    return encounters.groupBy(*by).agg(F.count_distinct("encounter_id").alias("encounter_count"))
+
+
+def department_dashboard_stored(partials: DataFrame, encounter_counts: DataFrame) -> DataFrame:
+    """The dashboard from its partial rows (one per bucket and department)."""
+    added = ["unique_patients", "inpatient_count", "ed_count", "closed_days", "closed_stays"]
+    added += ["open_admit_days", "open_stays", "charged"]
+    totals = partials.groupBy("department").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in added],
+        F.sum("charges").cast("decimal(22,2)").alias("total_charges"),
+    )
+    counts = encounter_counts.groupBy(F.col("department").alias("_department")).agg(
+        F.sum("encounter_count").alias("encounter_count")
+    )
+    return totals.join(counts, F.col("department").eqNullSafe(F.col("_department"))).drop("_department")
+
+
+def department_dashboard_view(stored: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Averages worked out for a given day; open stays reach up to it."""
+    open_days = F.col("open_stays") * F.unix_date(as_date(as_of)) - F.col("open_admit_days")
+    stays = F.col("closed_stays") + F.col("open_stays")
+    avg_los = F.when(stays > 0, (F.col("closed_days") + open_days).cast("double") / stays)
+    avg_charges = F.when(F.col("charged") > 0, F.col("total_charges") / F.col("charged").cast("decimal(15,0)"))
+    return stored.select(
+        *["department", "encounter_count", "unique_patients", "inpatient_count", "ed_count"],
+        avg_los.alias("avg_los"),
+        "total_charges",
+        avg_charges.cast("decimal(16,6)").alias("avg_charges"),
+    )
+
+
 def abnormal_results(labs: DataFrame, encounters: DataFrame, patients: DataFrame) -> DataFrame:
     """Abnormal lab results with patient name, department and provider; normal rows are dropped before the joins."""
     e = encounters.select(F.col("encounter_id").alias("_encounter_id"), "department", "attending_provider")
