@@ -62,8 +62,9 @@ def with_validation(df: DataFrame, rules: Sequence[Rule] = VENDOR_LAB_RULES) ->
 
 def reason_counts(df: DataFrame, reasons: str = "rejection_reasons") -> DataFrame:
     """How often each kind of reason occurs; the offending value is cut off so that kinds fall together."""
-    kind = F.split_part(F.explode(reasons), F.lit(":"), F.lit(1))
-    return df.select(kind.alias("reason")).groupBy("reason").agg(F.count("*").alias("n_rows"))
+    kind = F.split_part(F.col("reason"), F.lit(":"), F.lit(1))
+    each = df.select(F.explode(reasons).alias("reason"))
+    return each.groupBy(kind.alias("reason")).agg(F.count("*").alias("n_rows"))
 
 
 def quarantine_report(df: DataFrame) -> DataFrame:

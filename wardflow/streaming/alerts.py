@@ -20,10 +20,9 @@ def error_alerts(log: DataFrame, minutes: int = 5, late: str = "10 minutes") ->
     Works on a stream and on a batch frame. Only the count per open window is kept as state.
     """
     errors = log.where(F.col("log_level") == "ERROR")
-    if log.isStreaming:
-        errors = errors.withWatermark("logged_at", late)
     return (
-        errors.groupBy(F.window("logged_at", f"{minutes} minutes").alias("w"))
+        _timed(errors, late)
+        .groupBy(F.window("event_time", f"{minutes} minutes").alias("w"))
         .agg(F.count("*").alias("error_count"), F.max("logged_at").alias("last_error"))
         .select(
             F.col("w.start").cast("timestamp_ntz").alias("window_start"),
@@ -34,11 +33,17 @@ def error_alerts(log: DataFrame, minutes: int = 5, late: str = "10 minutes") ->
     )
 
 
+def _timed(log: DataFrame, late: str) -> DataFrame:
+    """The log with an event time for watermarks, which take zoned timestamps only (the session runs in UTC)."""
+    log = log.withColumn("event_time", F.col("logged_at").cast("timestamp"))
+    return log.withWatermark("event_time", late) if log.isStreaming else log
+
+
 def run_summary_stream(log: DataFrame, late: str = "1 hour") -> DataFrame:
     """The hourly run summary as a stream that reports each hour once it is closed."""
-    hour = F.window("logged_at", "1 hour").alias("w")
+    hour = F.window("event_time", "1 hour").alias("w")
     return (
-        log.withWatermark("logged_at", late)
+        _timed(log, late)
         .groupBy(hour, "step_name", "log_level")
         .agg(
             F.count("*").alias("event_count"),
