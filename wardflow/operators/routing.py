@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.operators.runlog import RunLog, make_run_id
 from wardflow.operators.validation import VENDOR_LAB_RULES, Drift, Rule, align, detect_drift, with_validation
-from wardflow.sources.schemas import VENDOR_LAB
+from wardflow.sources.schemas import BATCH, VENDOR_LAB
+from wardflow.sources.tables import rows_frame
 
 ACCEPTED, QUARANTINED = "accepted", "quarantined"
 STEP = "PROCESS_VENDOR_BATCH"
@@ -55,16 +58,14 @@ def route_batch(
     drift = detect_drift(df, schema)
     folder = f"{base}/batch_id={batch_id}"
     if mode == "skip":
-        done = processed_counts(df.sparkSession, base, batch_id)
+        done = batches(df.sparkSession, base).where((F.col("batch_id") == batch_id) & (F.col("state") == "ROUTED")).first()
         if done is not None:
-            return BatchResult(batch_id, "SKIPPED", *done, drift)
+            return BatchResult(batch_id, "SKIPPED", done[ACCEPTED], done[QUARANTINED], drift)
     seen = Observation()
     checked = with_validation(align(df, schema), rules)
     valid = F.col("is_valid")
     (
-        checked.observe(
-            seen, F.count_if(valid).alias(ACCEPTED), F.count_if(~valid).alias(QUARANTINED)
-        )
+        checked.observe(seen, F.count_if(valid).alias(ACCEPTED), F.count_if(~valid).alias(QUARANTINED))
         .withColumn("status", F.when(valid, ACCEPTED).otherwise(QUARANTINED))
         .drop("is_valid")
         .write.mode("overwrite")
@@ -72,6 +73,7 @@ def route_batch(
         .parquet(folder)
     )
     counts = seen.get
+    _record(df.sparkSession, base, batch_id, "ROUTED", counts[ACCEPTED], counts[QUARANTINED])
     return BatchResult(batch_id, "ROUTED", counts[ACCEPTED], counts[QUARANTINED], drift)
 
 
@@ -79,6 +81,7 @@ def delete_batch(spark: SparkSession, base: str, batch_id: str, schema: T.Struct
     """Remove the rows of one batch by replacing its folder with an empty one."""
     empty = spark.createDataFrame([], _routed_schema(schema).add("status", "string"))
     empty.write.mode("overwrite").partitionBy("status").parquet(f"{base}/batch_id={batch_id}")
+    _record(spark, base, batch_id, "DELETED", 0, 0)
 
 
 def routed(spark: SparkSession, base: str, schema: T.StructType = VENDOR_LAB) -> DataFrame:
@@ -95,21 +98,20 @@ def quarantined(spark: SparkSession, base: str, schema: T.StructType = VENDOR_LA
     return routed(spark, base, schema).where(F.col("status") == QUARANTINED).drop("status")
 
 
-def processed_counts(spark: SparkSession, base: str, batch_id: str) -> tuple[int, int] | None:
-    """Counts of a batch that was written completely, None where it was not."""
-    done = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS")
+def batches(spark: SparkSession, base: str) -> DataFrame:
+    """Every batch with its last state and counts, from the list kept next to the data."""
     try:
-        if done.load(f"{base}/batch_id={batch_id}/_SUCCESS").isEmpty():
-            return None
-    except Exception as exc:  # the folder does not exist yet
-        if "PATH_NOT_FOUND" in str(exc):
-            return None
-        raise
-    rows = spark.read.schema("status string").parquet(f"{base}/batch_id={batch_id}")
-    row = rows.agg(
-        F.count_if(F.col("status") == ACCEPTED), F.count_if(F.col("status") == QUARANTINED)
-    ).first()
-    return row[0], row[1]
+        rows = spark.read.schema(BATCH).parquet(f"{base}/_batches")
+    except AnalysisException:  # nothing was routed yet
+        rows = spark.createDataFrame([], BATCH)
+    last = F.max_by(F.struct("state", ACCEPTED, QUARANTINED), "at").alias("last")
+    return rows.groupBy("batch_id").agg(last).select("batch_id", "last.*")
+
+
+def _record(spark: SparkSession, base: str, batch_id: str, state: str, accepted: int, quarantined: int) -> None:
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    row = rows_frame(spark, [(batch_id, state, accepted, quarantined, now)], BATCH)
+    row.coalesce(1).write.mode("append").parquet(f"{base}/_batches")
 
 
 def _routed_schema(schema: T.StructType) -> T.StructType:

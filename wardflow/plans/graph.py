@@ -91,6 +91,13 @@ class Graph:
             done.update((n.name, n) for n in ready)
         return list(done.values())
 
+    def levels(self) -> list[list[Node]]:
+        """Nodes in groups: those of a group read only sources and earlier groups."""
+        depth: dict[str, int] = {}
+        for node in self.nodes.values():
+            depth[node.name] = 1 + max((depth.get(i, 0) for i in node.inputs), default=0)
+        return [[n for n in self.nodes.values() if depth[n.name] == d] for d in sorted(set(depth.values()))]
+
     def lag_of(self, name: str) -> str:
         """The lag in force: a DOWNSTREAM node follows its tightest reader."""
         node = self.nodes[name]

@@ -117,6 +117,10 @@ VENDOR_LAB = _struct(
     },
 )
 
+BATCH = _struct(
+    "batch_id state", {"accepted": T.LongType(), "quarantined": T.LongType(), "at": _TS}
+)
+
 ROLE_ACCESS = _struct("role_name", {"department": _S})
 
 TAG_REFERENCE = _struct(

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,19 +42,24 @@ class GraphRefresher:
         root: str,
         n_buckets: int = 16,
         after_node: Callable[[GraphRefresher, str], None] | None = None,
+        parallel: int = 4,
     ):
         self.spark, self.graph, self.root, self.n_buckets = spark, graph, root.rstrip("/"), n_buckets
-        self.after_node = after_node
+        self.after_node, self.parallel = after_node, parallel
         self._schemas: dict[str, T.StructType] = {
             s.name: T.StructType([*s.schema.fields, T.StructField(BUCKET, T.IntegerType())])
             for s in graph.sources.values()
         }
-        for name in graph.sources:
-            self._ensure(name)
         for node in graph.nodes.values():
-            built = self._with_bucket(node, node.build(*[self._read(i) for i in node.inputs]))
+            inputs = [spark.createDataFrame([], self._schemas[i]) for i in node.inputs]
+            built = self._with_bucket(node, node.build(*inputs))
             self._schemas[node.name] = T.StructType([*built.schema.fields, T.StructField(LIVE, T.BooleanType())])
-            self._ensure(node.name)
+        self._in_parallel(self._ensure, list(self._schemas))
+
+    def _in_parallel(self, work: Callable, items: list) -> list:
+        """Run Spark jobs that do not depend on each other side by side; they share the cluster."""
+        with ThreadPoolExecutor(max_workers=self.parallel) as pool:
+            return list(pool.map(inheritable_thread_target(self.spark)(work), items))
 
     # --- storage ---
 
@@ -154,31 +161,37 @@ class GraphRefresher:
         self._walk(touched, keys, batch_id)
 
     def _walk(self, touched: dict[str, set[int]], keys: dict[str, DataFrame], batch_id: int | None) -> None:
+        """Refresh level by level. Every refresh, failed ones too, leaves a history row; the first failure is raised."""
         history: list[tuple] = []
+        failure: Exception | None = None
+        for level in self.graph.levels():
+            due = [n for n in level if any(touched.get(i) for i in n.inputs)]
+            for node, buckets, start, end, error in self._in_parallel(lambda n: self._refresh(n, touched, keys), due):
+                state, message = ("SUCCEEDED", None) if error is None else ("FAILED", str(error).split("\n", 1)[0])
+                history.append((node.name, state, message, batch_id, len(buckets), start, end))
+                touched[node.name] = buckets
+                failure = failure or error
+            if failure is not None:
+                break
+        if history:
+            rows = rows_frame(self.spark, history, REFRESH_HISTORY)
+            rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_state/history")
+        if failure is not None:
+            raise failure
+
+    def _refresh(self, node: Node, touched: dict[str, set[int]], keys: dict[str, DataFrame]) -> tuple:
+        start = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+        buckets: set[int] = set()
+        error: Exception | None = None
         try:
-            for node in self.graph.nodes.values():
-                if not any(touched.get(i) for i in node.inputs):
-                    continue
-                start = dt.datetime.now(dt.UTC).replace(tzinfo=None)
-                buckets: set[int] = set()
-                state, message = "SUCCEEDED", None
-                try:
-                    buckets = self._touched_buckets(node, touched, keys)
-                    if buckets:
-                        self._recompute(node, buckets)
-                        touched[node.name] = buckets
-                        if self.after_node is not None:
-                            self.after_node(self, node.name)
-                except Exception as exc:
-                    state, message = "FAILED", str(exc).split("\n", 1)[0]
-                    raise
-                finally:
-                    end = dt.datetime.now(dt.UTC).replace(tzinfo=None)
-                    history.append((node.name, state, message, batch_id, len(buckets), start, end))
-        finally:
-            if history:
-                rows = rows_frame(self.spark, history, REFRESH_HISTORY)
-                rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_state/history")
+            buckets = self._touched_buckets(node, touched, keys)
+            if buckets:
+                self._recompute(node, buckets)
+                if self.after_node is not None:
+                    self.after_node(self, node.name)
+        except Exception as exc:
+            error = exc
+        return node, buckets, start, dt.datetime.now(dt.UTC).replace(tzinfo=None), error
 
     def _touched_buckets(self, node: Node, touched: dict[str, set[int]], keys: dict[str, DataFrame]) -> set[int]:
         """The buckets of a node that its changed inputs reach."""
