@@ -43,6 +43,22 @@ def test_reasons_in_order(spark):
     assert all(r.is_valid and r.rejection_reasons == [] for r in good)
 
 
+def test_sql_table_function(spark):
+    validation.register_sql_function(spark)
+    call = "SELECT * FROM validate_vendor_lab_row({})"
+    assert spark.sql(call.format("'VL-000001', 'MRN-900001', 'GLU', DATE'2024-10-20', 'N'")).first() == (True, [])
+    bad = spark.sql(call.format("'BADID', NULL, NULL, NULL, 'X'")).first()
+    assert bad == (False, ["VENDOR_ID format invalid: BADID", "PAT_MRN is NULL", "TEST_CODE is NULL",
+                           "RESULT_DATE is NULL", "ABNORMAL_YN invalid value: X"])
+    batch(spark, INVALID + GOOD).createOrReplaceTempView("src")
+    got = spark.sql(
+        "SELECT v.* FROM src, LATERAL validate_vendor_lab_row(src.vendor_id, src.pat_mrn, src.test_code, "
+        "src.result_date, src.abnormal_yn) v"
+    )
+    want = validation.with_validation(batch(spark, INVALID + GOOD)).select("is_valid", "rejection_reasons")
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(want)))
+
+
 def test_three_batches_reach_the_checkpoint(spark, root):
     log, base = RunLog(spark, f"{root}/log"), f"{root}/vendor"
     results = [

@@ -111,11 +111,16 @@ def test_department_dashboard(built, spark, clinic):
     assert dashboard_of(nodes.department_dashboard(fact)) == {**DASHBOARD, **LATE_DASHBOARD}
 
 
-def test_dashboard_from_partials_equals_direct(built):
-    fact = built[1].withColumn("bucket", built[1].pat_id.substr(7, 1).cast("int") % 3)
-    keys = built[1].withColumn("bucket", built[1].encounter_id.substr(7, 1).cast("int") % 2)
-    stored = nodes.department_dashboard_stored(nodes.department_partials(fact), nodes.department_encounter_counts(keys))
+def test_gold_from_partials_equals_direct(built):
+    number = lambda c: c.substr(7, 1).cast("int")
+    fact = built[1].withColumns({"bucket": number(built[1].pat_id) % 3, "slice": number(built[1].encounter_id) % 2})
+    keys = built[1].withColumn("bucket", number(built[1].encounter_id) % 2)
+    partials = nodes.encounter_partials(fact)
+    counts = nodes.department_encounter_counts(keys)
+    stored = nodes.department_dashboard_stored(nodes.department_partials(partials), counts)
     assert dashboard_of(nodes.department_dashboard_view(stored, AS_OF)) == DASHBOARD
+    merged = nodes.patient_encounter_summary_merged(built[0], partials)
+    assert summary_of(nodes.patient_encounter_summary_view(merged, AS_OF)) == SUMMARY
 
 
 def test_abnormal_results(built):

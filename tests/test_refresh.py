@@ -67,8 +67,8 @@ def test_late_rows_reach_every_layer(spark, root):
 
     history = store.history(50).collect()
     assert {r.state for r in history} == {"SUCCEEDED"}
-    second = {r.name: r.touched_buckets for r in history if r.batch_id == 1}
-    assert second["curated.fact_encounter"] == 1  # one patient touches one of the four buckets
+    second = {r.name: r.touched_cells for r in history if r.batch_id == 1}
+    assert second["curated.fact_encounter"] == 1  # one patient touches one cell
     assert "curated.dim_provider" not in second
     assert all(r.refresh_seconds >= 0 for r in history)
     assert store.history(3).count() == 3
@@ -92,7 +92,7 @@ def test_any_order_of_arrival_equals_full_recompute(spark, root, seed):
         pieces += [(name, make, data[:cut]), (name, make, data[cut:])]
     rng.shuffle(pieces)
     for i, (name, make, data) in enumerate(pieces):
-        store.land(name, make(spark, data))
+        store.land(name, make(spark, data), f"day-{rng.randrange(3)}")
         if i % 3 == 2 or i == len(pieces) - 1:
             store.refresh_available()
     assert_equals_full(store)
@@ -105,7 +105,8 @@ def test_replay_and_rebuild_change_nothing(spark, root):
     store.land("raw.provider_dim", providers(spark))
     store.refresh_available()
     before = sorted(map(str, rows(store.table("gold.department_dashboard", AS_OF))))
-    store._walk({"raw.encounter_fact": {0, 1}, "raw.encounter_keys": {0, 1}}, {}, 0)
+    cells = {n: store._cells_of(store._read(n)) for n in ("raw.encounter_fact", "raw.encounter_keys")}
+    store._walk(cells, {}, 0)
     store.rebuild()
     assert sorted(map(str, rows(store.table("gold.department_dashboard", AS_OF)))) == before
     assert_equals_full(store)
@@ -116,7 +117,7 @@ def test_bucket_that_loses_all_rows_is_emptied(spark, root):
 
     def unmatched(labs, providers):
         return labs.join(providers.select("prov_id"), labs.test_code == providers.prov_id, "left_anti").select(
-            *schemas.LAB_RESULT.names
+            *schemas.LAB_RESULT.names, "bucket", "slice"
         )
 
     from wardflow.plans.graph import Lookup
@@ -124,7 +125,7 @@ def test_bucket_that_loses_all_rows_is_emptied(spark, root):
     graph = Graph(
         [Source("raw.lab_results", schemas.LAB_RESULT, "pat_id"), Source("raw.provider_dim", schemas.PROVIDER, "prov_id")],
         [
-            Node("curated.unmatched", unmatched, ("raw.lab_results", "raw.provider_dim"), "pat_id",
+            Node("curated.unmatched", unmatched, ("raw.lab_results", "raw.provider_dim"),
                  lookups=(Lookup("raw.provider_dim", "prov_id", "raw.lab_results", "test_code"),)),
         ],
     )
@@ -152,11 +153,11 @@ def test_gold_is_published_after_its_refresh(spark, root):
 
 def test_failed_refresh_is_recorded(spark, root):
     def broken(labs):
-        return labs.selectExpr("pat_id", "raise_error('bad node') as x")
+        return labs.selectExpr("pat_id", "raise_error('bad node') as x", "bucket", "slice")
 
     graph = Graph(
         [Source("raw.lab_results", schemas.LAB_RESULT, "pat_id")],
-        [Node("curated.broken", broken, ("raw.lab_results",), "pat_id")],
+        [Node("curated.broken", broken, ("raw.lab_results",))],
     )
     store = GraphRefresher(spark, graph, root, n_buckets=2)
     store.land("raw.lab_results", labs(spark))
@@ -172,14 +173,54 @@ def test_graph_lags(spark):
     assert graph.trigger_interval() == "15 minutes"
     assert lag_seconds("1 hour") == 3600 and lag_seconds(DOWNSTREAM) == float("inf")
     listing = {r.name: r for r in graph.listing(spark).collect()}
-    assert len(listing) == 9
-    assert listing["gold.patient_encounter_summary"].inputs == ["curated.dim_patient", "curated.fact_encounter"]
+    assert len(listing) == 10
+    assert listing["gold.patient_encounter_summary"].inputs == ["curated.dim_patient", "curated.encounter_partials"]
+    assert listing["gold.department_partials"].target_lag == DOWNSTREAM
+    assert listing["gold.department_dashboard"].target_lag == "15 minutes"
     order = list(graph.nodes)
     assert order.index("curated.fact_encounter") < order.index("gold.department_dashboard")
 
 
 def test_graph_rejects_cycles():
-    a = Node("a", lambda x: x, ("b",), "k")
-    b = Node("b", lambda x: x, ("a",), "k")
+    a = Node("a", lambda x: x, ("b",))
+    b = Node("b", lambda x: x, ("a",))
     with pytest.raises(ValueError, match="cycle"):
         Graph([], [a, b])
+
+
+def test_new_rows_touch_their_slice_only(spark, root):
+    """Rows of a new day leave the stored cells of earlier days alone, also those of the same patient."""
+    store = GraphRefresher(spark, clinical_graph(), root, n_buckets=1)
+    store.land("raw.encounter_fact", encounters(spark), "2024-10-24")
+    store.refresh_available()
+
+    def files(day):
+        return {r.f for r in spark.read.parquet(f"{root}/curated/fact_encounter/bucket=0/slice={day}").selectExpr(
+            "input_file_name() f").distinct().collect()}
+
+    before = files("2024-10-24")
+    store.land("raw.encounter_fact", encounters(spark, [("E3", *ENCOUNTERS[0][1:])]), "2024-10-25")
+    store.land("raw.patient_dim", patients(spark), "2024-10-25")
+    store.refresh_available()
+    assert files("2024-10-24") == before and files("2024-10-25")
+    assert_equals_full(store)
+
+
+def test_slices_must_name_folders(spark, root):
+    store = GraphRefresher(spark, clinical_graph(), root, n_buckets=1)
+    with pytest.raises(ValueError, match="slice"):
+        store.land("raw.encounter_fact", encounters(spark), "a/b")
+
+
+def test_cells_are_bounded():
+    from wardflow.streaming import refresh
+
+    many = {(b, f"s{b % 7}") for b in range(refresh.MAX_LISTED_CELLS + 1)}
+    assert len(refresh._bounded(many)) == len({b for b, _ in many}) * 7
+    assert refresh._bounded({(1, "a")}) == {(1, "a")}
+
+
+def test_cell_node_needs_one_aligned_input():
+    sources = [Source("a", schemas.LAB_RESULT, "pat_id"), Source("b", schemas.LAB_RESULT, "pat_id")]
+    with pytest.raises(ValueError, match="exactly one input"):
+        Graph(sources, [Node("c", lambda x, y: x, ("a", "b"))])

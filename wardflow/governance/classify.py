@@ -18,6 +18,8 @@ VALUE_PATTERNS = {
     "PHONE": r"(?:\+?1[-. ]?)?\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}",
     "MRN": r"MRN-[0-9]{6}",
 }
+# Text every match of a pattern holds; a quick search for it spares most values the pattern.
+REQUIRED_TEXT = {"SSN": "-", "EMAIL": "@", "MRN": "MRN-"}
 NAME_PATTERNS = {
     "SSN": r"(^|_)ssn($|_)|social_security",
     "EMAIL": r"e_?mail",
@@ -45,13 +47,16 @@ def classify(
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     dates = [f.name for f in df.schema if isinstance(f.dataType, T.DateType)]
 
-    def hit(column: str, pattern: str):
-        return F.col(column).rlike(pattern) if anywhere else matches_whole(F.col(column), pattern)
+    def hit(column: str, category: str):
+        col, pattern = F.col(column), patterns[category]
+        test = col.rlike(pattern) if anywhere else matches_whole(col, pattern)
+        quick = REQUIRED_TEXT.get(category) if pattern == VALUE_PATTERNS.get(category) else None
+        return test if quick is None else F.contains(col, F.lit(quick)) & test
 
     aggs = [F.count("*").alias("_all")]
     for i, column in enumerate(text):
         aggs.append(F.count(column).alias(f"_n{i}"))
-        aggs += [F.count_if(hit(column, p)).alias(f"_m{i}_{cat}") for cat, p in patterns.items()]
+        aggs += [F.count_if(hit(column, category)).alias(f"_m{i}_{category}") for category in patterns]
     entries = []
     categories = list(dict.fromkeys([*patterns, *names]))
     for column in [*text, *dates]:

@@ -41,12 +41,16 @@ def annotate_text(
 def extract_fields(df: DataFrame, text_col: str, patterns: Mapping[str, str], out: str = "extracted") -> DataFrame:
     """One object per text with the first match of every field's pattern (its first group), NULL where none matches."""
     text = F.col(text_col)
+    found = {
+        f"_{out}_{name}": F.regexp_extract(text, pattern, 1 if re.compile(pattern).groups else 0)
+        for name, pattern in patterns.items()
+    }
     fields = []
-    for name, pattern in patterns.items():
-        group = 1 if re.compile(pattern).groups else 0
-        value = F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
+    for (hidden, _), (name, pattern) in zip(found.items(), patterns.items(), strict=True):
+        # An empty result may be a match of no characters; only then is the pattern tested again.
+        value = F.when(F.col(hidden) != "", F.col(hidden)).when(text.rlike(pattern), F.col(hidden))
         fields.append(value.alias(name))
-    return df.withColumn(out, F.struct(*fields))
+    return df.withColumns(found).withColumn(out, F.struct(*fields)).drop(*found)
 
 
 def lookup_annotations(df: DataFrame, annotations: DataFrame, key: str) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.functions.text import matches_whole
+from wardflow.sources.schemas import VENDOR_LAB
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,19 @@ class Rule:
         return out
 
 
+    def reason_sql(self, param: str) -> str:
+        """The same complaint as SQL text over a function parameter."""
+        label, whens = self.column.upper(), []
+        if self.required:
+            whens.append(f"WHEN {param} IS NULL THEN '{label} is NULL'")
+        if self.pattern is not None:
+            whens.append(f"WHEN NOT {param} RLIKE r'\\A(?:{self.pattern})\\z' THEN '{label} format invalid: ' || {param}")
+        if self.allowed is not None:
+            values = ", ".join(f"'{v}'" for v in self.allowed)
+            whens.append(f"WHEN {param} NOT IN ({values}) THEN '{label} invalid value: ' || {param}")
+        return f"CASE {' '.join(whens)} END"
+
+
 # The rules of the vendor lab feed, in the order their reasons are listed.
 VENDOR_LAB_RULES = (
     Rule("vendor_id", required=True, pattern="VL-[0-9]{6}"),
@@ -60,6 +74,23 @@ def with_validation(df: DataFrame, rules: Sequence[Rule] = VENDOR_LAB_RULES) ->
     )
 
 
+def register_sql_function(
+    spark: SparkSession, name: str = "validate_vendor_lab_row", rules: Sequence[Rule] = VENDOR_LAB_RULES,
+    schema: T.StructType = VENDOR_LAB,
+) -> None:
+    """Offer the rules to SQL text as a table function of the checked columns, for use with LATERAL.
+
+    It returns one row (is_valid, rejection_reasons) and is planned inline, like the column form.
+    """
+    params = ", ".join(f"p_{r.column} {schema[r.column].dataType.simpleString()}" for r in rules)
+    reasons = ", ".join(r.reason_sql(f"p_{r.column}") for r in rules)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) "
+        "RETURNS TABLE (is_valid BOOLEAN, rejection_reasons ARRAY<STRING>) "
+        f"RETURN SELECT size(reasons) = 0, reasons FROM (SELECT array_compact(array({reasons})) AS reasons)"
+    )
+
+
 def reason_counts(df: DataFrame, reasons: str = "rejection_reasons") -> DataFrame:
     """How often each kind of reason occurs; the offending value is cut off so that kinds fall together."""
     kind = F.split_part(F.col("reason"), F.lit(":"), F.lit(1))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -26,7 +26,7 @@ class Copy:
 
 @dataclass(frozen=True)
 class Source:
-    """A raw table that only grows. Its rows are stored in buckets of one key."""
+    """A raw table that only grows. Its rows are stored in cells: a bucket of one key and the slice they landed in."""
 
     name: str
     schema: T.StructType
@@ -36,28 +36,38 @@ class Source:
 
 @dataclass(frozen=True)
 class Lookup:
-    """An input joined by another key than the storage key: ``column`` of input ``of`` refers to ``key`` of the lookup."""
+    """An input joined to input ``of`` by ``column`` = ``key``. With ``same_bucket`` both sides are stored by that key."""
 
     name: str
     key: str
     of: str
     column: str
+    same_bucket: bool = False
+
+
+# How finely a node is stored and refreshed.
+CELL, BUCKET, WHOLE = "cell", "bucket", "whole"
 
 
 @dataclass(frozen=True)
 class Node:
     """A derived table.
 
-    ``inputs`` go to ``build`` in order. Inputs not named by a lookup share the node's buckets: a change in a bucket of
-    such an input changes that bucket of the node only. A node without ``bucketed`` is rebuilt whole and must read small
-    inputs. ``view`` adds the columns that depend on the current day.
+    ``inputs`` go to ``build`` in order. Inputs not named by a lookup share the node's storage key: a change in one of
+    their buckets reaches that bucket of the node only. ``grain`` is
+
+    * CELL: one such input; rows stay in the cell they came from, so a refresh costs as much as the new rows,
+    * BUCKET: a bucket is computed from all slices of its inputs, for results that combine rows of different times,
+    * WHOLE: rebuilt from its inputs, which must be small.
+
+    ``view`` adds the columns that depend on the current day.
     """
 
     name: str
     build: Callable[..., DataFrame]
     inputs: tuple[str, ...]
+    grain: str = CELL
     bucket_by: str | None = None
-    bucketed: bool = True
     lookups: tuple[Lookup, ...] = ()
     view: Callable[..., DataFrame] | None = None
     target_lag: str = DEFAULT_LAG
@@ -77,6 +87,12 @@ class Graph:
                 fields = [s.schema[name] for name in c.columns]
                 self.sources[c.name] = Source(c.name, T.StructType(fields), c.bucket_by)
         self.nodes = {n.name: n for n in self._ordered({n.name: n for n in nodes})}
+        for node in self.nodes.values():
+            if node.grain == CELL and [self.grain_of(i) for i in node.aligned_inputs] != [CELL]:
+                raise ValueError(f"{node.name} needs exactly one input stored in cells")
+
+    def grain_of(self, name: str) -> str:
+        return CELL if name in self.sources else self.nodes[name].grain
 
     def _ordered(self, nodes: dict[str, Node]) -> list[Node]:
         """Nodes after their inputs."""
@@ -141,26 +157,29 @@ def clinical_graph(target_lag: str = DEFAULT_LAG) -> Graph:
     ]
     provider = Lookup("raw.provider_dim", "prov_id", "raw.encounter_fact", "attending_prov_id")
     encounter = Lookup("curated.fact_encounter", "encounter_id", "curated.fact_lab_results", "encounter_id")
+    patient = Lookup("curated.dim_patient", "pat_id", "curated.fact_lab_results", "pat_id", same_bucket=True)
     derived = [
-        Node("curated.dim_patient", nodes.dim_patient_stored, ("raw.patient_dim",), "pat_id",
-             view=nodes.dim_patient_view, target_lag=target_lag),
-        Node("curated.dim_provider", nodes.dim_provider, ("raw.provider_dim",), "prov_id", target_lag=target_lag),
+        Node("curated.dim_patient", nodes.dim_patient_stored, ("raw.patient_dim",), view=nodes.dim_patient_view),
+        Node("curated.dim_provider", nodes.dim_provider, ("raw.provider_dim",)),
         Node("curated.fact_encounter", nodes.fact_encounter_stored, ("raw.encounter_fact", "raw.provider_dim"),
-             "pat_id", lookups=(provider,), view=nodes.fact_encounter_view, target_lag=target_lag),
-        Node("curated.fact_lab_results", nodes.fact_lab_results, ("raw.lab_results",), "pat_id",
-             target_lag=target_lag),
-        Node("gold.patient_encounter_summary", nodes.patient_encounter_summary_stored,
-             ("curated.dim_patient", "curated.fact_encounter"), "pat_id",
-             view=nodes.patient_encounter_summary_view, target_lag=target_lag),
+             lookups=(provider,), view=nodes.fact_encounter_view),
+        Node("curated.fact_lab_results", nodes.fact_lab_results, ("raw.lab_results",)),
+        Node("curated.encounter_partials", nodes.encounter_partials, ("curated.fact_encounter",),
+             target_lag=DOWNSTREAM),
+        Node("gold.patient_encounter_summary", nodes.patient_encounter_summary_merged,
+             ("curated.dim_patient", "curated.encounter_partials"), BUCKET, "pat_id",
+             view=nodes.patient_encounter_summary_view),
         Node("gold.abnormal_results_summary", nodes.abnormal_results,
-             ("curated.fact_lab_results", "curated.fact_encounter", "curated.dim_patient"), "pat_id",
-             lookups=(encounter,), target_lag=target_lag),
-        Node("gold.department_partials", nodes.department_partials, ("curated.fact_encounter",),
+             ("curated.fact_lab_results", "curated.fact_encounter", "curated.dim_patient"),
+             lookups=(encounter, patient)),
+        Node("gold.department_partials", nodes.department_partials, ("curated.encounter_partials",), BUCKET,
              target_lag=DOWNSTREAM),
-        Node("gold.department_encounter_counts", nodes.department_encounter_counts, ("raw.encounter_keys",),
+        Node("gold.department_encounter_counts", nodes.department_encounter_counts, ("raw.encounter_keys",), BUCKET,
              target_lag=DOWNSTREAM),
         Node("gold.department_dashboard", nodes.department_dashboard_stored,
-             ("gold.department_partials", "gold.department_encounter_counts"), bucketed=False,
-             view=nodes.department_dashboard_view, target_lag=target_lag),
+             ("gold.department_partials", "gold.department_encounter_counts"), WHOLE,
+             view=nodes.department_dashboard_view),
     ]
+    if target_lag != DEFAULT_LAG:
+        derived = [n if n.target_lag == DOWNSTREAM else replace(n, target_lag=target_lag) for n in derived]
     return Graph(sources, derived)

@@ -7,6 +7,7 @@ day-dependent columns when it is read, so stored tables do not age. The plain fu
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from wardflow.functions.flags import range_flag
 from wardflow.functions.text import initcap_words
 
 AsOf = dt.date | str | Column | None
+# Columns that say where a stored row lives; nodes that keep rows apart hand them on where they are present.
+STORAGE = ("bucket", "slice")
 
 
 # --- curated ---------------------------------------------------------------------------------------------------------
@@ -30,6 +33,7 @@ def dim_patient_stored(raw: DataFrame) -> DataFrame:
         "birth_date",
         *["ssn", "address_line_1", "city", "state", "zip_code", "phone", "email", "prim_language", "gender"],
         F.col("load_ts").alias("source_loaded_at"),
+        *_storage_of(raw),
     )
 
 
@@ -43,7 +47,7 @@ def dim_patient(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def dim_provider(raw: DataFrame) -> DataFrame:
-    return raw.select("prov_id", "prov_name", "specialty", "department", "npi", "active")
+    return raw.select("prov_id", "prov_name", "specialty", "department", "npi", "active", *_storage_of(raw))
 
 
 def fact_encounter_stored(encounters: DataFrame, providers: DataFrame) -> DataFrame:
@@ -58,6 +62,7 @@ def fact_encounter_stored(encounters: DataFrame, providers: DataFrame) -> DataFr
         *["attending_prov_id", "attending_provider", "provider_specialty"],
         *["primary_dx_code", "primary_dx_name", "encounter_status", "total_charges"],
         F.col("load_ts").alias("source_loaded_at"),
+        *_storage_of(encounters),
     )
 
 
@@ -81,6 +86,7 @@ def fact_lab_results(labs: DataFrame) -> DataFrame:
         *["reference_low", "reference_high"],
         flag.alias("abnormal_flag"),
         "result_date",
+        *_storage_of(labs),
     )
 
 
@@ -102,6 +108,21 @@ def patient_encounter_summary_stored(patients: DataFrame, encounters: DataFrame)
         F.max("admit_date").alias("last_visit_date"),
         F.collect_set("department").alias("departments"),
     )
+    return _summarized(patients, per_patient)
+
+
+def patient_encounter_summary_merged(patients: DataFrame, partials: DataFrame) -> DataFrame:
+    """The same summary from partial rows (see ``encounter_partials``)."""
+    per_patient = partials.groupBy(F.col("pat_id").alias("_pat_id")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "inpatient", "emergency")],
+        F.sum("charges").cast("decimal(22,2)").alias("charges"),
+        F.max("last_visit_date").alias("last_visit_date"),
+        F.collect_set("department").alias("departments"),
+    )
+    return _summarized(patients, per_patient)
+
+
+def _summarized(patients: DataFrame, per_patient: DataFrame) -> DataFrame:
     who = ["pat_id", "pat_mrn", "first_name", "last_name", "gender"]
     people = patients.groupBy(*who, F.year("birth_date").alias("birth_year")).agg(F.count("*").alias("copies"))
     times = F.col("copies").cast("decimal(15,0)")
@@ -147,39 +168,52 @@ def department_dashboard(encounters: DataFrame) -> DataFrame:
     )
 
 
-def department_partials(encounters: DataFrame, by: tuple[str, ...] = ("bucket", "department")) -> DataFrame:
-    """The additive measures of the dashboard per storage bucket, free of the current day.
+def encounter_partials(encounters: DataFrame, by: Sequence[str] = ("bucket", "slice")) -> DataFrame:
+    """Encounters reduced to one row per patient and department within a storage cell, free of the current day.
 
-    Encounters are stored by patient, so patients counted per bucket add up over buckets.
+    All measures can be merged, so a patient with very many encounters costs one row per cell in every later step.
     """
     type_, open_ = F.col("encounter_type"), F.col("discharge_date").isNull()
     stay = day_boundaries(F.col("admit_date"), F.col("discharge_date")).cast("bigint")
     admit_day = F.unix_date("admit_date").cast("bigint")
-    return encounters.groupBy(*by).agg(
-        F.count_distinct("pat_id").alias("unique_patients"),
-        F.count_if(type_ == "Inpatient").alias("inpatient_count"),
-        F.count_if(type_ == "Emergency").alias("ed_count"),
+    return encounters.groupBy(*by, "pat_id", "department").agg(
+        F.count("encounter_id").alias("n"),
+        F.count_if(type_ == "Inpatient").alias("inpatient"),
+        F.count_if(type_ == "Emergency").alias("emergency"),
+        F.sum("total_charges").alias("charges"),
+        F.count("total_charges").alias("charged"),
+        F.max("admit_date").alias("last_visit_date"),
         F.sum(stay).alias("closed_days"),
         F.count(stay).alias("closed_stays"),
         F.sum(F.when(open_, admit_day)).alias("open_admit_days"),
         F.count(F.when(open_, admit_day)).alias("open_stays"),
-        F.sum("total_charges").alias("charges"),
-        F.count("total_charges").alias("charged"),
     )
 
 
-def department_encounter_counts(encounters: DataFrame, by: tuple[str, ...] = ("bucket", "department")) -> DataFrame:
+_ADDED = ("inpatient", "emergency", "charged", "closed_days", "closed_stays", "open_admit_days", "open_stays")
+
+
+def _department_totals() -> list[Column]:
+    return [
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _ADDED],
+        F.sum("charges").cast("decimal(22,2)").alias("charges"),
+    ]
+
+
+def department_partials(partials: DataFrame, by: Sequence[str] = ("bucket", "department")) -> DataFrame:
+    """Dashboard measures per bucket and department. A patient lives in one bucket, so patients add up over buckets."""
+    return partials.groupBy(*by).agg(F.count_distinct("pat_id").alias("unique_patients"), *_department_totals())
+
+
+def department_encounter_counts(encounters: DataFrame, by: Sequence[str] = ("bucket", "department")) -> DataFrame:
     """Distinct encounters per department over a copy stored by encounter id, so the counts add up over buckets."""
     return encounters.groupBy(*by).agg(F.count_distinct("encounter_id").alias("encounter_count"))
 
 
 def department_dashboard_stored(partials: DataFrame, encounter_counts: DataFrame) -> DataFrame:
     """The dashboard from its partial rows (one per bucket and department)."""
-    added = ["unique_patients", "inpatient_count", "ed_count", "closed_days", "closed_stays"]
-    added += ["open_admit_days", "open_stays", "charged"]
     totals = partials.groupBy("department").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in added],
-        F.sum("charges").cast("decimal(22,2)").alias("total_charges"),
+        F.sum("unique_patients").alias("unique_patients"), *_department_totals()
     )
     counts = encounter_counts.groupBy(F.col("department").alias("_department")).agg(
         F.sum("encounter_count").alias("encounter_count")
@@ -192,11 +226,13 @@ def department_dashboard_view(stored: DataFrame, as_of: AsOf = None) -> DataFram
     open_days = F.col("open_stays") * F.unix_date(as_date(as_of)) - F.col("open_admit_days")
     stays = F.col("closed_stays") + F.col("open_stays")
     avg_los = F.when(stays > 0, (F.col("closed_days") + open_days).cast("double") / stays)
-    avg_charges = F.when(F.col("charged") > 0, F.col("total_charges") / F.col("charged").cast("decimal(15,0)"))
+    avg_charges = F.when(F.col("charged") > 0, F.col("charges") / F.col("charged").cast("decimal(15,0)"))
     return stored.select(
-        *["department", "encounter_count", "unique_patients", "inpatient_count", "ed_count"],
+        *["department", "encounter_count", "unique_patients"],
+        F.col("inpatient").alias("inpatient_count"),
+        F.col("emergency").alias("ed_count"),
         avg_los.alias("avg_los"),
-        "total_charges",
+        F.col("charges").alias("total_charges"),
         avg_charges.cast("decimal(16,6)").alias("avg_charges"),
     )
 
@@ -213,6 +249,7 @@ def abnormal_results(labs: DataFrame, encounters: DataFrame, patients: DataFrame
         .select(
             *["pat_id", "patient_name", "test_name", "result_value", "result_unit", "reference_high"],
             *["abnormal_flag", "result_date", "department", "attending_provider"],
+            *_storage_of(labs),
         )
     )
 
@@ -227,6 +264,10 @@ def department_rollup(encounters: DataFrame) -> DataFrame:
     )
 
 
+def _storage_of(df: DataFrame) -> list[str]:
+    return [c for c in STORAGE if c in df.columns]
+
+
 def _insert_after(df: DataFrame, column: str, **added: Column) -> DataFrame:
     out: list[Column] = []
     for name in df.columns:

@@ -356,6 +356,14 @@ ORACLES: dict[str, str] = {
              'BATCH-001' AS batch_id, CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'quarantined' END AS status
            FROM checked""",
     ),
+    "validated_by_sql": _with(
+        _VENDOR, f"SELECT result_value, len(reasons) = 0 AS is_valid, {_JSON_REASONS} AS reasons FROM checked"
+    ),
+    "rerouted_counts": _with(
+        _VENDOR,
+        """SELECT 'BATCH-001' AS batch_id, CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'quarantined' END AS status,
+             count(*) AS n_rows FROM checked GROUP BY 2""",
+    ),
     "quarantine_report": _with(
         _VENDOR,
         f"""SELECT vendor_id, pat_mrn, test_code, 'BATCH-002' AS batch_id, {_JSON_REASONS} AS reasons

@@ -317,15 +317,35 @@ def validated_rows(spark, sf):
     return out.select("result_value", "is_valid", F.to_json("rejection_reasons").alias("reasons"))
 
 
+@query
+def validated_by_sql(spark, sf):
+    """The same verdicts through the SQL table function."""
+    validation.register_sql_function(spark)
+    td.vendor_labs(spark, sf).createOrReplaceTempView("wardflow_vendor_labs")
+    return spark.sql(
+        """SELECT src.result_value, v.is_valid, to_json(v.rejection_reasons) AS reasons
+           FROM wardflow_vendor_labs src, LATERAL validate_vendor_lab_row(
+             src.vendor_id, src.pat_mrn, src.test_code, src.result_date, src.abnormal_yn) v"""
+    )
+
+
 @query
 def routed_rows(spark, sf):
     """One batch written once, split by status, and read back."""
     base = new_workspace(spark, "vendor")
     route_batch(td.vendor_labs(spark, sf), base, "BATCH-001")
-    route_batch(td.vendor_labs(spark, sf), base, "BATCH-001")  # a second run replaces the first
     return routed(spark, base).select(*VENDOR_LAB.names, "batch_id", "status")
 
 
+@query
+def rerouted_counts(spark, sf):
+    """A batch that comes twice counts once."""
+    base = new_workspace(spark, "vendor")
+    for _ in range(2):
+        route_batch(td.vendor_labs(spark, sf), base, "BATCH-001")
+    return routed(spark, base).groupBy("batch_id", "status").agg(F.count("*").alias("n_rows"))
+
+
 @query
 def quarantine_report(spark, sf):
     base = new_workspace(spark, "vendor")

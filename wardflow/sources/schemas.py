@@ -134,7 +134,7 @@ REFRESH_HISTORY = T.StructType(
         T.StructField("state", _S, False),
         T.StructField("state_message", _S),
         T.StructField("batch_id", T.LongType()),
-        T.StructField("touched_buckets", T.LongType()),
+        T.StructField("touched_cells", T.LongType()),
         T.StructField("refresh_start_time", _TS),
         T.StructField("refresh_end_time", _TS),
     ]

@@ -1,14 +1,16 @@
 """Keep a graph of derived tables fresh as raw tables grow.
 
-Raw rows are landed in storage buckets of their key. One streaming query watches the raw folders and reports which
-buckets got rows. Each micro-batch walks the graph: a node recomputes only the buckets its inputs changed in, with the
-same function the batch path uses, and replaces those buckets. A replayed micro-batch computes the same buckets again,
-so nothing is ever counted twice.
+Raw rows are landed in cells: a bucket of their key and a slice, usually the day they arrived. One streaming query
+watches the raw folders and reports which cells got rows. Each micro-batch walks the graph: a node recomputes only what
+its changed inputs reach, with the same functions the batch path uses, and replaces it. Row by row nodes redo the
+touched cells; results that combine rows of all times redo the touched buckets from rows reduced per cell before. A
+replayed micro-batch computes the same cells again, so nothing is ever counted twice.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -21,18 +23,24 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wardflow.functions.dates import second_boundaries
-from wardflow.plans.graph import Graph, Node
+from wardflow.plans.graph import BUCKET, CELL, WHOLE, Graph, Node
+from wardflow.plans.nodes import STORAGE
 from wardflow.sources.schemas import REFRESH_HISTORY
 from wardflow.sources.tables import latest, rows_frame
 
-BUCKET, LIVE = "bucket", "_live"
+LIVE = "_live"
+STORAGE_FIELDS = [T.StructField("bucket", T.IntegerType()), T.StructField("slice", T.StringType())]
+# A cell is (bucket, slice); in tables that keep no slices the slice is None.
+Cells = set[tuple[int | None, str | None]]
+# Beyond this many cells a filter names buckets and slices apart, which covers their whole product.
+MAX_LISTED_CELLS = 20_000
 
 
 class GraphRefresher:
     """Storage and refresh of one graph below ``root`` (a folder all executors share).
 
-    ``n_buckets`` is fixed for the life of the store: choose it so that a bucket of the largest table is some 100 MB to
-    a few GB. ``after_node`` is called with each refreshed node, for example to publish a gold table.
+    ``n_buckets`` is fixed for the life of the store: choose it so that a bucket of the largest table holds some 100 MB
+    to a few GB per slice. ``after_node`` is called with each refreshed node, for example to publish a gold table.
     """
 
     def __init__(
@@ -47,12 +55,11 @@ class GraphRefresher:
         self.spark, self.graph, self.root, self.n_buckets = spark, graph, root.rstrip("/"), n_buckets
         self.after_node, self.parallel = after_node, parallel
         self._schemas: dict[str, T.StructType] = {
-            s.name: T.StructType([*s.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-            for s in graph.sources.values()
+            s.name: T.StructType([*s.schema.fields, *STORAGE_FIELDS]) for s in graph.sources.values()
         }
         for node in graph.nodes.values():
             inputs = [spark.createDataFrame([], self._schemas[i]) for i in node.inputs]
-            built = self._with_bucket(node, node.build(*inputs))
+            built = self._stored(node, node.build(*inputs))
             self._schemas[node.name] = T.StructType([*built.schema.fields, T.StructField(LIVE, T.BooleanType())])
         self._in_parallel(self._ensure, list(self._schemas))
 
@@ -75,48 +82,55 @@ class GraphRefresher:
             empty.write.mode("append").partitionBy(*self._partitions(name)).parquet(self.path(name))
 
     def _partitions(self, name: str) -> list[str]:
-        node = self.graph.nodes.get(name)
-        return [] if node is not None and not node.bucketed else [BUCKET]
+        return {CELL: ["bucket", "slice"], BUCKET: ["bucket"], WHOLE: []}[self.graph.grain_of(name)]
 
-    def _read(self, name: str, buckets: Iterable[int] | None = None) -> DataFrame:
-        """Stored rows; with buckets, only their folders are read."""
+    def _read(self, name: str, cells: Cells | None = None) -> DataFrame:
+        """Stored rows; with cells, only their folders are read."""
         df = self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
-        if buckets is not None:
-            df = df.where(F.col(BUCKET).isin(sorted(buckets)))
+        if cells is not None:
+            df = df.where(_in_cells(cells))
         return df.where(LIVE).drop(LIVE) if name in self.graph.nodes else df
 
     def bucket_of(self, key: str) -> Column:
         return F.pmod(F.xxhash64(F.col(key)), F.lit(self.n_buckets)).cast("int")
 
-    def _with_bucket(self, node: Node, df: DataFrame) -> DataFrame:
-        if not node.bucketed or BUCKET in df.columns:
-            return df
-        return df.withColumn(BUCKET, self.bucket_of(node.bucket_by))
-
-    def land(self, source: str, df: DataFrame) -> None:
-        """Append rows to a raw table. The narrow copies go first: they only serve distinct counts, so a row that is
-        written to them twice after a failed landing changes nothing."""
+    def _stored(self, node: Node, df: DataFrame) -> DataFrame:
+        if node.grain == BUCKET and "bucket" not in df.columns:
+            df = df.withColumn("bucket", self.bucket_of(node.bucket_by))
+        missing = set(self._partitions(node.name)) - set(df.columns)
+        if missing:
+            raise ValueError(f"{node.name} does not hand on {sorted(missing)}")
+        return df
+
+    def land(self, source: str, df: DataFrame, slice_: str | None = None) -> None:
+        """Append rows to a raw table, to the slice of the current day where none is given.
+
+        The narrow copies go first: they only serve distinct counts, so a row that is written to them twice after a
+        failed landing changes nothing.
+        """
+        label = slice_ or dt.datetime.now(dt.UTC).date().isoformat()
+        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", label):
+            raise ValueError(f"slice {label!r} cannot name a folder")
         spec = self.graph.sources[source]
         for name, columns in [*[(c.name, c.columns) for c in spec.copies], (source, tuple(spec.schema.names))]:
-            rows = df.select(*columns).withColumn(BUCKET, self.bucket_of(self.graph.sources[name].bucket_by))
-            self._spread(rows).write.mode("append").partitionBy(BUCKET).parquet(self.path(name))
+            bucket = self.bucket_of(self.graph.sources[name].bucket_by)
+            rows = df.select(*columns, bucket.alias("bucket"), F.lit(label).alias("slice"))
+            self._spread(rows, name).write.mode("append").partitionBy(*STORAGE).parquet(self.path(name))
 
-    @staticmethod
-    def _spread(df: DataFrame) -> DataFrame:
-        """Gather each bucket in few files; a bucket that is too large for one task is split at run time."""
-        return df.hint("rebalance", BUCKET)
+    def _spread(self, df: DataFrame, name: str) -> DataFrame:
+        """Gather each cell in few files; a cell that is too large for one task is split at run time."""
+        return df.hint("rebalance", *self._partitions(name))
 
     def table(self, name: str, as_of: dt.date | str | None = None) -> DataFrame:
         """A table as readers see it, with the day-dependent columns worked out for ``as_of``."""
-        df = self._read(name)
-        df = df.drop(BUCKET)
+        df = self._read(name).drop(*STORAGE)
         node = self.graph.nodes.get(name)
         return node.view(df, as_of) if node is not None and node.view is not None else df
 
     # --- refresh ---
 
     def changes(self, max_files: int | None = None) -> DataFrame:
-        """A stream of (source, bucket, key) for every landed row; the key only where some node looks it up."""
+        """A stream of (source, bucket, slice, key) for every landed row; the key only where some node looks it up."""
         keys = {lk.name: lk.key for n in self.graph.nodes.values() for lk in n.lookups}
         parts = []
         for name in self.graph.sources:
@@ -124,7 +138,8 @@ class GraphRefresher:
             if max_files:
                 reader = reader.option("maxFilesPerTrigger", max_files)
             key = F.col(keys[name]).cast("string") if name in keys else F.lit(None).cast("string")
-            parts.append(reader.parquet(self.path(name)).select(F.lit(name).alias("source"), BUCKET, key.alias("key")))
+            rows = reader.parquet(self.path(name))
+            parts.append(rows.select(F.lit(name).alias("source"), *STORAGE, key.alias("key")))
         return reduce(DataFrame.unionByName, parts)
 
     def _writer(self, max_files: int | None):
@@ -144,14 +159,17 @@ class GraphRefresher:
 
     def rebuild(self) -> None:
         """Recompute every node from the raw tables, for example after its function changed."""
-        everything = set(range(self.n_buckets))
-        self._walk({name: everything for name in self.graph.sources}, {}, None)
+        self._walk({name: self._cells_of(self._read(name)) for name in self.graph.sources}, {}, None)
+
+    @staticmethod
+    def _cells_of(df: DataFrame) -> Cells:
+        """The cells rows lie in: at most one row per cell comes back to the driver."""
+        return {(r.bucket, r.slice) for r in df.select(*STORAGE).distinct().collect()}
 
     def _on_batch(self, batch: DataFrame, batch_id: int) -> None:
-        # At most one row per source and bucket comes back to the driver.
-        touched: dict[str, set[int]] = {}
-        for row in batch.select("source", BUCKET).distinct().collect():
-            touched.setdefault(row.source, set()).add(row[BUCKET])
+        touched: dict[str, Cells] = {}
+        for row in batch.select("source", *STORAGE).distinct().collect():
+            touched.setdefault(row.source, set()).add((row.bucket, row.slice))
         looked_up = {lk.name for n in self.graph.nodes.values() for lk in n.lookups}
         keys: dict[str, DataFrame] = {}
         for name in looked_up & set(touched):
@@ -160,16 +178,16 @@ class GraphRefresher:
             keys[name] = self.spark.read.schema("key string").parquet(staged)
         self._walk(touched, keys, batch_id)
 
-    def _walk(self, touched: dict[str, set[int]], keys: dict[str, DataFrame], batch_id: int | None) -> None:
+    def _walk(self, touched: dict[str, Cells], keys: dict[str, DataFrame], batch_id: int | None) -> None:
         """Refresh level by level. Every refresh, failed ones too, leaves a history row; the first failure is raised."""
         history: list[tuple] = []
         failure: Exception | None = None
         for level in self.graph.levels():
             due = [n for n in level if any(touched.get(i) for i in n.inputs)]
-            for node, buckets, start, end, error in self._in_parallel(lambda n: self._refresh(n, touched, keys), due):
+            for node, cells, start, end, error in self._in_parallel(lambda n: self._refresh(n, touched, keys), due):
                 state, message = ("SUCCEEDED", None) if error is None else ("FAILED", str(error).split("\n", 1)[0])
-                history.append((node.name, state, message, batch_id, len(buckets), start, end))
-                touched[node.name] = buckets
+                history.append((node.name, state, message, batch_id, len(cells), start, end))
+                touched[node.name] = cells
                 failure = failure or error
             if failure is not None:
                 break
@@ -179,57 +197,64 @@ class GraphRefresher:
         if failure is not None:
             raise failure
 
-    def _refresh(self, node: Node, touched: dict[str, set[int]], keys: dict[str, DataFrame]) -> tuple:
+    def _refresh(self, node: Node, touched: dict[str, Cells], keys: dict[str, DataFrame]) -> tuple:
         start = dt.datetime.now(dt.UTC).replace(tzinfo=None)
-        buckets: set[int] = set()
+        cells: Cells = set()
         error: Exception | None = None
         try:
-            buckets = self._touched_buckets(node, touched, keys)
-            if buckets:
-                self._recompute(node, buckets)
+            cells = self._reached(node, touched, keys)
+            if cells:
+                self._recompute(node, cells)
                 if self.after_node is not None:
                     self.after_node(self, node.name)
         except Exception as exc:
             error = exc
-        return node, buckets, start, dt.datetime.now(dt.UTC).replace(tzinfo=None), error
+        return node, cells, start, dt.datetime.now(dt.UTC).replace(tzinfo=None), error
 
-    def _touched_buckets(self, node: Node, touched: dict[str, set[int]], keys: dict[str, DataFrame]) -> set[int]:
-        """The buckets of a node that its changed inputs reach."""
-        if not node.bucketed:
-            return {0}
-        out = set().union(*[touched.get(i, set()) for i in node.aligned_inputs])
+    def _reached(self, node: Node, touched: dict[str, Cells], keys: dict[str, DataFrame]) -> Cells:
+        """The cells of a node that its changed inputs reach."""
+        found = set().union(*[touched.get(i, set()) for i in node.aligned_inputs])
         for lk in node.lookups:
-            if not touched.get(lk.name) or len(out) == self.n_buckets:
+            changed_cells = touched.get(lk.name)
+            if not changed_cells:
                 continue
             changed = keys.get(lk.name)
             if changed is None:
-                changed = self._read(lk.name, touched[lk.name]).select(F.col(lk.key).cast("string").alias("key"))
-            rows = self._read(lk.of).select(F.col(lk.column).cast("string").alias("key"), BUCKET)
-            reached = rows.join(changed, "key", "left_semi").select(BUCKET).distinct().collect()
-            out |= {row[BUCKET] for row in reached}
-        return out
-
-    def _recompute(self, node: Node, buckets: set[int]) -> None:
-        if not node.bucketed:
-            built = node.build(*[self._read(i) for i in node.inputs])
-            built.withColumn(LIVE, F.lit(True)).write.mode("overwrite").parquet(self.path(node.name))
+                changed = self._read(lk.name, changed_cells).select(F.col(lk.key).cast("string").alias("key"))
+            rows = self._read(lk.of, _whole_buckets(changed_cells) if lk.same_bucket else None)
+            rows = rows.select(F.col(lk.column).cast("string").alias("key"), *STORAGE)
+            found |= self._cells_of(rows.join(changed, "key", "left_semi"))
+        if node.grain == CELL:
+            return _bounded(found)
+        return _whole_buckets(found) if node.grain == BUCKET else {(None, None) for _ in found}
+
+    def _recompute(self, node: Node, cells: Cells) -> None:
+        by_bucket = {lk.name for lk in node.lookups if lk.same_bucket}
+
+        def frame(name: str) -> DataFrame:
+            if node.grain == WHOLE or name not in {*node.aligned_inputs, *by_bucket}:
+                return self._read(name)
+            return self._read(name, _whole_buckets(cells) if name in by_bucket else cells)
+
+        built = self._stored(node, node.build(*[frame(i) for i in node.inputs])).withColumn(LIVE, F.lit(True))
+        schema, parts = self._schemas[node.name], self._partitions(node.name)
+        out = built.select(*schema.names)
+        if not parts:
+            out.write.mode("overwrite").parquet(self.path(node.name))
             return
-        aligned = set(node.aligned_inputs)
-        frames = [self._read(i, buckets if i in aligned else None) for i in node.inputs]
-        built = self._with_bucket(node, node.build(*frames)).withColumn(LIVE, F.lit(True))
-        # A bucket that lost all its rows must be replaced too, so each one gets a marker row readers never see.
-        schema = self._schemas[node.name]
-        markers = self.spark.createDataFrame([(b,) for b in sorted(buckets)], f"{BUCKET} int").select(
+        # A cell that lost all its rows must be replaced too, so each one gets a marker row readers never see.
+        storage = T.StructType(STORAGE_FIELDS[: len(parts)])
+        markers = self.spark.createDataFrame([c[: len(parts)] for c in cells], storage).select(
             *[
-                F.col(BUCKET) if f.name == BUCKET else F.lit(False if f.name == LIVE else None).cast(f.dataType).alias(f.name)
+                F.col(f.name) if f.name in parts else F.lit(False if f.name == LIVE else None).cast(f.dataType).alias(f.name)
                 for f in schema
             ]
         )
         (
-            self._spread(built.select(*schema.names).unionByName(markers))
+            self._spread(out.unionByName(markers), node.name)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
+            .partitionBy(*parts)
             .parquet(self.path(node.name))
         )
 
@@ -244,3 +269,30 @@ def refresh_history(spark: SparkSession, root: str) -> DataFrame:
     rows = spark.read.schema(REFRESH_HISTORY).parquet(f"{root}/_state/history")
     seconds = second_boundaries(F.col("refresh_start_time"), F.col("refresh_end_time"))
     return rows.withColumn("refresh_seconds", seconds)
+
+
+def _whole_buckets(cells: Cells) -> Cells:
+    return {(bucket, None) for bucket, _ in cells}
+
+
+def _bounded(cells: Cells) -> Cells:
+    """Many cells widened to all combinations of their buckets and slices, which a short filter can name."""
+    if len(cells) <= MAX_LISTED_CELLS:
+        return cells
+    buckets, slices = {b for b, _ in cells}, {s for _, s in cells}
+    return {(b, s) for b in buckets for s in slices}
+
+
+def _in_cells(cells: Cells) -> Column:
+    """A filter on the folder columns only, so other folders are never opened."""
+    by_slice: dict[str | None, set[int]] = {}
+    for bucket, slice_ in cells:
+        by_slice.setdefault(slice_, set()).add(bucket)
+    by_buckets: dict[frozenset[int], list[str | None]] = {}
+    for slice_, buckets in by_slice.items():
+        by_buckets.setdefault(frozenset(buckets), []).append(slice_)
+    tests = []
+    for buckets, slices in by_buckets.items():
+        test = F.col("bucket").isin(sorted(buckets))
+        tests.append(test if None in slices else test & F.col("slice").isin(sorted(slices)))
+    return reduce(lambda a, b: a | b, tests, F.lit(False)) if tests else F.lit(False)
