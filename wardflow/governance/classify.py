@@ -53,7 +53,7 @@ def classify(
         quick = REQUIRED_TEXT.get(category) if pattern == VALUE_PATTERNS.get(category) else None
         return test if quick is None else F.contains(col, F.lit(quick)) & test
 
-    aggs = [F.count("*").alias("_all")]
+    aggs = []
     for i, column in enumerate(text):
         aggs.append(F.count(column).alias(f"_n{i}"))
         aggs += [F.count_if(hit(column, category)).alias(f"_m{i}_{category}") for category in patterns]
@@ -68,19 +68,13 @@ def classify(
             if not by_name and not by_value:
                 continue
             i = text.index(column) if by_value else None
-            count = F.col(f"_n{i}") if by_value else F.lit(0)
-            matched = F.col(f"_m{i}_{category}") if by_value else F.lit(0)
-            rate = F.when(count > 0, matched / count).otherwise(F.lit(0.0))
+            count, matched = (f"_n{i}", f"`_m{i}_{category}`") if by_value else ("0L", "0L")
+            rate = f"coalesce(try_divide({matched}, {count}), 0D)"
+            known = str(by_name).lower()
             entries.append(
-                F.struct(
-                    F.lit(column).alias("column_name"),
-                    F.lit(category).alias("category"),
-                    count.cast("bigint").alias("n_values"),
-                    matched.cast("bigint").alias("n_matches"),
-                    rate.cast("double").alias("match_rate"),
-                    F.lit(by_name).alias("name_match"),
-                    ((rate >= threshold) | F.lit(by_name)).alias("recommended"),
-                )
+                f"named_struct('column_name', {_quoted(column)}, 'category', {_quoted(category)}, "
+                f"'n_values', {count}, 'n_matches', {matched}, 'match_rate', {rate}, "
+                f"'name_match', {known}, 'recommended', {rate} >= {float(threshold)}D OR {known})"
             )
     if not entries:
         columns = (
@@ -88,7 +82,13 @@ def classify(
             "name_match boolean, recommended boolean"
         )
         return df.sparkSession.createDataFrame([], columns)
-    return df.agg(*aggs).select(F.inline(F.array(*entries)))
+    # The rows are spelled out as text: there are many, and each Column call is a round trip to the JVM.
+    counted = df.agg(*aggs) if aggs else df.sparkSession.range(1)
+    return counted.select(F.expr(f"inline(array({', '.join(entries)}))"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def recommended_tags(classified: DataFrame, table: str, tag: str = "PII_TYPE", database: str = "LAB") -> DataFrame:
