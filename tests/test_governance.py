@@ -144,6 +144,12 @@ def test_tag_references(spark):
     assert unmapped_labels(refs, labels).count() == 11
 
 
+def test_tag_definitions(spark):
+    got = {r.tag_name: r.allowed_values for r in clinical_registry().tag_definitions(spark).collect()}
+    assert list(got) == ["COST_CENTER", "DATA_DOMAIN", "PII_TYPE", "SENSITIVITY"]
+    assert got["COST_CENTER"] is None and "RESTRICTED" in got["SENSITIVITY"]
+
+
 def test_tag_rules():
     reg = Registry()
     reg.define_tag("LEVEL", ["A"])

@@ -224,3 +224,23 @@ def test_cell_node_needs_one_aligned_input():
     sources = [Source("a", schemas.LAB_RESULT, "pat_id"), Source("b", schemas.LAB_RESULT, "pat_id")]
     with pytest.raises(ValueError, match="exactly one input"):
         Graph(sources, [Node("c", lambda x, y: x, ("a", "b"))])
+
+
+def test_running_query_and_reopened_store(spark, root):
+    """A started query keeps the store fresh, and a store opened again goes on where the last one stopped."""
+    graph = clinical_graph("1 second")
+    store = GraphRefresher(spark, graph, root, n_buckets=2)
+    store.land("raw.encounter_fact", encounters(spark, ENCOUNTERS[:5]))
+    query = store.start()
+    try:
+        query.processAllAvailable()
+        assert store.table("curated.fact_encounter").count() == 5
+    finally:
+        query.stop()
+        query.awaitTermination()
+    again = GraphRefresher(spark, graph, root, n_buckets=2)
+    again.land("raw.encounter_fact", encounters(spark, ENCOUNTERS[5:]))
+    again.refresh_available()
+    assert_equals_full(again)
+    with pytest.raises(ValueError, match="has 2 buckets"):
+        GraphRefresher(spark, graph, root, n_buckets=3)

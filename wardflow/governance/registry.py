@@ -109,6 +109,12 @@ class Registry:
                 out.setdefault(obj.column, {})[tag] = value
         return out
 
+    def tag_definitions(self, spark: SparkSession) -> DataFrame:
+        """All tags with their allowed values, NULL where any value goes."""
+        tags = sorted(self.tags.values(), key=lambda t: t.name)
+        rows = [(t.name, None if t.allowed is None else list(t.allowed), t.comment) for t in tags]
+        return spark.createDataFrame(rows, "tag_name string, allowed_values array<string>, comment string")
+
     def tag_references(self, spark: SparkSession) -> DataFrame:
         """Every tagged object as a row."""
         rows = [

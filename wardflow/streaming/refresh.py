@@ -61,8 +61,22 @@ class GraphRefresher:
             inputs = [spark.createDataFrame([], self._schemas[i]) for i in node.inputs]
             built = self._stored(node, node.build(*inputs))
             self._schemas[node.name] = T.StructType([*built.schema.fields, T.StructField(LIVE, T.BooleanType())])
+        self._fix_buckets()
         self._in_parallel(self._ensure, list(self._schemas))
 
+    def _fix_buckets(self) -> None:
+        """Note the number of buckets with the store, and refuse another one later: rows would be looked for elsewhere."""
+        path = f"{self.root}/_state/settings"
+        try:
+            known = self.spark.read.schema("n_buckets int").parquet(path).first()
+        except AnalysisException:
+            known = None
+        if known is None:
+            row = self.spark.createDataFrame([(self.n_buckets,)], "n_buckets int")
+            row.coalesce(1).write.mode("overwrite").parquet(path)
+        elif known.n_buckets != self.n_buckets:
+            raise ValueError(f"the store at {self.root} has {known.n_buckets} buckets, not {self.n_buckets}")
+
     def _in_parallel(self, work: Callable, items: list) -> list:
         """Run Spark jobs that do not depend on each other side by side; they share the cluster."""
         with ThreadPoolExecutor(max_workers=self.parallel) as pool:
