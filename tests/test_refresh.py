@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -67,7 +68,8 @@ def test_late_rows_reach_every_layer(spark, root):
 
     history = store.history(50).collect()
     assert {r.state for r in history} == {"SUCCEEDED"}
-    second = {r.name: r.touched_cells for r in history if r.batch_id == 1}
+    newest = max(r.batch_id for r in history)
+    second = {r.name: r.touched_cells for r in history if r.batch_id == newest}
     assert second["curated.fact_encounter"] == 1  # one patient touches one cell
     assert "curated.dim_provider" not in second
     assert all(r.refresh_seconds >= 0 for r in history)
@@ -181,6 +183,56 @@ def test_graph_lags(spark):
     assert order.index("curated.fact_encounter") < order.index("gold.department_dashboard")
 
 
+def test_node_cannot_be_fresher_than_its_inputs():
+    with pytest.raises(ValueError, match="fresher"):
+        clinical_graph("1 hour", "1 minute")
+
+
+def test_gold_waits_for_its_lag(spark, root):
+    """Curated tables follow at once, gold tables gather what they missed and catch up when their lag runs out, also
+    when no more rows arrive and after a restart in between."""
+    graph = clinical_graph("1 second", "1 hour")
+
+    def opened():
+        return GraphRefresher(spark, graph, root, n_buckets=2)
+
+    def visits(store):
+        return store.table("gold.department_dashboard", AS_OF).agg({"encounter_count": "sum"}).first()[0]
+
+    store = opened()
+    store.land("raw.patient_dim", patients(spark))
+    store.land("raw.encounter_fact", encounters(spark, ENCOUNTERS[:4]))
+    store.refresh_available()
+    assert visits(store) == 4
+    for i, data in enumerate((ENCOUNTERS[4:7], ENCOUNTERS[7:])):
+        store = opened()
+        store.land("raw.encounter_fact", encounters(spark, data))
+        store.land("raw.lab_results", labs(spark, LABS[5 * i : 5 * i + 5]))
+        store.land("raw.provider_dim", providers(spark, PROVIDERS[i : i + 1]))
+        query = store.start()
+        query.processAllAvailable()
+        query.stop()
+        query.awaitTermination()
+    assert store.table("curated.fact_encounter").count() == 10 and visits(store) == 4
+
+    store = opened()
+    store.refresh_due()
+    assert visits(store) == 4
+    long_ago = dt.datetime(2024, 1, 1)
+    store._last = {name: (batch, long_ago) for name, (batch, _) in store._last.items()}
+    store.refresh_due()
+    assert_equals_full(store)
+    store = opened()
+    store.land("raw.encounter_fact", encounters(spark, LATE_ENCOUNTERS))
+    query = store.start()
+    query.processAllAvailable()
+    query.stop()
+    query.awaitTermination()
+    assert visits(store) == 10
+    opened().refresh_available()  # no new rows, but gold has some to catch up on
+    assert_equals_full(store)
+
+
 def test_graph_rejects_cycles():
     a = Node("a", lambda x: x, ("b",))
     b = Node("b", lambda x: x, ("a",))

@@ -91,6 +91,10 @@ class Graph:
             if node.grain == CELL and [self.grain_of(i) for i in node.aligned_inputs] != [CELL]:
                 raise ValueError(f"{node.name} needs exactly one input stored in cells")
 
+            slow = [i for i in node.inputs if i in self.nodes and lag_seconds(self.lag_of(i)) > lag_seconds(self.lag_of(node.name))]
+            if slow:
+                raise ValueError(f"{node.name} cannot be fresher than its inputs {slow}")
+
     def grain_of(self, name: str) -> str:
         return CELL if name in self.sources else self.nodes[name].grain
 
@@ -123,7 +127,7 @@ class Graph:
         return min(readers, key=lag_seconds, default=DOWNSTREAM)
 
     def trigger_interval(self) -> str:
-        """The tightest lag of any node: a refresh at this pace keeps all of them."""
+        """The tightest lag of any node: the pace at which new rows are looked at."""
         lags = [self.lag_of(n) for n in self.nodes]
         return min((lag for lag in lags if lag != DOWNSTREAM), key=lag_seconds, default=DEFAULT_LAG)
 
@@ -135,15 +139,8 @@ class Graph:
         )
 
 
-def lag_seconds(lag: str) -> float:
-    if lag == DOWNSTREAM:
-        return float("inf")
-    number, unit = lag.split()
-    return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-
-
-def clinical_graph(target_lag: str = DEFAULT_LAG) -> Graph:
-    """Patients, encounters, labs and providers up to the gold tables."""
+def clinical_graph(target_lag: str = DEFAULT_LAG, gold_lag: str | None = None) -> Graph:
+    """Patients, encounters, labs and providers up to the gold tables, which may follow at a slower pace."""
     sources = [
         Source("raw.patient_dim", schemas.PATIENT, "pat_id"),
         Source("raw.provider_dim", schemas.PROVIDER, "prov_id"),
@@ -180,6 +177,15 @@ def clinical_graph(target_lag: str = DEFAULT_LAG) -> Graph:
              ("gold.department_partials", "gold.department_encounter_counts"), WHOLE,
              view=nodes.department_dashboard_view),
     ]
-    if target_lag != DEFAULT_LAG:
-        derived = [n if n.target_lag == DOWNSTREAM else replace(n, target_lag=target_lag) for n in derived]
-    return Graph(sources, derived)
+    lags = {"curated": target_lag, "gold": gold_lag or target_lag}
+    return Graph(
+        sources,
+        [n if n.target_lag == DOWNSTREAM else replace(n, target_lag=lags[n.name.split(".")[0]]) for n in derived],
+    )
+
+
+def lag_seconds(lag: str) -> float:
+    if lag == DOWNSTREAM:
+        return float("inf")
+    number, unit = lag.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]

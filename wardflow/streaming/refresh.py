@@ -14,6 +14,7 @@ import re
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -23,12 +24,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wardflow.functions.dates import second_boundaries
-from wardflow.plans.graph import BUCKET, CELL, WHOLE, Graph, Node
+from wardflow.plans.graph import BUCKET, CELL, WHOLE, Graph, Node, lag_seconds
 from wardflow.plans.nodes import STORAGE
 from wardflow.sources.schemas import REFRESH_HISTORY
 from wardflow.sources.tables import latest, rows_frame
 
 LIVE = "_live"
+PENDING = "input string, bucket int, slice string, batch_id bigint"
 STORAGE_FIELDS = [T.StructField("bucket", T.IntegerType()), T.StructField("slice", T.StringType())]
 # A cell is (bucket, slice); in tables that keep no slices the slice is None.
 Cells = set[tuple[int | None, str | None]]
@@ -63,6 +65,9 @@ class GraphRefresher:
             self._schemas[node.name] = T.StructType([*built.schema.fields, T.StructField(LIVE, T.BooleanType())])
         self._fix_buckets()
         self._in_parallel(self._ensure, list(self._schemas))
+        self._last = self._last_refreshes()
+        self._batch = max((b for b, _ in self._last.values() if b is not None), default=None)
+        self._one_walk = Lock()
 
     def _fix_buckets(self) -> None:
         """Note the number of buckets with the store, and refuse another one later: rows would be looked for elsewhere."""
@@ -156,20 +161,28 @@ class GraphRefresher:
             parts.append(rows.select(F.lit(name).alias("source"), *STORAGE, key.alias("key")))
         return reduce(DataFrame.unionByName, parts)
 
-    def _writer(self, max_files: int | None):
+    def _writer(self, max_files: int | None, force: bool):
         return (
             self.changes(max_files)
-            .writeStream.foreachBatch(self._on_batch)
+            .writeStream.foreachBatch(lambda batch, batch_id: self._on_batch(batch, batch_id, force))
             .option("checkpointLocation", f"{self.root}/_state/checkpoint")
         )
 
     def refresh_available(self, max_files: int | None = None) -> None:
-        """Bring all nodes up to date with the rows landed so far."""
-        self._writer(max_files).trigger(availableNow=True).start().awaitTermination()
+        """Bring all nodes up to date with the rows landed so far, whatever their lag."""
+        self._writer(max_files, True).trigger(availableNow=True).start().awaitTermination()
+        self._walk({}, {}, self._batch)
 
     def start(self, max_files: int | None = None) -> StreamingQuery:
-        """Refresh for as long as the query runs, at the pace of the tightest target lag."""
-        return self._writer(max_files).trigger(processingTime=self.graph.trigger_interval()).start()
+        """Refresh for as long as the query runs. Changes are looked at at the pace of the tightest target lag; a node
+        with a longer lag gathers what reaches it and is refreshed by the last look in time for its own.
+
+        A look happens when rows have arrived. Where they may stop coming, call ``refresh_due`` from time to time."""
+        return self._writer(max_files, False).trigger(processingTime=self.graph.trigger_interval()).start()
+
+    def refresh_due(self) -> None:
+        """Refresh the nodes whose lag runs out, from what they gathered; safe beside a running query."""
+        self._walk({}, {}, self._batch, force=False)
 
     def rebuild(self) -> None:
         """Recompute every node from the raw tables, for example after its function changed."""
@@ -180,7 +193,7 @@ class GraphRefresher:
         """The cells rows lie in: at most one row per cell comes back to the driver."""
         return {(r.bucket, r.slice) for r in df.select(*STORAGE).distinct().collect()}
 
-    def _on_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def _on_batch(self, batch: DataFrame, batch_id: int, force: bool) -> None:
         touched: dict[str, Cells] = {}
         for row in batch.select("source", *STORAGE).distinct().collect():
             touched.setdefault(row.source, set()).add((row.bucket, row.slice))
@@ -190,15 +203,35 @@ class GraphRefresher:
             staged = f"{self.root}/_state/changed/{name.replace('.', '/')}"
             batch.where(F.col("source") == name).select("key").distinct().write.mode("overwrite").parquet(staged)
             keys[name] = self.spark.read.schema("key string").parquet(staged)
-        self._walk(touched, keys, batch_id)
+        self._batch = batch_id
+        self._walk(touched, keys, batch_id, force)
 
-    def _walk(self, touched: dict[str, Cells], keys: dict[str, DataFrame], batch_id: int | None) -> None:
+    def _walk(
+        self, touched: dict[str, Cells], keys: dict[str, DataFrame], batch_id: int | None, force: bool = True
+    ) -> None:
         """Refresh level by level. Every refresh, failed ones too, leaves a history row; the first failure is raised."""
+        with self._one_walk:
+            self._walk_levels(dict(touched), keys, batch_id, force)
+
+    def _walk_levels(
+        self, touched: dict[str, Cells], keys: dict[str, DataFrame], batch_id: int | None, force: bool
+    ) -> None:
         history: list[tuple] = []
         failure: Exception | None = None
         for level in self.graph.levels():
-            due = [n for n in level if any(touched.get(i) for i in n.inputs)]
-            for node, cells, start, end, error in self._in_parallel(lambda n: self._refresh(n, touched, keys), due):
+            due = []
+            for node in level:
+                changed = {i: touched[i] for i in node.inputs if touched.get(i)}
+                if force or self._is_due(node):
+                    pending = self._pending(node)
+                    for name, cells in pending.items():
+                        changed[name] = changed.get(name, set()) | cells
+                    if changed:
+                        # The staged keys are those of this batch; earlier ones are read back from their cells.
+                        due.append((node, changed, {i: k for i, k in keys.items() if i not in pending}))
+                elif changed:
+                    self._defer(node, changed, batch_id)
+            for node, cells, start, end, error in self._in_parallel(lambda args: self._refresh(*args), due):
                 state, message = ("SUCCEEDED", None) if error is None else ("FAILED", str(error).split("\n", 1)[0])
                 history.append((node.name, state, message, batch_id, len(cells), start, end))
                 touched[node.name] = cells
@@ -208,15 +241,66 @@ class GraphRefresher:
         if history:
             rows = rows_frame(self.spark, history, REFRESH_HISTORY)
             rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_state/history")
+            for name, state, _, batch, _, start, _ in history:
+                if state == "SUCCEEDED":
+                    known = self._last.get(name, (None, None))[0]
+                    self._last[name] = (known if batch is None else batch, start)
         if failure is not None:
             raise failure
 
-    def _refresh(self, node: Node, touched: dict[str, Cells], keys: dict[str, DataFrame]) -> tuple:
+    # --- nodes that wait for their lag ---
+
+    def _waits(self, node: Node) -> bool:
+        """Whether the node is looked at more often than it must be refreshed."""
+        return lag_seconds(self.graph.lag_of(node.name)) > lag_seconds(self.graph.trigger_interval())
+
+    def _is_due(self, node: Node) -> bool:
+        """True when waiting for the next look would exceed the lag."""
+        if not self._waits(node) or node.name not in self._last:
+            return True
+        waited = (dt.datetime.now(dt.UTC).replace(tzinfo=None) - self._last[node.name][1]).total_seconds()
+        return waited + lag_seconds(self.graph.trigger_interval()) > lag_seconds(self.graph.lag_of(node.name))
+
+    def _defer(self, node: Node, changed: dict[str, Cells], batch_id: int | None) -> None:
+        rows = [(i, bucket, slice_, batch_id) for i, cells in changed.items() for bucket, slice_ in cells]
+        out = self.spark.createDataFrame(rows, PENDING)
+        out.coalesce(1).write.mode("append").parquet(self._pending_path(node))
+
+    def _pending(self, node: Node) -> dict[str, Cells]:
+        """Changed cells per input that were put off since the last refresh of the node."""
+        if not self._waits(node):
+            return {}
+        try:
+            rows = self.spark.read.schema(PENDING).parquet(self._pending_path(node))
+        except AnalysisException:
+            return {}
+        last = self._last.get(node.name, (None, None))[0]
+        if last is not None:
+            rows = rows.where(F.col("batch_id") > last)
+        out: dict[str, Cells] = {}
+        for r in rows.select("input", *STORAGE).distinct().collect():
+            out.setdefault(r.input, set()).add((r.bucket, r.slice))
+        return out
+
+    def _pending_path(self, node: Node) -> str:
+        return f"{self.root}/_state/pending/{node.name.replace('.', '/')}"
+
+    def _last_refreshes(self) -> dict[str, tuple[int | None, dt.datetime]]:
+        """Batch and start of the last good refresh per node."""
+        try:
+            history = self.spark.read.schema(REFRESH_HISTORY).parquet(f"{self.root}/_state/history")
+        except AnalysisException:
+            return {}
+        good = history.where(F.col("state") == "SUCCEEDED").groupBy("name")
+        last = good.agg(F.max("batch_id").alias("batch_id"), F.max("refresh_start_time").alias("start"))
+        return {r.name: (r.batch_id, r.start) for r in last.collect()}
+
+    def _refresh(self, node: Node, changed: dict[str, Cells], keys: dict[str, DataFrame]) -> tuple:
         start = dt.datetime.now(dt.UTC).replace(tzinfo=None)
         cells: Cells = set()
         error: Exception | None = None
         try:
-            cells = self._reached(node, touched, keys)
+            cells = self._reached(node, changed, keys)
             if cells:
                 self._recompute(node, cells)
                 if self.after_node is not None:
@@ -225,11 +309,11 @@ class GraphRefresher:
             error = exc
         return node, cells, start, dt.datetime.now(dt.UTC).replace(tzinfo=None), error
 
-    def _reached(self, node: Node, touched: dict[str, Cells], keys: dict[str, DataFrame]) -> Cells:
+    def _reached(self, node: Node, changed_inputs: dict[str, Cells], keys: dict[str, DataFrame]) -> Cells:
         """The cells of a node that its changed inputs reach."""
-        found = set().union(*[touched.get(i, set()) for i in node.aligned_inputs])
+        found = set().union(*[changed_inputs.get(i, set()) for i in node.aligned_inputs])
         for lk in node.lookups:
-            changed_cells = touched.get(lk.name)
+            changed_cells = changed_inputs.get(lk.name)
             if not changed_cells:
                 continue
             changed = keys.get(lk.name)
