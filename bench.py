@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS (default 8) the local threads, BENCH_RUNS
-(default 3) the measured runs per query after one warm-up; the median counts. Results go to the noop sink, so every
+(default 2) the measured runs per query after one warm-up; the median counts. Results go to the noop sink, so every
 column of every row is computed and nothing is collected.
 """
 
@@ -53,7 +53,7 @@ def timed(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "bench",
         f"local[{cpus}]",
