@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import bpe, mixing, quality, tokens
-from wardflow.llm.common import prepare, table
+from wardflow.llm import bpe, mixing, quality, secrets, tokens
+from wardflow.llm.common import prepare, staged, table
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.suffix_sums(tokens.length_histogram(table(spark, sf_dir, "documents")))
+    # Staged: the sums read the histogram twice, and the texts shall be encoded once.
+    return tokens.suffix_sums(staged(tokens.length_histogram(table(spark, sf_dir, "documents")), "lengths"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
