@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import bpe, mixing, quality, secrets, tokens, wordwindows
+from wardflow.llm import bpe, bytewindows, mixing, quality, secrets, tokens, wordwindows
 from wardflow.llm.common import prepare, staged, table
 
 
@@ -35,6 +35,10 @@ def op8_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordwindows.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytewindows.digests(table(spark, sf_dir, "documents"))
+
+
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(prepare(spark), sf_dir)
 

@@ -124,11 +124,12 @@ def repeated_spans(
     later: Callable,
     covers: int,
     text: str = "text",
+    alone: Callable[[bytes], bool] = lambda string: False,
 ) -> DataFrame:
     """Spans of symbols (ord, key, start, end) that windows with an earlier twin cover; they may overlap.
 
     ``runs`` gives (string, text, first symbol, windows, minimiser) for the texts of a batch; ``compare`` gets the strings
-    of a shard that share minimisers and gives the spans among them.
+    of a shard that share minimisers and gives the spans among them. ``alone`` tells whether a string must be looked at although no other shares its minimiser.
     """
     n_shards = n_parts(EXPANSION * (docs.agg(F.sum(F.octet_length(text))).first()[0] or 0), SHARD)
 
@@ -174,7 +175,7 @@ def repeated_spans(
         owners: dict[int, int] = {}
         for places in batch.found.values():
             owners[places[0][4]] = owners.get(places[0][4], 0) + 1
-        shared = [(s, *p) for s, places in batch.found.items() for p in places if owners[p[4]] > 1]
+        shared = [(s, *p) for s, places in batch.found.items() for p in places if owners[p[4]] > 1 or alone(s)]
         spans += batch.repeats
         spans += compare(shared)
         columns = list(zip(*merged_spans(spans), strict=True)) or [()] * 4
