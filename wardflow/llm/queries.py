@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import bpe, bytewindows, mixing, quality, secrets, tokens, wordwindows
+from wardflow.llm import bpe, bytewindows, mixing, orderhash, quality, secrets, tokens, wordwindows
 from wardflow.llm.common import prepare, staged, table
 
 
@@ -23,6 +23,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderhash.compared(table(spark, sf_dir, "documents"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
