@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.llm import bpe, bytewindows, mixing, orderhash, quality, secrets, tokens, wordwindows
+from wardflow.llm import bpe, bytewindows, jaccard, mixing, orderhash, quality, secrets, tokens, wordwindows
 from wardflow.llm.common import prepare, staged, table
 
 
@@ -15,6 +15,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.suffix_sums(staged(tokens.length_histogram(table(spark, sf_dir, "documents")), "lengths"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.grouped(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("key")
 
