@@ -8,15 +8,15 @@ import pytest
 from wardflow.llm import jaccard
 
 
-def shingles(text):
+def shingles(text, n=4):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 4]) for i in range(len(words) - 3)) if len(words) >= 4 else frozenset([tuple(words)])
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if len(words) >= n else frozenset([tuple(words)])
 
 
-def plain(rows):
-    sets = [shingles(t) for _, t, *_ in rows]
+def plain(rows, n=4, percent=85):
+    sets = [shingles(t, n) for _, t, *_ in rows]
     parent = list(range(len(rows)))
 
     def root(i):
@@ -27,7 +27,7 @@ def plain(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
     out = []
     for i, (d, *_) in enumerate(rows):
@@ -74,9 +74,9 @@ def test_components(spark, monkeypatch, seed, fragment, flush, centres):
 def test_one_of_each_group(spark):
     rows = corpus(4)
     docs = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, key int")
-    kept = jaccard.one_of_each_group(docs)
+    kept = jaccard.one_of_each_group(docs, n=5, percent=80)
     assert kept.columns == docs.columns
-    got, want = kept.collect(), plain(rows)
+    got, want = kept.collect(), plain(rows, 5, 80)
     empty = sum(not shingles(t) for _, t in rows)
     groups = {g for d, n, g in want if n}
     assert len(got) == empty + len(groups)

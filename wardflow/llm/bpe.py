@@ -22,7 +22,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -285,12 +285,16 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", path: st
     return encoded.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per document the number of ids, their digest, and the digest of the text decoded from them."""
-    done = decode(encode(docs, path=path), path=path)
-    return done.select(
-        "doc_id",
+def digest_columns() -> list[Column]:
+    """doc_id, n_tokens and the digests of ids and decoded text, from the columns ``ids`` and ``decoded``."""
+    return [
+        F.col("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    ]
+
+
+def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Per document the number of ids, their digest, and the digest of the text decoded from them."""
+    return decode(encode(docs, path=path), path=path).select(*digest_columns())

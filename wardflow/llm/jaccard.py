@@ -39,7 +39,6 @@ FRAGMENT = 4_000_000  # n-grams per fragment, about
 FLUSH = 3_000_000  # n-grams a task gathers before it sends them
 PARTS = 8  # groups of fragments in which the overlap of a pair is counted
 CENTRES = 3  # rounds against centres before all pairs between components are counted
-RATIO = np.log(100 / PERCENT)
 HASH_BITS, TOKEN_BITS = 48, 44
 
 
@@ -173,34 +172,34 @@ def shared_parts(docs: DataFrame, n_fragments: int, text: str = "text", n: int =
     return placed.mapInArrow(count, "class long, part int, grams array<long>, counts array<int>")
 
 
-def _least_overlap(size: str) -> Column:
+def _least_overlap(size: str, percent: int) -> Column:
     """Shared n-grams that a set of this size needs with any partner, at least."""
-    return F.ceil(F.col(size) * PERCENT / 100)
+    return F.ceil(F.col(size) * percent / 100)
 
 
-def _links(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) that link: overlaps are counted per part and summed per pair."""
     left = parts.select(F.col("class").alias("a"), "part", F.col("grams").alias("_x"))
     right = parts.select(F.col("class").alias("b"), "part", F.col("grams").alias("_y"))
     partial = F.size(F.array_intersect("_x", "_y"))
     counted = pairs.join(left, "a").join(right, ["b", "part"]).groupBy("a", "b", "na", "nb").agg(F.sum(partial).alias("both"))
-    return counted.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * PERCENT).select("a", "b")
+    return counted.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
 
-def _fits() -> Column:
+def _fits(percent: int) -> Column:
     """Sizes of two sets that may link at all."""
-    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT
+    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
-def _centre_pairs(lists: DataFrame, turn: int) -> DataFrame:
+def _centre_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each set of a list against one set of the list of about its size, if they lie in different components."""
     chosen = F.min(F.struct(F.xxhash64("class", F.lit(turn)).alias("o"), F.col("class").alias("class"), F.col("n").alias("n"), F.col("comp").alias("comp")))
     centres = lists.groupBy("token", "band").agg(chosen.alias("c")).select("token", "band", F.col("c.class").alias("_c"), F.col("c.n").alias("_n"), F.col("c.comp").alias("_comp"))
     met = lists.join(centres, ["token", "band"]).where(F.col("comp") != F.col("_comp"))
-    return _ordered(met)
+    return _ordered(met, percent)
 
 
-def _other_pairs(lists: DataFrame) -> DataFrame:
+def _other_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """All pairs of sets of a list that lie in different components.
 
     The largest component of a list is one side only, so a list costs what lies outside of it times its length.
@@ -211,10 +210,10 @@ def _other_pairs(lists: DataFrame) -> DataFrame:
     mine = outside.select("token", "_main", "class", "n", "comp", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
     others = lists.select("token", "band", F.col("class").alias("_c"), F.col("n").alias("_n"), F.col("comp").alias("_comp"))
     met = mine.join(others, ["token", "band"]).where((F.col("comp") != F.col("_comp")) & ((F.col("_comp") == F.col("_main")) | (F.col("class") < F.col("_c"))))
-    return _ordered(met)
+    return _ordered(met, percent)
 
 
-def _ordered(met: DataFrame) -> DataFrame:
+def _ordered(met: DataFrame, percent: int) -> DataFrame:
     swap = F.col("class") > F.col("_c")
     pairs = met.select(
         F.least("class", "_c").alias("a"),
@@ -222,22 +221,22 @@ def _ordered(met: DataFrame) -> DataFrame:
         F.when(swap, F.col("_n")).otherwise(F.col("n")).alias("na"),
         F.when(swap, F.col("n")).otherwise(F.col("_n")).alias("nb"),
     )
-    return pairs.where(_fits()).distinct()
+    return pairs.where(_fits(percent)).distinct()
 
 
-def class_components(docs: DataFrame, known: DataFrame, text: str = "text", n: int = N) -> DataFrame:
+def class_components(docs: DataFrame, known: DataFrame, text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """node, comp: the component of every class that links with another class."""
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     parts = staged(shared_parts(docs, n_parts(total, FRAGMENT), text, n), "shared-grams")
     sizes = known.where("n_shingles > 0").select("class", F.col("n_shingles").alias("n")).distinct()
     shared = parts.groupBy("class").agg(F.sum(F.size("grams")).alias("shared"))
-    able = staged(shared.join(sizes, "class").where(F.col("shared") >= _least_overlap("n")), "candidates")
+    able = staged(shared.join(sizes, "class").where(F.col("shared") >= _least_overlap("n", percent)), "candidates")
     # Rarest first; the n-grams that no other class has come before all of these and take up a part of the prefix.
     token = F.transform(F.arrays_zip("grams", "counts"), lambda x: F.shiftleft(F.least(x["counts"], F.lit(1 << 18)).cast("long"), TOKEN_BITS) + x["grams"].bitwiseAND(F.lit((1 << TOKEN_BITS) - 1)))
     own = parts.join(able, "class")
     whole = own.select("class", "n", "shared", token.alias("tokens")).groupBy("class", "n", "shared").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-    prefix = F.slice(F.sort_array("tokens"), F.lit(1), (F.col("shared") - _least_overlap("n") + 1).cast("int"))
-    postings = whole.select("class", "n", F.floor(F.log("n") / RATIO).cast("int").alias("band"), F.explode(prefix).alias("token"))
+    prefix = F.slice(F.sort_array("tokens"), F.lit(1), (F.col("shared") - _least_overlap("n", percent) + 1).cast("int"))
+    postings = whole.select("class", "n", F.floor(F.log("n") / np.log(100 / percent)).cast("int").alias("band"), F.explode(prefix).alias("token"))
     postings = staged(postings, "prefixes")
     parts = staged(own.groupBy("class", "part").agg(F.flatten(F.collect_list("grams")).alias("grams")), "candidate-grams")
     links = tested = None
@@ -250,11 +249,11 @@ def class_components(docs: DataFrame, known: DataFrame, text: str = "text", n: i
             rows = rows.join(labels.select(F.col("node").alias("class"), "comp"), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
         spread = rows.groupBy("token").agg((F.min("comp") < F.max("comp")).alias("several")).where("several").select("token")
         lists = staged(rows.join(spread, "token"), "open-lists")
-        pairs = _centre_pairs(lists, turn) if turn < CENTRES else _other_pairs(lists)
+        pairs = _centre_pairs(lists, turn, percent) if turn < CENTRES else _other_pairs(lists, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        found = staged(_links(pairs, parts), "pair-links")
+        found = staged(_links(pairs, parts, percent), "pair-links")
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
         if found.limit(1).count():
             links = found if links is None else links.union(found)
@@ -262,10 +261,10 @@ def class_components(docs: DataFrame, known: DataFrame, text: str = "text", n: i
     return labels if labels is not None else found.select(F.col("a").alias("node"), F.col("b").alias("comp"))
 
 
-def grouped(docs: DataFrame, text: str = "text", n: int = N) -> DataFrame:
+def grouped(docs: DataFrame, text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """ord, key, doc_id, n_shingles, component_id of every row, and the ord and key of its group's first row."""
     known = staged(members(docs, text, n), "members")
-    labels = class_components(docs, known, text, n)
+    labels = class_components(docs, known, text, n, percent)
     rows = known.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     firsts = rows.where(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("doc_id").alias("_id"), F.min(F.struct("ord", "key")).alias("_first"))
     rows = rows.join(firsts, "comp", "left")
@@ -273,9 +272,9 @@ def grouped(docs: DataFrame, text: str = "text", n: int = N) -> DataFrame:
     return rows.select("ord", "key", "doc_id", "n_shingles", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("_id")).alias("component_id"), first["ord"].alias("first_ord"), first["key"].alias("first_key"))
 
 
-def one_of_each_group(docs: DataFrame, text: str = "text") -> DataFrame:
+def one_of_each_group(docs: DataFrame, text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """The first row of every group of linked documents, with all columns; rows without n-grams all stay."""
-    marks = grouped(docs, text)
+    marks = grouped(docs, text, n, percent)
     stays = marks.where((F.col("ord") == F.col("first_ord")) & (F.col("key") == F.col("first_key")))
     stays = stays.groupBy(F.col("ord").alias("_ord"), F.col("key").alias("_key")).agg((F.max("n_shingles") == 0).alias("_all"))
     rows = docs.select(*docs.columns, order_of().alias("_ord"), text_key(text).alias("_key")).join(stays, ["_ord", "_key"])

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import bpe, bytewindows, jaccard, mixing, orderhash, quality, secrets, tokens, wordwindows
+from wardflow.llm import bpe, bytewindows, jaccard, mixing, neighbours, orderhash, quality, secrets, tokens, wordwindows
 from wardflow.llm.common import prepare, staged, table
 
 
@@ -47,6 +48,10 @@ def op10_byte_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytewindows.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(prepare(spark), sf_dir)
 
