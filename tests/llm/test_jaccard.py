@@ -65,6 +65,7 @@ def test_components(spark, monkeypatch, seed, fragment, flush, centres):
     monkeypatch.setattr(jaccard, "FRAGMENT", fragment)
     monkeypatch.setattr(jaccard, "FLUSH", flush)
     monkeypatch.setattr(jaccard, "CENTRES", centres)
+    monkeypatch.setattr(jaccard, "FRAGMENTS", 5)
     rows = corpus(seed)
     docs = spark.createDataFrame([(*x, 1, "n") for x in rows], "doc_id long, text string, class int, comp string").repartition(3)
     got = jaccard.grouped(docs).select("doc_id", "n_shingles", "component_id").collect()

@@ -11,7 +11,9 @@ counted fragment by fragment, and the partial overlaps are summed per pair.
 
 Copies never multiply: equal sets are one class, named by a digest of the set. Of very similar sets not every pair is
 counted either, because only the components are asked for: in each prefix list, all sets are first held against one
-centre, and after that only pairs that still lie in different components are left to be counted, all of them.
+centre, and after that only pairs that still lie in different components are left to be counted, all of them. Before
+anything is counted, two exact bounds are held against a pair: what can still be common from the place of a shared n-gram
+on, and the least difference of the sets that the parities of their hashes show.
 
 NULL or empty texts have no n-grams and link with nothing. Rows without a doc_id take part; a component of such rows only
 has no id. Rows with the same doc_id are documents of their own. An empty table gives no rows. Extra columns are never
@@ -35,10 +37,12 @@ from wardflow.llm.superkmers import order_of
 
 N = 4
 PERCENT = 85
-FRAGMENT = 4_000_000  # n-grams per fragment, about
+FRAGMENT = 4_000_000  # n-grams per fragment, at most about
+FRAGMENTS = 64  # fragments at least
 FLUSH = 3_000_000  # n-grams a task gathers before it sends them
 PARTS = 8  # groups of fragments in which the overlap of a pair is counted
-CENTRES = 3  # rounds against centres before all pairs between components are counted
+CENTRES = 1  # rounds against centres before all pairs between components are counted
+PARITIES = 512  # bits of the parity map of a set
 HASH_BITS, TOKEN_BITS = 48, 44
 
 
@@ -62,20 +66,29 @@ def _digest(grams: np.ndarray) -> int:
     return int(run_hashes(total, 3).view(np.int64)[0])
 
 
+def _parities(grams: np.ndarray) -> np.ndarray:
+    """Bits that tell for each remainder whether an odd number of hashes has it. Sets that differ in k hashes differ in
+    k bits at most."""
+    odd = np.bincount((grams % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def members(docs: DataFrame, text: str = "text", n: int = N) -> DataFrame:
-    """ord, key, doc_id, n_shingles, class of every row."""
+    """ord, key, doc_id, n_shingles, class, parity map of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, names = [], []
+            sizes, names, bits = [], [], []
             for grams in _sets(*text_bytes(batch.column(3)), n):
                 sizes.append(len(grams))
                 names.append(_digest(grams) if len(grams) else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(names, pa.int64())], names=["ord", "key", "doc_id", "n_shingles", "class"])
+                bits.append(_parities(grams))
+            columns = [pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(bits, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], names=["ord", "key", "doc_id", "n_shingles", "class", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(order_of().alias("ord"), text_key(text).alias("key"), "doc_id", whole_text(text).alias("_text"))
-    return rows.mapInArrow(run, f"ord long, key long, doc_id {kind}, n_shingles long, class long")
+    return rows.mapInArrow(run, f"ord long, key long, doc_id {kind}, n_shingles long, class long, bits array<long>")
 
 
 def shared_parts(docs: DataFrame, n_fragments: int, text: str = "text", n: int = N) -> DataFrame:
@@ -186,17 +199,26 @@ def _links(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return counted.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
 
-def _fits(percent: int) -> Column:
-    """Sizes of two sets that may link at all."""
-    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+def _may_link(percent: int) -> Column:
+    """Whether a set and its partner in a list (columns with an underscore) may link, by their sizes, by the place of the
+    n-gram they share, and by their parity maps. The bounds hold for the first n-gram a linked pair shares."""
+    total = F.col("n") + F.col("_n")
+    needed = F.ceil(total * percent / (100 + percent))
+    differ = sum((F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("_bits", F.lit(i)))) for i in range(PARITIES // 64)), F.lit(0))
+    return (F.least(F.col("n") - F.col("pos"), F.col("_n") - F.col("_pos")) >= needed) & (differ <= total - 2 * needed)
+
+
+def _partner(lists: DataFrame, *keep: str) -> DataFrame:
+    return lists.select(*keep, *[F.col(c).alias(f"_{c}") for c in ("class", "n", "pos", "bits", "comp")])
 
 
 def _centre_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each set of a list against one set of the list of about its size, if they lie in different components."""
-    chosen = F.min(F.struct(F.xxhash64("class", F.lit(turn)).alias("o"), F.col("class").alias("class"), F.col("n").alias("n"), F.col("comp").alias("comp")))
-    centres = lists.groupBy("token", "band").agg(chosen.alias("c")).select("token", "band", F.col("c.class").alias("_c"), F.col("c.n").alias("_n"), F.col("c.comp").alias("_comp"))
-    met = lists.join(centres, ["token", "band"]).where(F.col("comp") != F.col("_comp"))
-    return _ordered(met, percent)
+    """Each set of a list against one set of the list of about its size, if they lie in different components. The centre
+    is the set with the smallest share of n-grams of its own, which most others are closest to."""
+    rank = F.struct((F.col("alone") / F.col("n")).alias("share"), F.xxhash64("class", F.lit(turn)).alias("o"), "class", "n", "pos", "bits", "comp")
+    centres = lists.groupBy("token", "band").agg(F.min(rank).alias("c")).select("token", "band", "c.*")
+    met = lists.join(_partner(centres, "token", "band"), ["token", "band"]).where((F.col("comp") != F.col("_comp")) & _may_link(percent))
+    return _ordered(met)
 
 
 def _other_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -207,36 +229,38 @@ def _other_pairs(lists: DataFrame, percent: int) -> DataFrame:
     sizes = lists.groupBy("token", "comp").agg(F.count("*").alias("_m"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("_m", "comp"))["comp"].alias("_main"))
     outside = lists.join(largest, "token").where(F.col("comp") != F.col("_main"))
-    mine = outside.select("token", "_main", "class", "n", "comp", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
-    others = lists.select("token", "band", F.col("class").alias("_c"), F.col("n").alias("_n"), F.col("comp").alias("_comp"))
-    met = mine.join(others, ["token", "band"]).where((F.col("comp") != F.col("_comp")) & ((F.col("_comp") == F.col("_main")) | (F.col("class") < F.col("_c"))))
-    return _ordered(met, percent)
+    mine = outside.select("token", "_main", "class", "n", "pos", "bits", "comp", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    apart = (F.col("comp") != F.col("_comp")) & ((F.col("_comp") == F.col("_main")) | (F.col("class") < F.col("_class")))
+    return _ordered(mine.join(_partner(lists, "token", "band"), ["token", "band"]).where(apart & _may_link(percent)))
 
 
-def _ordered(met: DataFrame, percent: int) -> DataFrame:
-    swap = F.col("class") > F.col("_c")
+def _ordered(met: DataFrame) -> DataFrame:
+    swap = F.col("class") > F.col("_class")
     pairs = met.select(
-        F.least("class", "_c").alias("a"),
-        F.greatest("class", "_c").alias("b"),
+        F.least("class", "_class").alias("a"),
+        F.greatest("class", "_class").alias("b"),
         F.when(swap, F.col("_n")).otherwise(F.col("n")).alias("na"),
         F.when(swap, F.col("n")).otherwise(F.col("_n")).alias("nb"),
     )
-    return pairs.where(_fits(percent)).distinct()
+    return pairs.distinct()
 
 
 def class_components(docs: DataFrame, known: DataFrame, text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """node, comp: the component of every class that links with another class."""
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
-    parts = staged(shared_parts(docs, n_parts(total, FRAGMENT), text, n), "shared-grams")
-    sizes = known.where("n_shingles > 0").select("class", F.col("n_shingles").alias("n")).distinct()
+    parts = staged(shared_parts(docs, max(FRAGMENTS, n_parts(total, FRAGMENT)), text, n), "shared-grams")
+    sizes = known.where("n_shingles > 0").groupBy("class").agg(F.max("n_shingles").alias("n"), F.min("bits").alias("bits"))
     shared = parts.groupBy("class").agg(F.sum(F.size("grams")).alias("shared"))
     able = staged(shared.join(sizes, "class").where(F.col("shared") >= _least_overlap("n", percent)), "candidates")
     # Rarest first; the n-grams that no other class has come before all of these and take up a part of the prefix.
     token = F.transform(F.arrays_zip("grams", "counts"), lambda x: F.shiftleft(F.least(x["counts"], F.lit(1 << 18)).cast("long"), TOKEN_BITS) + x["grams"].bitwiseAND(F.lit((1 << TOKEN_BITS) - 1)))
-    own = parts.join(able, "class")
+    own = parts.join(able.drop("bits"), "class")
     whole = own.select("class", "n", "shared", token.alias("tokens")).groupBy("class", "n", "shared").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
     prefix = F.slice(F.sort_array("tokens"), F.lit(1), (F.col("shared") - _least_overlap("n", percent) + 1).cast("int"))
-    postings = whole.select("class", "n", F.floor(F.log("n") / np.log(100 / percent)).cast("int").alias("band"), F.explode(prefix).alias("token"))
+    alone = F.col("n") - F.col("shared")
+    postings = whole.select("class", "n", alone.alias("alone"), F.floor(F.log("n") / np.log(100 / percent)).cast("int").alias("band"), F.posexplode(prefix).alias("pos", "token"))
+    # A place counts the n-grams before it, those of the set alone included.
+    postings = postings.withColumn("pos", F.col("pos") + F.col("alone")).join(able.select("class", "bits"), "class")
     postings = staged(postings, "prefixes")
     parts = staged(own.groupBy("class", "part").agg(F.flatten(F.collect_list("grams")).alias("grams")), "candidate-grams")
     links = tested = None
