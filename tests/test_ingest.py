@@ -200,3 +200,30 @@ def test_newest_status_counts(spark, importer):
     mark_run(spark, importer.status_target, "alpha", "SUCCESS", dt.datetime(2024, 1, 2))
     row = importer.status().where("source_table = 'alpha'").first()
     assert (row.last_run_status, row.last_run_ts) == ("SUCCESS", dt.datetime(2024, 1, 2))
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    import pytest
+
+    from wardflow import session
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class Session:
+        def __init__(self, **values):
+            self.conf = Conf({k.replace("__", "."): v for k, v in values.items()})
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_dir(Session(spark__master=master))
+    assert session.shared_dir(Session(spark__master="yarn", spark__checkpoint__dir="s3a://b/c/")) == "s3a://b/c"
+    local = Session(spark__master="local[4]")
+    assert session.shared_dir(local) == session.shared_dir(local)

@@ -92,3 +92,15 @@ def test_streams_over_the_log(spark, root):
     query.awaitTermination()
     got = {(r.log_hour.hour, r.step_name, r.log_level): r.event_count for r in spark.table("hours").collect()}
     assert got[1, "RUN_IMPORT", "INFO"] == 2 and got[2, "PROCESS", "ERROR"] == 2
+
+
+def test_details_that_do_not_fit(spark):
+    from pyspark.sql import functions as F
+
+    from wardflow.functions.details import detail_field, has_field, misfits
+
+    raw = spark.createDataFrame([('{"k": "many"}',), ("no json",), ('{"k": 4}',), (None,)], "d string")
+    parsed = raw.select(F.try_parse_json("d").alias("v"))
+    assert [r[0] for r in parsed.select(detail_field(F.col("v"), "k", "bigint")).collect()] == [None, None, 4, None]
+    assert [r[0] for r in parsed.select(has_field(F.col("v"), "k")).collect()][:1] == [True]
+    assert raw.agg(misfits(F.col("d"))).first()[0] == 1

@@ -13,10 +13,15 @@ def detail_of(**fields: Column | str | int | float | bool) -> Column:
 
 
 def detail_field(detail: Column, key: str, type_: str = "string") -> Column:
-    """One typed field of a detail object, NULL where the key is missing; a value of another type is an error."""
-    return F.variant_get(detail, f"$.{key}", type_)
+    """One typed field of a detail object, NULL where the key is missing or the value does not fit the type."""
+    return F.try_variant_get(detail, f"$.{key}", type_)
 
 
 def has_field(detail: Column, key: str) -> Column:
     """True where the key exists, also when its value is JSON null."""
-    return F.variant_get(detail, f"$.{key}", "variant").isNotNull()
+    return F.try_variant_get(detail, f"$.{key}", "variant").isNotNull()
+
+
+def misfits(raw: Column) -> Column:
+    """How many texts are no JSON at all, as an aggregate; ``try_parse_json`` turns those into NULL."""
+    return F.count_if(raw.isNotNull() & F.try_parse_json(raw).isNull())

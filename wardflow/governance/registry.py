@@ -245,10 +245,11 @@ def clinical_registry(patient_table: str = "raw.patient_dim", encounter_table: s
     return reg
 
 
+# Names of the policies and who sees what.
 DEPARTMENT_ROW_FILTER = RowPolicy(
     "DEPARTMENT_ROW_FILTER",
     "department",
     full_access=frozenset({"ADMIN", "ANALYST"}),
     mapped=frozenset({"CLINICIAN"}),
-    comment="ADMIN and ANALYST see all rows, CLINICIAN the mapped departments",
+    comment="Clinicians are limited to departments in the access table; the two other roles have no limit",
 )

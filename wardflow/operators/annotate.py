@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -38,19 +38,32 @@ def annotate_text(
     return df.withColumn(out, F.pandas_udf(run, "string")(F.col(text_col)))
 
 
-def extract_fields(df: DataFrame, text_col: str, patterns: Mapping[str, str], out: str = "extracted") -> DataFrame:
-    """One object per text with the first match of every field's pattern (its first group), NULL where none matches."""
+def extract_fields(
+    df: DataFrame,
+    text_col: str,
+    patterns: Mapping[str, str],
+    out: str = "extracted",
+    required_text: Mapping[str, str] | None = None,
+    may_be_empty: Collection[str] = (),
+) -> DataFrame:
+    """One object per text with the first match of every field's pattern (its first group), NULL where none matches.
+
+    ``required_text`` names a literal that every match of a field holds; texts without it are not searched. In the fields
+    ``may_be_empty`` the wanted part of a match may have no characters; elsewhere an empty result is no match.
+    """
     text = F.col(text_col)
-    found = {
-        f"_{out}_{name}": F.regexp_extract(text, pattern, 1 if re.compile(pattern).groups else 0)
-        for name, pattern in patterns.items()
-    }
     fields = []
-    for (hidden, _), (name, pattern) in zip(found.items(), patterns.items(), strict=True):
-        # An empty result may be a match of no characters; only then is the pattern tested again.
-        value = F.when(F.col(hidden) != "", F.col(hidden)).when(text.rlike(pattern), F.col(hidden))
+    for name, pattern in patterns.items():
+        group = 1 if re.compile(pattern).groups else 0
+        found = F.regexp_extract(text, pattern, group)
+        if name in may_be_empty:  # then an empty result may be a match, so the pattern is tested by itself
+            value = F.when(text.rlike(pattern), found)
+        else:
+            value = F.nullif(found, F.lit(""))
+            if name in (required_text or {}):
+                value = F.when(F.contains(text, F.lit(required_text[name])), value)
         fields.append(value.alias(name))
-    return df.withColumns(found).withColumn(out, F.struct(*fields)).drop(*found)
+    return df.withColumn(out, F.struct(*fields))
 
 
 def lookup_annotations(df: DataFrame, annotations: DataFrame, key: str) -> DataFrame:

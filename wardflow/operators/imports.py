@@ -7,6 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,6 @@ from wardflow.sources.schemas import IMPORT_STATUS
 from wardflow.sources.tables import append, ctas, read, rows_frame, with_lineage
 
 STEP = "RUN_IMPORT"
-# A configuration is a short list kept by people; more entries than this point at the wrong table.
-MAX_CONFIG_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -47,23 +46,23 @@ class Importer:
         self.status_target, self.locate = status_target, locate
 
     def _entries(self, condition=None) -> list[Row]:
+        """Declarations made by people, one import each, in order."""
         rows = self.config if condition is None else self.config.where(condition)
-        found = rows.orderBy("config_id").limit(MAX_CONFIG_ROWS + 1).collect()
-        if len(found) > MAX_CONFIG_ROWS:
-            raise ValueError(f"the import configuration has more than {MAX_CONFIG_ROWS} rows")
-        return found
+        return list(rows.orderBy("config_id").toLocalIterator())
 
-    def get_config(self, source_table: str) -> Row | None:
+    def get_config(self, source_table: str) -> list[Row]:
+        """The enabled entries of a source, or its disabled ones where none is enabled."""
         rows = self._entries(F.col("source_table") == source_table)
-        return rows[0] if rows else None
+        return [r for r in rows if r.enabled] or rows[:1]
 
     def run_import(self, source_table: str, batch_id: str, loaded_at: dt.datetime | None = None) -> ImportResult:
-        """Copy one configured source into its target with load time and batch id; errors end in status FAILED."""
-        entry = self.get_config(source_table)
-        result = self._import(entry, source_table, batch_id, loaded_at)
-        self._stamp([result])
+        """Copy one configured source into each of its enabled targets with load time and batch id; errors end in status
+        FAILED. Where there are several targets, the first failure is the result, else the first success."""
+        entries = self.get_config(source_table) or [None]
+        results = [self._import(e, source_table, batch_id, loaded_at) for e in entries]
+        self._stamp(results)
         self.log.flush()
-        return result
+        return next((r for r in results if r.status == "FAILED"), results[0])
 
     def run_all_imports(
         self, batch_id: str, loaded_at: dt.datetime | None = None, parallel: int = 4
@@ -82,6 +81,7 @@ class Importer:
             return ImportResult(source, "UNKNOWN", f"{source} is not configured")
         if not entry.enabled:
             return ImportResult(source, "DISABLED", f"{source} is disabled")
+        # The step name, the log messages and the texts of the results below are fixed values.
         run = make_run_id(batch_id)
         origin = f"{entry.source_schema}.{source}"
         target = f"{entry.target_schema}.{entry.target_table}"
@@ -114,7 +114,11 @@ class Importer:
             append(rows_frame(self.spark, rows, IMPORT_STATUS).coalesce(1), self.status_target)
 
     def status(self) -> DataFrame:
-        return import_status(self.config, read(self.spark, self.status_target))
+        try:
+            stamps = read(self.spark, self.status_target, IMPORT_STATUS)
+        except AnalysisException:  # nothing was imported yet
+            stamps = self.spark.createDataFrame([], IMPORT_STATUS)
+        return import_status(self.config, stamps)
 
 
 def mark_run(spark: SparkSession, status_target: str, source_table: str, status: str, now: dt.datetime) -> None:

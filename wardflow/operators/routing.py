@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.operators.runlog import RunLog, make_run_id
-from wardflow.operators.validation import VENDOR_LAB_RULES, Drift, Rule, align, detect_drift, with_validation
+from wardflow.operators.validation import REJECTED, VENDOR_LAB_RULES, Drift, Rule, align, detect_drift, with_validation
 from wardflow.sources.schemas import BATCH, VENDOR_LAB
 from wardflow.sources.tables import rows_frame
 
@@ -91,7 +91,7 @@ def routed(spark: SparkSession, base: str, schema: T.StructType = VENDOR_LAB) ->
 
 
 def accepted(spark: SparkSession, base: str, schema: T.StructType = VENDOR_LAB) -> DataFrame:
-    return routed(spark, base, schema).where(F.col("status") == ACCEPTED).drop("status", "rejection_reasons")
+    return routed(spark, base, schema).where(F.col("status") == ACCEPTED).drop("status", REJECTED, "rejection_reasons")
 
 
 def quarantined(spark: SparkSession, base: str, schema: T.StructType = VENDOR_LAB) -> DataFrame:
@@ -115,7 +115,8 @@ def _record(spark: SparkSession, base: str, batch_id: str, state: str, accepted:
 
 
 def _routed_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("rejection_reasons", T.ArrayType(T.StringType()))])
+    more = [T.StructField(REJECTED, T.MapType(T.StringType(), T.StringType())), T.StructField("rejection_reasons", T.ArrayType(T.StringType()))]
+    return T.StructType([*schema.fields, *more])
 
 
 def process_vendor_batch(
@@ -129,6 +130,7 @@ def process_vendor_batch(
     mode: str = "replace",
 ) -> BatchResult:
     """Route one batch and log start, drift, counts and any failure."""
+    # The step name and the log messages below are fixed values.
     run = make_run_id(batch_id)
     log.event(run, STEP, "INFO", f"Processing vendor batch: {name} as {batch_id}")
     try:

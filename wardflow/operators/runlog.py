@@ -73,20 +73,24 @@ def make_run_id(batch_id: str, now: dt.datetime | None = None) -> str:
 # --- views -----------------------------------------------------------------------------------------------------------
 
 
-def run_summary(log: DataFrame) -> DataFrame:
+# The output columns of the views and the health rule are fixed values. The order is for people who look at
+# a view; jobs that read on cannot rely on one and ask for the rows unsorted.
+
+
+def run_summary(log: DataFrame, ordered: bool = True) -> DataFrame:
     """Events per hour, step and level with first and last time."""
-    return (
+    out = (
         log.groupBy(hour_floor(F.col("logged_at")).alias("log_hour"), "step_name", "log_level")
         .agg(
             F.count("*").alias("event_count"),
             F.min("logged_at").alias("first_event"),
             F.max("logged_at").alias("last_event"),
         )
-        .orderBy(F.col("log_hour").desc_nulls_first(), F.col("log_level").asc_nulls_last())
     )
+    return out.orderBy(F.col("log_hour").desc_nulls_first(), F.col("log_level").asc_nulls_last()) if ordered else out
 
 
-def batch_health(log: DataFrame, batch: str | None = None) -> DataFrame:
+def batch_health(log: DataFrame, batch: str | None = None, ordered: bool = True) -> DataFrame:
     """Level counts, status and duration per batch.
 
     A batch is the first two parts of the run id, or the given column where the log carries a real batch id.
@@ -100,42 +104,40 @@ def batch_health(log: DataFrame, batch: str | None = None) -> DataFrame:
         F.min("logged_at").alias("started_at"),
         F.max("logged_at").alias("ended_at"),
     )
-    return counts.select(
+    out = counts.select(
         *["batch_prefix", "info_count", "warn_count", "error_count"],
         health_status(F.col("error_count"), F.col("warn_count")).alias("health_status"),
         *["started_at", "ended_at"],
         second_boundaries(F.col("started_at"), F.col("ended_at")).alias("duration_sec"),
-    ).orderBy(F.col("started_at").desc_nulls_first())
+    )
+    return out.orderBy(F.col("started_at").desc_nulls_first()) if ordered else out
 
 
-def import_details(log: DataFrame) -> DataFrame:
-    """Typed details of the import events, newest first."""
-    return _details(log, "rows_loaded", rows_loaded="decimal(38,0)", target="string", batch_id="string").withColumnRenamed(
+def import_details(log: DataFrame, ordered: bool = True) -> DataFrame:
+    """Typed details of the import events, newest first if ordered."""
+    return _details(log, "rows_loaded", ordered, rows_loaded="decimal(38,0)", target="string", batch_id="string").withColumnRenamed(
         "target", "target_table"
     )
 
 
-def quarantine_details(log: DataFrame) -> DataFrame:
-    """Typed details of the routing events, newest first."""
-    return _details(log, "quarantined", accepted="decimal(38,0)", quarantined="decimal(38,0)", batch_id="string")
+def quarantine_details(log: DataFrame, ordered: bool = True) -> DataFrame:
+    """Typed details of the routing events, newest first if ordered."""
+    return _details(log, "quarantined", ordered, accepted="decimal(38,0)", quarantined="decimal(38,0)", batch_id="string")
 
 
-def _details(log: DataFrame, key: str, **fields: str) -> DataFrame:
+def _details(log: DataFrame, key: str, ordered: bool, **fields: str) -> DataFrame:
     detail = F.col("detail")
-    return (
-        log.where(detail.isNotNull() & has_field(detail, key))
-        .orderBy(F.col("logged_at").desc_nulls_first())
-        .select("run_id", "message", *[detail_field(detail, k, t).alias(k) for k, t in fields.items()])
+    out = log.where(detail.isNotNull() & has_field(detail, key)).select(
+        "run_id", "message", *[detail_field(detail, k, t).alias(k) for k, t in fields.items()], "logged_at"
     )
+    return (out.orderBy(F.col("logged_at").desc_nulls_first()) if ordered else out).drop("logged_at")
 
 
-def problem_events(log: DataFrame) -> DataFrame:
-    """Warnings and errors, newest first."""
-    return (
-        log.where(F.col("log_level").isin("WARN", "ERROR"))
-        .select("run_id", "step_name", "log_level", "message", "logged_at")
-        .orderBy(F.col("logged_at").desc_nulls_first())
-    )
+def problem_events(log: DataFrame, ordered: bool = True) -> DataFrame:
+    """Warnings and errors, newest first if ordered."""
+    out = log.where(F.col("log_level").isin("WARN", "ERROR"))
+    out = out.select("run_id", "step_name", "log_level", "message", "logged_at")
+    return out.orderBy(F.col("logged_at").desc_nulls_first()) if ordered else out
 
 
 def events_of(log: DataFrame, run_id: str) -> DataFrame:
@@ -151,7 +153,9 @@ def has_recent_errors(log: DataFrame, minutes: int = 5, now: dt.datetime | str |
     return not recent_errors(log, minutes, now).isEmpty()
 
 
-def error_patterns(log: DataFrame, n: int | None = None, levels: tuple[str, ...] = ("ERROR",)) -> DataFrame:
+def error_patterns(
+    log: DataFrame, n: int | None = None, levels: tuple[str, ...] = ("ERROR",), ordered: bool = True
+) -> DataFrame:
     """Messages grouped by their template with counts and times; with n, the n most frequent ones."""
     out = (
         log.where(F.col("log_level").isin(*levels))
@@ -161,6 +165,7 @@ def error_patterns(log: DataFrame, n: int | None = None, levels: tuple[str, ...]
             F.min("logged_at").alias("first_event"),
             F.max("logged_at").alias("last_event"),
         )
-        .orderBy(F.col("event_count").desc(), F.col("template").asc_nulls_last())
     )
+    if ordered or n is not None:
+        out = out.orderBy(F.col("event_count").desc(), F.col("template").asc_nulls_last())
     return out if n is None else out.limit(n)

@@ -23,7 +23,7 @@ class Rule:
     allowed: tuple[str, ...] | None = None
 
     def reason(self) -> Column:
-        """The text of the complaint, NULL for a good value."""
+        """The text of the complaint (the wording is a fixed value), NULL for a good value."""
         col, label = F.col(self.column), self.column.upper()
         checks: list[tuple[Column, Column]] = []
         if self.required:
@@ -39,7 +39,6 @@ class Rule:
             out = F.when(test, text).otherwise(out)
         return out
 
-
     def reason_sql(self, param: str) -> str:
         """The same complaint as SQL text over a function parameter."""
         label, whens = self.column.upper(), []
@@ -63,15 +62,30 @@ VENDOR_LAB_RULES = (
 )
 
 
+# Values of a row that do not fit the declared types, by column.
+REJECTED = "rejected_values"
+
+
 def rejection_reasons(rules: Sequence[Rule] = VENDOR_LAB_RULES) -> Column:
     return F.array_compact(F.array(*[r.reason() for r in rules]))
 
 
 def with_validation(df: DataFrame, rules: Sequence[Rule] = VENDOR_LAB_RULES) -> DataFrame:
-    """Every row with its verdict and the list of all reasons against it."""
-    return df.withColumn("rejection_reasons", rejection_reasons(rules)).withColumn(
-        "is_valid", F.size("rejection_reasons") == 0
-    )
+    """Every row with its verdict and the list of all reasons against it.
+
+    A value that ``align`` could not fit to its type is a reason of its own, also in columns without a rule.
+    """
+    reasons = rejection_reasons(rules)
+    if REJECTED in df.columns:
+        others = F.map_filter(REJECTED, lambda k, _: ~k.isin([r.column for r in rules]))
+        checked = F.array(*[F.when(F.col(REJECTED)[r.column].isNotNull(), _misfit(F.lit(r.column), F.col(REJECTED)[r.column])).otherwise(r.reason()) for r in rules])
+        unchecked = F.transform(F.map_entries(others), lambda e: _misfit(e["key"], e["value"]))
+        reasons = F.array_compact(F.concat(checked, F.coalesce(unchecked, F.array().cast("array<string>"))))
+    return df.withColumn("rejection_reasons", reasons).withColumn("is_valid", F.size("rejection_reasons") == 0)
+
+
+def _misfit(column: Column, value: Column) -> Column:
+    return F.concat(F.upper(column), F.lit(" format invalid: "), value)
 
 
 def register_sql_function(
@@ -154,14 +168,24 @@ def drift_report(df: DataFrame, expected: T.StructType) -> DataFrame:
 
 
 def align(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """The expected columns only: extra ones are dropped, missing ones are NULL, values that do not fit become NULL."""
-    have = {c.lower(): c for c in df.columns}
-    return df.select(
-        *[
-            (F.col(have[f.name]).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in expected
-        ]
-    )
+    """The expected columns: extra ones are dropped, missing ones are NULL, values that do not fit become NULL.
+
+    What did not fit is kept as text in the map column REJECTED (NULL where everything fits).
+    """
+    have = {f.name.lower(): f for f in df.schema}
+    columns, lost = [], []
+    for f in expected:
+        if f.name not in have:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        raw = F.col(have[f.name].name)
+        value = raw.try_cast(f.dataType)
+        columns.append(value.alias(f.name))
+        if have[f.name].dataType != f.dataType:
+            lost.append(F.when(raw.isNotNull() & value.isNull(), F.struct(F.lit(f.name).alias("key"), raw.cast("string").alias("value"))))
+    rejected = F.array_compact(F.array(*lost)) if lost else None
+    kept = F.when(F.size(rejected) > 0, F.map_from_entries(rejected)) if lost else F.lit(None)
+    return df.select(*columns, kept.cast("map<string,string>").alias(REJECTED))
 
 
 def normalize_formats(df: DataFrame, spec: Mapping[str, Sequence[str | tuple[str, ...]]]) -> DataFrame:

@@ -117,7 +117,7 @@ _JSON_REASONS = """'[' || coalesce(list_aggregate(list_transform(reasons, lambda
 _LOG = """log AS (
   SELECT event_type || '-' || user_id || '-' || event_id AS run_id, event_type AS step_name,
          CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELSE 'INFO' END AS log_level,
-         'Step ''' || event_type || ''' of user ' || user_id || ' failed with code ' || k AS message,
+         'Step ''' || event_type || ''' of user ' || user_id || ' ended as ' || event_type || ' with code ' || k AS message,
          k, ts AS logged_at, CAST(user_id AS VARCHAR) AS batch_id, event_type
   FROM (SELECT *, CAST(regexp_extract(props, '"k": ?([0-9]+)', 1) AS BIGINT) AS k FROM events))"""
 
@@ -258,6 +258,33 @@ _TAGS = f"""{_PATIENTS}, {_VENDOR}, refs AS (
   {_best(_PATIENT_CLASSES, "patient_dim")} UNION ALL {_best(_VENDOR_CLASSES, "vendor_labs")}),
 labels_of(tag_value, label) AS (VALUES ('SSN', 'Highly Confidential'), ('MRN', 'Confidential'))"""
 
+# A table is refreshed once for every drop that reaches it (see the drops in plans/queries.py).
+_REFRESHES = """WITH drops AS (SELECT
+    (SELECT count(*) > 0 FROM customer WHERE NOT c_custkey * 7919 % 25000 > date_diff('day', DATE '1940-01-01', DATE '1990-01-01')) AS p1,
+    (SELECT count(*) > 0 FROM customer WHERE c_custkey * 7919 % 25000 > date_diff('day', DATE '1940-01-01', DATE '1990-01-01')) AS p3,
+    (SELECT count(*) > 0 FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01') AS e1,
+    (SELECT count(*) > 0 FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01') AS e2,
+    (SELECT count(*) > 0 FROM orders, supplier WHERE o_custkey = s_suppkey) AS known,
+    (SELECT count(*) > 0 FROM supplier) AS s2),
+  facts AS (SELECT *, e1 AS f1, e2 OR known AS f2 FROM drops)
+SELECT name, 'SUCCEEDED' AS state, CAST(n AS BIGINT) AS refreshes FROM (
+  SELECT unnest([
+    {name: 'curated.dim_patient', n: CAST(p1 AS INT) + CAST(p3 AS INT)},
+    {name: 'curated.dim_provider', n: CAST(s2 AS INT)},
+    {name: 'curated.fact_encounter', n: CAST(f1 AS INT) + CAST(e2 OR s2 AS INT)},
+    {name: 'curated.encounter_partials', n: CAST(f1 AS INT) + CAST(f2 AS INT)},
+    {name: 'gold.patient_encounter_summary', n: CAST(p1 OR f1 AS INT) + CAST(f2 AS INT) + CAST(p3 AS INT)},
+    {name: 'gold.abnormal_results_summary', n: CAST(p1 OR f1 AS INT) + CAST(f2 AS INT) + CAST(p3 AS INT)},
+    {name: 'gold.department_partials', n: CAST(f1 AS INT) + CAST(f2 AS INT)},
+    {name: 'gold.department_encounter_counts', n: CAST(e1 AS INT) + CAST(e2 AS INT)},
+    {name: 'gold.department_dashboard', n: CAST(f1 AS INT) + CAST(f2 AS INT)}], recursive := true)
+  FROM facts) WHERE n > 0"""
+
+_ABNORMAL = """SELECT lr.pat_id, p.first_name || ' ' || p.last_name AS patient_name, lr.test_name, lr.result_value,
+             lr.result_unit, lr.reference_high, lr.abnormal_flag, lr.result_date, e.department, e.attending_provider
+           FROM fact_lab_results lr JOIN fact_encounter e ON lr.encounter_id = e.encounter_id
+           JOIN dim_patient p ON lr.pat_id = p.pat_id WHERE lr.abnormal_flag <> 'NORMAL'"""
+
 ORACLES: dict[str, str] = {
     "dim_patient": _with(_PEOPLE, "SELECT * FROM dim_patient"),
     "dim_provider": _with(_PROVIDERS, "SELECT prov_id, prov_name, specialty, department, npi, active FROM providers"),
@@ -267,19 +294,16 @@ ORACLES: dict[str, str] = {
     "patient_visit_summary": _with(f"{_PEOPLE}, {_VISITS}", _summary("visits")),
     "department_dashboard": _with(_FULL_FACT, _dashboard("fact_encounter")),
     "visit_dashboard": _with(_VISITS, _dashboard("visits")),
-    "abnormal_results_summary": _with(
-        f"{_PEOPLE}, {_FULL_FACT}, {_LABS}",
-        """SELECT lr.pat_id, p.first_name || ' ' || p.last_name AS patient_name, lr.test_name, lr.result_value,
-             lr.result_unit, lr.reference_high, lr.abnormal_flag, lr.result_date, e.department, e.attending_provider
-           FROM fact_lab_results lr JOIN fact_encounter e ON lr.encounter_id = e.encounter_id
-           JOIN dim_patient p ON lr.pat_id = p.pat_id WHERE lr.abnormal_flag <> 'NORMAL'""",
-    ),
+    "abnormal_results_summary": _with(f"{_PEOPLE}, {_FULL_FACT}, {_LABS}", _ABNORMAL),
     "department_rollup": _with(_ENCOUNTERS, _ROLLUP),
     "open_export": _with(_ENCOUNTERS, _ROLLUP),
     "layer_row_counts": " UNION ALL ".join(
         f"SELECT 'raw.{t}' AS layer, count(*) AS n_rows FROM {t}"
         for t in ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "conversations")
     ),
+    "republished_gold": _with(_FULL_FACT, _dashboard("fact_encounter")),
+    "incremental_abnormal": _with(f"{_PEOPLE}, {_FULL_FACT}, {_LABS}", _ABNORMAL),
+    "refresh_states": _REFRESHES,
     "incremental_summary": _with(f"{_PEOPLE}, {_FULL_FACT}", _summary("fact_encounter")),
     "incremental_dashboard": _with(_FULL_FACT, _dashboard("fact_encounter")),
     "filter_equal": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'",
@@ -340,6 +364,35 @@ ORACLES: dict[str, str] = {
              AS template, count(*) AS event_count, min(logged_at) AS first_event, max(logged_at) AS last_event
            FROM log WHERE log_level IN ('ERROR', 'WARN') GROUP BY 1""",
     ),
+    "top_error_patterns": _with(
+        _LOG,
+        """SELECT regexp_replace(regexp_replace(message, '''[^'']*''|"[^"]*"', '<text>', 'g'), '[0-9]+', '<n>', 'g')
+             AS template, count(*) AS event_count, min(logged_at) AS first_event, max(logged_at) AS last_event
+           FROM log GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 2""",
+    ),
+    "events_of_run": _with(
+        _LOG,
+        """SELECT run_id, step_name, log_level, message, logged_at FROM log WHERE run_id =
+             (SELECT run_id FROM log ORDER BY logged_at DESC NULLS FIRST, run_id LIMIT 1)""",
+    ),
+    "recent_error_flag": _with(
+        _LOG,
+        """SELECT now AS checked_at, EXISTS (SELECT 1 FROM log WHERE log_level = 'ERROR' AND logged_at > now - INTERVAL 5 MINUTE)
+             AS has_errors
+           FROM (VALUES (TIMESTAMP '2024-01-15 12:00:00'), (TIMESTAMP '2024-01-20 00:00:00'),
+                        (TIMESTAMP '2023-01-01 00:00:00')) AS t(now)""",
+    ),
+    "log_views_by_sql": _with(
+        f"""{_LOG}, parts AS (SELECT *, split_part(run_id, '-', 1) || '-' || split_part(run_id, '-', 2) AS batch FROM log),
+            health AS (SELECT batch, CASE WHEN bool_or(log_level = 'ERROR') THEN 'RED'
+                         WHEN bool_or(log_level = 'WARN') THEN 'YELLOW' ELSE 'GREEN' END AS health_status,
+                         nullif(count(CASE WHEN log_level IN ('WARN', 'ERROR') THEN 1 END), 0) AS problems
+                       FROM parts GROUP BY batch)""",
+        """SELECT health_status, count(*) AS batches, CAST(sum(problems) AS BIGINT) AS problems FROM health
+           GROUP BY health_status""",
+    ),
+    "detail_misfits": """SELECT (SELECT count(props) FROM events) + (SELECT count(text) FROM documents) AS n_details,
+      (SELECT count(text) FROM documents) AS n_misfits""",
     "error_alerts": _with(
         _LOG,
         """SELECT time_bucket(INTERVAL 5 MINUTE, logged_at) AS window_start,
@@ -359,6 +412,30 @@ ORACLES: dict[str, str] = {
     "validated_by_sql": _with(
         _VENDOR, f"SELECT result_value, len(reasons) = 0 AS is_valid, {_JSON_REASONS} AS reasons FROM checked"
     ),
+    "misfit_quarantine": _with(
+        f"""{_VENDOR}, odd AS (SELECT *, CASE WHEN abnormal_yn = 'Y' THEN strftime(result_date, '%d.%m.%Y') END AS odd_date
+              FROM checked),
+            renamed AS (SELECT result_value, odd_date, CASE WHEN odd_date IS NULL THEN reasons ELSE list_filter([
+                CASE WHEN vendor_id IS NULL THEN 'VENDOR_ID is NULL'
+                     WHEN NOT regexp_full_match(vendor_id, 'VL-[0-9]{{6}}') THEN 'VENDOR_ID format invalid: ' || vendor_id END,
+                CASE WHEN pat_mrn IS NULL THEN 'PAT_MRN is NULL'
+                     WHEN NOT regexp_full_match(pat_mrn, 'MRN-[0-9]{{6}}') THEN 'PAT_MRN format invalid: ' || pat_mrn END,
+                CASE WHEN test_code IS NULL THEN 'TEST_CODE is NULL' END,
+                'RESULT_DATE format invalid: ' || odd_date], lambda r: r IS NOT NULL) END AS reasons FROM odd)""",
+        f"""SELECT result_value, {_JSON_REASONS} AS reasons, odd_date AS rejected_date FROM renamed WHERE len(reasons) > 0""",
+    ),
+    "deleted_batch": _with(
+        f"""{_VENDOR}, n AS (SELECT count(CASE WHEN len(reasons) = 0 THEN 1 END) AS a,
+              count(CASE WHEN len(reasons) > 0 THEN 1 END) AS q FROM checked)""",
+        """SELECT 'BATCH-001' AS batch_id, 'DELETED' AS state, CAST(0 AS BIGINT) AS accepted, CAST(0 AS BIGINT) AS quarantined,
+             CAST(NULL AS BIGINT) AS n_rows
+           UNION ALL SELECT 'BATCH-002', 'ROUTED', a, q, a + q FROM n""",
+    ),
+    "skipped_batch": _with(
+        _VENDOR,
+        """SELECT CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'quarantined' END AS status, count(*) AS n_rows,
+             'SKIPPED' AS second_run FROM checked GROUP BY 1""",
+    ),
     "rerouted_counts": _with(
         _VENDOR,
         """SELECT 'BATCH-001' AS batch_id, CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'quarantined' END AS status,
@@ -404,12 +481,21 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'lineitem', 'SUCCESS', count(*), 'SUCCESS' FROM lineitem
       UNION ALL SELECT 'nowhere', 'FAILED', NULL, 'FAILED'
       UNION ALL SELECT 'part', NULL, NULL, NULL""",
+    "import_duplicates": """SELECT t AS target_table, count(*) AS n_rows, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS stamped_before
+      FROM orders, (VALUES ('first_copy'), ('second_copy')) AS v(t) GROUP BY t""",
+    "declared_defaults": _with(_PROVIDERS, "SELECT prov_id, department, true AS active FROM providers"),
     "imported_rows": f"SELECT *, TIMESTAMP '{LOADED_AT}' AS loaded_at, 'BATCH-7' AS batch_id FROM customer",
     "masked_patients_admin": _masked("pat_first_name", "ssn", "{0}", "birth_date"),
     "masked_patients_clinician": _masked("pat_first_name", "'***-**-' || right(ssn, 4)", "{0}", "birth_date"),
     "masked_patients_analyst": _masked(
         "'***MASKED***'", "'***-**-****'", "'***MASKED***'", "CAST(NULL AS DATE)"
     ),
+    "governed_view_clinician": _with(
+        _PATIENTS, "SELECT pat_id, '***-**-' || right(ssn, 4) AS ssn, pat_first_name, ssn AS copied_ssn FROM patients"
+    ),
+    "governed_view_analyst": _with(
+        _PATIENTS, "SELECT pat_id, '***-**-****' AS ssn, '***MASKED***' AS pat_first_name, ssn AS copied_ssn FROM patients"
+    ),
     "filter_on_masked": "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_values FROM customer",
     "row_policy_admin": _with(_PROVIDERS, "SELECT prov_id, department FROM providers"),
     "row_policy_clinician": _with(
@@ -417,6 +503,7 @@ ORACLES: dict[str, str] = {
         """SELECT prov_id, department FROM providers WHERE EXISTS (SELECT 1 FROM nation
              WHERE n_regionkey <= 1 AND 'Dept ' || n_nationkey = providers.department)""",
     ),
+    "row_policy_analyst": _with(_PROVIDERS, "SELECT prov_id, department FROM providers"),
     "row_policy_visitor": _with(_PROVIDERS, "SELECT prov_id, department FROM providers WHERE false"),
     "classified_columns": _with(_PATIENTS, _PATIENT_CLASSES),
     "classified_documents": _aggregated(
@@ -446,8 +533,8 @@ ORACLES: dict[str, str] = {
         nullif(regexp_extract(text, '[A-Za-z]+'), '') AS first_word FROM documents""",
     "looked_up_annotations": """SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d
       LEFT JOIN labels l ON d.doc_id = l.doc_id""",
-    "described_parts": """SELECT p_partkey, line AS ai_description, line AS stored FROM (SELECT p_partkey,
-      'Type: ' || p_type || ', Brand: ' || p_brand || ', Name: ' || p_name AS line FROM part)""",
+    "described_parts": """SELECT p_partkey,
+      'Type: ' || p_type || ', Brand: ' || p_brand || ', Name: ' || p_name AS ai_description FROM part""",
     "review_tiers": """SELECT p_partkey, CASE WHEN p_size > 10 THEN 'Complex - recommend genomics board review'
         WHEN p_size > 5 THEN 'Moderate - standard oncology review' ELSE 'Simple - routine follow-up' END AS tier,
         CASE WHEN p_size > 30 THEN 'large' WHEN p_size > 15 THEN 'medium' ELSE 'small' END AS size_class FROM part""",

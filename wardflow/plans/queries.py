@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import text
 from wardflow.functions.dates import hour_floor, second_boundaries, within_minutes, year_boundaries
-from wardflow.functions.details import detail_field
+from wardflow.functions.details import detail_field, misfits
 from wardflow.functions.flags import bucket, review_tier
 from wardflow.governance import apply, classify
 from wardflow.governance.masks import MASK_PII_STRING
@@ -24,15 +24,14 @@ from wardflow.governance.registry import (
 from wardflow.operators import annotate, runlog, validation
 from wardflow.operators.counts import layer_counts, tag_coverage
 from wardflow.operators.imports import Importer, results_frame
-from wardflow.operators.routing import process_vendor_batch, quarantined, route_batch, routed
+from wardflow.operators.routing import batches, delete_batch, process_vendor_batch, quarantined, route_batch, routed
 from wardflow.operators.runlog import RunLog
 from wardflow.plans import nodes
 from wardflow.plans import testdata as td
 from wardflow.plans.graph import clinical_graph
 from wardflow.session import new_workspace
-from wardflow.sources.schemas import IMPORT_CONFIG, RUN_LOG, VENDOR_LAB
-from wardflow.sources.tables import annotate as annotate_table
-from wardflow.sources.tables import ctas, export_open, latest, read, rows_frame, with_lineage
+from wardflow.sources.schemas import IMPORT_CONFIG, PROVIDER, RUN_LOG, VENDOR_LAB
+from wardflow.sources.tables import create_table, ctas, export_open, latest, read, register_views, rows_frame, with_lineage
 from wardflow.streaming import alerts
 from wardflow.streaming.refresh import GraphRefresher, refresh_history
 
@@ -70,8 +69,7 @@ def fact_lab_results(spark, sf):
 
 @query
 def patient_encounter_summary(spark, sf):
-    fact = nodes.fact_encounter(td.encounters(spark, sf), td.providers(spark, sf), td.AS_OF)
-    return nodes.patient_encounter_summary(dim_patient(spark, sf), fact, td.AS_OF)
+    return nodes.patient_encounter_summary(dim_patient(spark, sf), td.encounters(spark, sf), td.AS_OF)
 
 
 @query
@@ -82,7 +80,8 @@ def patient_visit_summary(spark, sf):
 
 @query
 def department_dashboard(spark, sf):
-    out = nodes.department_dashboard(fact_encounter(spark, sf))
+    # The stay needs no provider, so the encounters go in without that join.
+    out = nodes.department_dashboard(nodes.fact_encounter_view(td.encounters(spark, sf), td.AS_OF))
     return out.withColumn("avg_charges", F.col("avg_charges").cast("double"))
 
 
@@ -119,16 +118,20 @@ def layer_row_counts(spark, sf):
 # --- incremental refresh -------------------------------------------------------------------------------------------------
 
 
-def _refreshed(spark: SparkSession, sf: str) -> GraphRefresher:
+def _refreshed(spark: SparkSession, sf: str, after_node=None, labs: bool = False) -> GraphRefresher:
     """A store fed in three drops: late providers and patients come after the encounters that refer to them."""
-    store = GraphRefresher(spark, clinical_graph(), new_workspace(spark, "graph"), n_buckets=8)
+    store = GraphRefresher(spark, clinical_graph(), new_workspace(spark, "graph"), n_buckets=8, after_node=after_node)
     people, facts, who = td.patients(spark, sf), td.encounters(spark, sf), td.providers(spark, sf)
-    early, young = F.col("admit_date") < "1999-01-01", F.col("birth_date") > "1990-01-01"
+    # Rows without the date belong to the other drop; every row arrives once.
+    early = F.coalesce(F.col("admit_date") < "1999-01-01", F.lit(False))
+    young = F.coalesce(F.col("birth_date") > "1990-01-01", F.lit(False))
     drops = [
         [("raw.patient_dim", people.where(~young)), ("raw.encounter_fact", facts.where(early))],
         [("raw.provider_dim", who), ("raw.encounter_fact", facts.where(~early))],
         [("raw.patient_dim", people.where(young))],
     ]
+    if labs:
+        drops[0].append(("raw.lab_results", td.labs(spark, sf).withColumn("load_ts", F.lit(td.LOADED_AT).cast("timestamp_ntz"))))
     for drop in drops:
         for name, df in drop:
             store.land(name, df)
@@ -141,6 +144,25 @@ def incremental_summary(spark, sf):
     return _refreshed(spark, sf).table("gold.patient_encounter_summary", td.AS_OF)
 
 
+@query
+def republished_gold(spark, sf):
+    """A gold table is published again after each of its refreshes, so the open files end up complete."""
+    out = f"{new_workspace(spark, 'published')}/dashboard"
+
+    def publish(store: GraphRefresher, name: str) -> None:
+        if name == "gold.department_dashboard":
+            export_open(store.table(name, td.AS_OF), out)
+
+    _refreshed(spark, sf, publish)
+    return read(spark, out).withColumn("avg_charges", F.col("avg_charges").cast("double"))
+
+
+@query
+def incremental_abnormal(spark, sf):
+    """Abnormal results while lab rows come before some of their encounters and patients."""
+    return _refreshed(spark, sf, labs=True).table("gold.abnormal_results_summary", td.AS_OF)
+
+
 @query
 def incremental_dashboard(spark, sf):
     out = _refreshed(spark, sf).table("gold.department_dashboard", td.AS_OF)
@@ -243,7 +265,7 @@ def time_functions(spark, sf):
 
 @query
 def json_details(spark, sf):
-    df = td.load(spark, sf, "events").withColumn("detail", F.parse_json("props"))
+    df = td.load(spark, sf, "events").withColumn("detail", F.try_parse_json("props"))
     return df.select(
         "event_id",
         detail_field(F.col("detail"), "k", "bigint").alias("k"),
@@ -256,39 +278,83 @@ def json_details(spark, sf):
 
 @query
 def run_summary(spark, sf):
-    return runlog.run_summary(td.run_log(spark, sf))
+    return runlog.run_summary(td.run_log(spark, sf), ordered=False)
 
 
 @query
 def batch_health(spark, sf):
-    return runlog.batch_health(td.run_log(spark, sf))
+    return runlog.batch_health(td.run_log(spark, sf), ordered=False)
 
 
 @query
 def batch_health_by_id(spark, sf):
-    return runlog.batch_health(td.run_log(spark, sf), "batch_id")
+    return runlog.batch_health(td.run_log(spark, sf), "batch_id", ordered=False)
 
 
 @query
 def import_details(spark, sf):
-    out = runlog.import_details(td.run_log(spark, sf))
+    out = runlog.import_details(td.run_log(spark, sf), ordered=False)
     return out.withColumn("rows_loaded", F.col("rows_loaded").cast("bigint"))
 
 
 @query
 def quarantine_details(spark, sf):
-    out = runlog.quarantine_details(td.run_log(spark, sf))
+    out = runlog.quarantine_details(td.run_log(spark, sf), ordered=False)
     return out.withColumns({c: F.col(c).cast("bigint") for c in ("accepted", "quarantined")})
 
 
 @query
 def problem_events(spark, sf):
-    return runlog.problem_events(td.run_log(spark, sf))
+    return runlog.problem_events(td.run_log(spark, sf), ordered=False)
 
 
 @query
 def error_patterns(spark, sf):
-    return runlog.error_patterns(td.run_log(spark, sf), levels=("ERROR", "WARN"))
+    return runlog.error_patterns(td.run_log(spark, sf), levels=("ERROR", "WARN"), ordered=False)
+
+
+@query
+def top_error_patterns(spark, sf):
+    """The two most frequent kinds of all messages."""
+    return runlog.error_patterns(td.run_log(spark, sf), n=2, levels=("ERROR", "WARN", "INFO"))
+
+
+@query
+def events_of_run(spark, sf):
+    """All events of the run that logged last."""
+    log = td.run_log(spark, sf)
+    last = latest(log, 1, "logged_at", "run_id").first()
+    out = runlog.events_of(log, last.run_id if last else "")
+    return out.select("run_id", "step_name", "log_level", "message", "logged_at")
+
+
+@query
+def recent_error_flag(spark, sf):
+    """Whether an alert is due: any error in the look-back of three points of time."""
+    log = td.run_log(spark, sf)
+    rows = [(now, runlog.has_recent_errors(log, 5, now)) for now in ("2024-01-15 12:00:00", "2024-01-20 00:00:00", "2023-01-01 00:00:00")]
+    checked = spark.createDataFrame(rows, "checked_at string, has_errors boolean")
+    return checked.select(F.col("checked_at").cast("timestamp_ntz").alias("checked_at"), "has_errors")
+
+
+@query
+def log_views_by_sql(spark, sf):
+    """The views over the log as SQL text sees them."""
+    log = td.run_log(spark, sf)
+    register_views(spark, v_batch_health=runlog.batch_health(log, ordered=True), v_problem_events=runlog.problem_events(log, ordered=True))
+    return spark.sql(
+        """SELECT h.health_status, count(*) AS batches, sum(p.problems) AS problems FROM v_batch_health h
+           LEFT JOIN (SELECT split_part(run_id, '-', 1) || '-' || split_part(run_id, '-', 2) AS batch, count(*) AS problems
+                      FROM v_problem_events GROUP BY 1) p ON p.batch = h.batch_prefix
+           GROUP BY h.health_status"""
+    )
+
+
+@query
+def detail_misfits(spark, sf):
+    """Details that are no JSON are counted instead of ending the query; here every text of a document is one."""
+    raw = td.load(spark, sf, "events").select("props").unionByName(td.load(spark, sf, "documents").select(F.concat(F.lit("x "), "text").alias("props")))
+    return raw.agg(F.count("props").alias("n_details"), misfits(F.col("props")).alias("n_misfits"))
 
 
 @query
@@ -353,6 +419,41 @@ def quarantine_report(spark, sf):
     return validation.quarantine_report(quarantined(spark, base))
 
 
+@query
+def misfit_quarantine(spark, sf):
+    """Dates that do not fit their type are quarantined with the text that came."""
+    base = new_workspace(spark, "vendor")
+    labs = td.vendor_labs(spark, sf)
+    odd = F.col("abnormal_yn") == "Y"
+    written = F.when(odd, F.date_format("result_date", "dd.MM.yyyy")).otherwise(F.date_format("result_date", "yyyy-MM-dd"))
+    route_batch(labs.withColumn("result_date", written), base, "BATCH-003")
+    return quarantined(spark, base).select(
+        "result_value", F.to_json("rejection_reasons").alias("reasons"), F.col("rejected_values")["result_date"].alias("rejected_date")
+    )
+
+
+@query
+def deleted_batch(spark, sf):
+    """Of two batches one is deleted; the other one stays."""
+    base = new_workspace(spark, "vendor")
+    for batch in ("BATCH-001", "BATCH-002"):
+        route_batch(td.vendor_labs(spark, sf), base, batch)
+    delete_batch(spark, base, "BATCH-001")
+    rows = routed(spark, base).groupBy("batch_id").agg(F.count("*").alias("n_rows"))
+    return batches(spark, base).join(rows, "batch_id", "left").select("batch_id", "state", "accepted", "quarantined", "n_rows")
+
+
+@query
+def skipped_batch(spark, sf):
+    """A batch that was routed before is left alone, whatever comes under its name."""
+    base = new_workspace(spark, "vendor")
+    labs = td.vendor_labs(spark, sf)
+    route_batch(labs, base, "BATCH-001")
+    again = route_batch(labs.where("vendor_id IS NULL"), base, "BATCH-001", mode="skip")
+    rows = routed(spark, base).groupBy("status").agg(F.count("*").alias("n_rows"))
+    return rows.withColumn("second_run", F.lit(again.status))
+
+
 @query
 def batch_log(spark, sf):
     """What the run log says after a drifted batch was processed."""
@@ -411,6 +512,40 @@ def import_all(spark, sf):
     )
 
 
+@query
+def import_duplicates(spark, sf):
+    """A source listed three times: the disabled entry is passed over, both enabled ones get the rows."""
+    work = new_workspace(spark, "imports")
+    rows = [
+        (1, "raw", "orders", "curated", "never", "o_orderkey", False),
+        (2, "raw", "orders", "curated", "first_copy", "o_orderkey", True),
+        (3, "raw", "orders", "curated", "second_copy", "o_orderkey", True),
+    ]
+
+    def locate(schema: str, table: str) -> str:
+        return f"{sf}/{table}.parquet" if schema == "raw" else f"{work}/{schema}/{table}"
+
+    run = Importer(spark, rows_frame(spark, rows, IMPORT_CONFIG), RunLog(spark, f"{work}/log"), f"{work}/status", locate)
+    before = run.status().agg(F.count("last_run_status").alias("n")).first().n
+    result = run.run_import("orders", "BATCH-9")
+    copies = [read(spark, locate("curated", t)).select(F.lit(t).alias("target_table")) for t in ("first_copy", "second_copy")]
+    counted = copies[0].unionByName(copies[1]).groupBy("target_table").agg(F.count("*").alias("n_rows"))
+    return counted.select("target_table", "n_rows", F.lit(result.status).alias("status"), F.lit(before).cast("bigint").alias("stamped_before"))
+
+
+@query
+def declared_defaults(spark, sf):
+    """Rows inserted without some of their columns take the declared defaults."""
+    path = f"{new_workspace(spark, 'declared')}/providers"
+    given = td.providers(spark, sf).drop("active")
+    create_table(spark, "wardflow_declared_providers", PROVIDER, path)
+    given.createOrReplaceTempView("wardflow_given_providers")
+    columns = ", ".join(given.columns)
+    spark.sql(f"INSERT INTO wardflow_declared_providers ({columns}) SELECT {columns} FROM wardflow_given_providers")
+    out = spark.table("wardflow_declared_providers").select("prov_id", "department", "active")
+    return out
+
+
 @query
 def imported_rows(spark, sf):
     """A table copied with its load time and batch, read back from where it was written."""
@@ -452,10 +587,27 @@ def _row_filtered(role: str) -> Query:
     return run
 
 
-for _role in ("ADMIN", "CLINICIAN", "VISITOR"):
+for _role in ("ADMIN", "CLINICIAN", "ANALYST", "VISITOR"):
     QUERIES[f"row_policy_{_role.lower()}"] = _row_filtered(_role)
 
 
+def _governed_view(role: str) -> Query:
+    def run(spark, sf):
+        """A view keeps its masks; a copy made of the table itself has none."""
+        people, path = td.patients(spark, sf), f"{new_workspace(spark, 'copy')}/patients"
+        name = f"wardflow_patients_{role.lower()}"
+        apply.governed_view(name, people, "raw.patient_dim", role, clinical_registry())
+        ctas(people, path)
+        copied = read(spark, path).select("pat_id", F.col("ssn").alias("copied_ssn"))
+        return spark.sql(f"SELECT pat_id, ssn, pat_first_name FROM {name}").join(copied, "pat_id")
+
+    return run
+
+
+for _role in ("CLINICIAN", "ANALYST"):
+    QUERIES[f"governed_view_{_role.lower()}"] = _governed_view(_role)
+
+
 @query
 def classified_columns(spark, sf):
     return classify.classify(td.patients(spark, sf).drop("load_ts"))
@@ -543,7 +695,7 @@ def extracted_fields(spark, sf):
         "first_number": r"[0-9]+",
         "first_word": r"([A-Za-z]+)",
     }
-    out = annotate.extract_fields(td.load(spark, sf, "documents"), "text", patterns)
+    out = annotate.extract_fields(td.load(spark, sf, "documents"), "text", patterns, required_text={"email": "@"})
     return out.select("doc_id", "extracted.email", "extracted.first_number", "extracted.first_word")
 
 
@@ -558,11 +710,9 @@ def described_parts(spark, sf):
     """A catalog line per part, stored as a new column of the table."""
     parts = td.load(spark, sf, "part").withColumn("ai_description", F.lit(None).cast("string"))
     labels = [("Type", "p_type"), ("Brand", "p_brand"), ("Name", "p_name")]
-    described = annotate.describe_images(parts, labels)
-    line = F.concat(F.lit("Type: "), "p_type", F.lit(", Brand: "), "p_brand", F.lit(", Name: "), "p_name")
-    stored = annotate_table(parts, "ai_description", line, f"{new_workspace(spark, 'parts')}/part")
-    same = described.select("p_partkey", "ai_description").join(stored.select("p_partkey", F.col("ai_description").alias("stored")), "p_partkey")
-    return same.select("p_partkey", "ai_description", "stored")
+    path = f"{new_workspace(spark, 'parts')}/part"
+    ctas(annotate.describe_images(parts, labels), path)
+    return read(spark, path).select("p_partkey", "ai_description")
 
 
 @query

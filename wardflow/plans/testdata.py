@@ -188,11 +188,11 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("step_name"),
         F.when(kind == "error", "ERROR").when(kind == "signup", "WARN").otherwise("INFO").alias("log_level"),
         F.concat(
-            F.lit("Step '"), kind, F.lit("' of user "), user, F.lit(" failed with code "), number.cast("string")
+            F.lit("Step '"), kind, F.lit("' of user "), user, F.lit(" ended as "), kind, F.lit(" with code "), number.cast("string")
         ).alias("message"),
         F.when(kind == "purchase", loaded)
         .when(kind == "signup", routed)
-        .when(kind == "view", F.parse_json("props"))
+        .when(kind == "view", F.try_parse_json("props"))
         .alias("detail"),
         F.col("ts").alias("logged_at"),
         user.alias("batch_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,9 +42,12 @@ def build_session(app: str = "wardflow", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the cluster's checkpoint folder, a local one only where none is set."""
+    """The folder all executors share. Where none is set, a local session gets one of its own; a cluster is refused,
+    since each of its machines would write to its own disk."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="wardflow-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
