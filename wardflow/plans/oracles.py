@@ -301,6 +301,7 @@ ORACLES: dict[str, str] = {
         f"SELECT 'raw.{t}' AS layer, count(*) AS n_rows FROM {t}"
         for t in ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "conversations")
     ),
+    "lagged_dashboard": _with(_FULL_FACT, _dashboard("fact_encounter")),
     "republished_gold": _with(_FULL_FACT, _dashboard("fact_encounter")),
     "incremental_abnormal": _with(f"{_PEOPLE}, {_FULL_FACT}, {_LABS}", _ABNORMAL),
     "refresh_states": _REFRESHES,

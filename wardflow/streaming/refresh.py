@@ -5,14 +5,21 @@ watches the raw folders and reports which cells got rows. Each micro-batch walks
 its changed inputs reach, with the same functions the batch path uses, and replaces it. Row by row nodes redo the
 touched cells; results that combine rows of all times redo the touched buckets from rows reduced per cell before. A
 replayed micro-batch computes the same cells again, so nothing is ever counted twice.
+
+Tables with different target lags have a streaming query per lag, each with a checkpoint of its own. What a slower table
+has not seen yet is thus what its own query has not read; there is no list of it anywhere else. A query refreshes the
+tables of its lag and all they are made from, since a faster query may not have come to the same rows yet.
+
+Cells are small tables below ``_state`` and are joined with the folders they name, at any number.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 from threading import Lock
 
@@ -30,12 +37,27 @@ from wardflow.sources.schemas import REFRESH_HISTORY
 from wardflow.sources.tables import latest, rows_frame
 
 LIVE = "_live"
-PENDING = "input string, bucket int, slice string, batch_id bigint"
+CELLS = "of string, bucket int, slice string"
 STORAGE_FIELDS = [T.StructField("bucket", T.IntegerType()), T.StructField("slice", T.StringType())]
-# A cell is (bucket, slice); in tables that keep no slices the slice is None.
-Cells = set[tuple[int | None, str | None]]
-# Beyond this many cells a filter names buckets and slices apart, which covers their whole product.
-MAX_LISTED_CELLS = 20_000
+
+
+@dataclass(frozen=True)
+class Running:
+    """The streaming queries of a store, one per target lag, the tightest first."""
+
+    queries: dict[str, StreamingQuery]
+
+    def processAllAvailable(self) -> None:
+        """Wait until the query of the tightest lag has seen all rows; slower ones keep to their lag."""
+        next(iter(self.queries.values())).processAllAvailable()
+
+    def stop(self) -> None:
+        for query in self.queries.values():
+            query.stop()
+
+    def awaitTermination(self) -> None:
+        for query in self.queries.values():
+            query.awaitTermination()
 
 
 class GraphRefresher:
@@ -65,8 +87,6 @@ class GraphRefresher:
             self._schemas[node.name] = T.StructType([*built.schema.fields, T.StructField(LIVE, T.BooleanType())])
         self._fix_buckets()
         self._in_parallel(self._ensure, list(self._schemas))
-        self._last = self._last_refreshes()
-        self._batch = max((b for b, _ in self._last.values() if b is not None), default=None)
         self._one_walk = Lock()
 
     def _fix_buckets(self) -> None:
@@ -103,11 +123,12 @@ class GraphRefresher:
     def _partitions(self, name: str) -> list[str]:
         return {CELL: ["bucket", "slice"], BUCKET: ["bucket"], WHOLE: []}[self.graph.grain_of(name)]
 
-    def _read(self, name: str, cells: Cells | None = None) -> DataFrame:
-        """Stored rows; with cells, only their folders are read."""
+    def _read(self, name: str, cells: DataFrame | None = None, whole_buckets: bool = False) -> DataFrame:
+        """Stored rows; with cells, those of their folders only, which a join on the folder columns picks out."""
         df = self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
         if cells is not None:
-            df = df.where(_in_cells(cells))
+            on = ["bucket"] if whole_buckets else self._partitions(name)
+            df = df.join(cells.select(*on), on, "left_semi") if on else df
         return df.where(LIVE).drop(LIVE) if name in self.graph.nodes else df
 
     def bucket_of(self, key: str) -> Column:
@@ -161,147 +182,110 @@ class GraphRefresher:
             parts.append(rows.select(F.lit(name).alias("source"), *STORAGE, key.alias("key")))
         return reduce(DataFrame.unionByName, parts)
 
-    def _writer(self, max_files: int | None, force: bool):
+    def paces(self) -> list[str]:
+        """The different target lags, the tightest first."""
+        return sorted({self.graph.lag_of(n) for n in self.graph.nodes}, key=lag_seconds)
+
+    def _of_pace(self, pace: str | None) -> set[str]:
+        """The nodes with that lag and all nodes they are made from; all nodes without one."""
+        found = {n for n in self.graph.nodes if pace is None or self.graph.lag_of(n) == pace}
+        todo = list(found)
+        while todo:
+            inputs = {i for i in self.graph.nodes[todo.pop()].inputs if i in self.graph.nodes} - found
+            found |= inputs
+            todo += inputs
+        return found
+
+    def _writer(self, pace: str, max_files: int | None):
         return (
             self.changes(max_files)
-            .writeStream.foreachBatch(lambda batch, batch_id: self._on_batch(batch, batch_id, force))
-            .option("checkpointLocation", f"{self.root}/_state/checkpoint")
+            .writeStream.foreachBatch(lambda batch, batch_id: self._on_batch(batch, batch_id, pace))
+            .option("checkpointLocation", f"{self.root}/_state/checkpoint/{pace.replace(' ', '-')}")
         )
 
     def refresh_available(self, max_files: int | None = None) -> None:
         """Bring all nodes up to date with the rows landed so far, whatever their lag."""
-        self._writer(max_files, True).trigger(availableNow=True).start().awaitTermination()
-        self._walk({}, {}, self._batch)
-
-    def start(self, max_files: int | None = None) -> StreamingQuery:
-        """Refresh for as long as the query runs. Changes are looked at at the pace of the tightest target lag; a node
-        with a longer lag gathers what reaches it and is refreshed by the last look in time for its own.
+        for pace in self.paces():
+            self._writer(pace, max_files).trigger(availableNow=True).start().awaitTermination()
 
-        A look happens when rows have arrived. Where they may stop coming, call ``refresh_due`` from time to time."""
-        return self._writer(max_files, False).trigger(processingTime=self.graph.trigger_interval()).start()
-
-    def refresh_due(self) -> None:
-        """Refresh the nodes whose lag runs out, from what they gathered; safe beside a running query."""
-        self._walk({}, {}, self._batch, force=False)
+    def start(self, max_files: int | None = None) -> Running:
+        """Refresh for as long as the queries run: one query per target lag, triggered at its pace. A lag is thus an
+        upper bound also where no more rows arrive. All queries of a store run in one driver, where they take turns."""
+        return Running({p: self._writer(p, max_files).trigger(processingTime=p).start() for p in self.paces()})
 
     def rebuild(self) -> None:
         """Recompute every node from the raw tables, for example after its function changed."""
         self._walk({name: self._cells_of(self._read(name)) for name in self.graph.sources}, {}, None)
 
     @staticmethod
-    def _cells_of(df: DataFrame) -> Cells:
-        """The cells rows lie in: at most one row per cell comes back to the driver."""
-        return {(r.bucket, r.slice) for r in df.select(*STORAGE).distinct().collect()}
-
-    def _on_batch(self, batch: DataFrame, batch_id: int, force: bool) -> None:
-        touched: dict[str, Cells] = {}
-        for row in batch.select("source", *STORAGE).distinct().collect():
-            touched.setdefault(row.source, set()).add((row.bucket, row.slice))
-        looked_up = {lk.name for n in self.graph.nodes.values() for lk in n.lookups}
-        keys: dict[str, DataFrame] = {}
-        for name in looked_up & set(touched):
-            staged = f"{self.root}/_state/changed/{name.replace('.', '/')}"
-            batch.where(F.col("source") == name).select("key").distinct().write.mode("overwrite").parquet(staged)
-            keys[name] = self.spark.read.schema("key string").parquet(staged)
-        self._batch = batch_id
-        self._walk(touched, keys, batch_id, force)
+    def _cells_of(df: DataFrame) -> DataFrame:
+        """The cells rows lie in."""
+        return df.select(*STORAGE).distinct()
+
+    def _kept_cells(self, name: str, cells: DataFrame, pace: str | None) -> DataFrame | None:
+        """Write cells down, so that they are worked out once; None where there are none.
+
+        The name stands in the rows and is asked for again: a filter on the small side of a join is what makes Spark
+        prune the folders of the large side at run time.
+        """
+        path = f"{self.root}/_state/cells/{(pace or 'all').replace(' ', '-')}/{name.replace('.', '/')}"
+        rows = cells.select(F.lit(name).alias("of"), F.col("bucket").cast("int"), F.col("slice").cast("string"))
+        rows.write.mode("overwrite").parquet(path)
+        kept = self.spark.read.schema(CELLS).parquet(path).where(F.col("of") == name)
+        return None if kept.isEmpty() else kept.select(*STORAGE)
+
+    def _on_batch(self, batch: DataFrame, batch_id: int, pace: str) -> None:
+        with self._one_walk:  # what is written down for a walk stays as it is until the walk is over
+            state = f"{self.root}/_state/changed/{pace.replace(' ', '-')}"
+            batch.write.mode("overwrite").partitionBy("source").parquet(state)
+            rows = self.spark.read.schema("bucket int, slice string, key string, source string").parquet(state)
+            present = {r.source for r in rows.select("source").distinct().collect()}  # at most the sources of the graph
+            touched = {name: self._cells_of(rows.where(F.col("source") == name)) for name in present}
+            looked_up = {lk.name for n in self.graph.nodes.values() for lk in n.lookups}
+            keys = {name: rows.where(F.col("source") == name).select("key").distinct() for name in looked_up & present}
+            self._walk_levels(touched, keys, batch_id, pace)
 
     def _walk(
-        self, touched: dict[str, Cells], keys: dict[str, DataFrame], batch_id: int | None, force: bool = True
+        self, touched: dict[str, DataFrame], keys: dict[str, DataFrame], batch_id: int | None, pace: str | None = None
     ) -> None:
         """Refresh level by level. Every refresh, failed ones too, leaves a history row; the first failure is raised."""
         with self._one_walk:
-            self._walk_levels(dict(touched), keys, batch_id, force)
+            self._walk_levels(touched, keys, batch_id, pace)
 
     def _walk_levels(
-        self, touched: dict[str, Cells], keys: dict[str, DataFrame], batch_id: int | None, force: bool
+        self, touched: dict[str, DataFrame], keys: dict[str, DataFrame], batch_id: int | None, pace: str | None
     ) -> None:
+        cells = {name: self._kept_cells(name, df, pace) for name, df in touched.items()}
+        mine = self._of_pace(pace)
         history: list[tuple] = []
         failure: Exception | None = None
         for level in self.graph.levels():
             due = []
             for node in level:
-                changed = {i: touched[i] for i in node.inputs if touched.get(i)}
-                if force or self._is_due(node):
-                    pending = self._pending(node)
-                    for name, cells in pending.items():
-                        changed[name] = changed.get(name, set()) | cells
-                    if changed:
-                        # The staged keys are those of this batch; earlier ones are read back from their cells.
-                        due.append((node, changed, {i: k for i, k in keys.items() if i not in pending}))
-                elif changed:
-                    self._defer(node, changed, batch_id)
-            for node, cells, start, end, error in self._in_parallel(lambda args: self._refresh(*args), due):
+                changed = {i: cells[i] for i in node.inputs if cells.get(i) is not None}
+                if changed and node.name in mine:
+                    due.append((node, changed, keys, pace))
+            for node, reached, start, end, error in self._in_parallel(lambda args: self._refresh(*args), due):
                 state, message = ("SUCCEEDED", None) if error is None else ("FAILED", str(error).split("\n", 1)[0])
-                history.append((node.name, state, message, batch_id, len(cells), start, end))
-                touched[node.name] = cells
+                n_cells = 0 if reached is None else reached.count()
+                history.append((node.name, state, message, batch_id, n_cells, start, end))
+                cells[node.name] = reached
                 failure = failure or error
             if failure is not None:
                 break
         if history:
             rows = rows_frame(self.spark, history, REFRESH_HISTORY)
             rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_state/history")
-            for name, state, _, batch, _, start, _ in history:
-                if state == "SUCCEEDED":
-                    known = self._last.get(name, (None, None))[0]
-                    self._last[name] = (known if batch is None else batch, start)
         if failure is not None:
             raise failure
 
-    # --- nodes that wait for their lag ---
-
-    def _waits(self, node: Node) -> bool:
-        """Whether the node is looked at more often than it must be refreshed."""
-        return lag_seconds(self.graph.lag_of(node.name)) > lag_seconds(self.graph.trigger_interval())
-
-    def _is_due(self, node: Node) -> bool:
-        """True when waiting for the next look would exceed the lag."""
-        if not self._waits(node) or node.name not in self._last:
-            return True
-        waited = (dt.datetime.now(dt.UTC).replace(tzinfo=None) - self._last[node.name][1]).total_seconds()
-        return waited + lag_seconds(self.graph.trigger_interval()) > lag_seconds(self.graph.lag_of(node.name))
-
-    def _defer(self, node: Node, changed: dict[str, Cells], batch_id: int | None) -> None:
-        rows = [(i, bucket, slice_, batch_id) for i, cells in changed.items() for bucket, slice_ in cells]
-        out = self.spark.createDataFrame(rows, PENDING)
-        out.coalesce(1).write.mode("append").parquet(self._pending_path(node))
-
-    def _pending(self, node: Node) -> dict[str, Cells]:
-        """Changed cells per input that were put off since the last refresh of the node."""
-        if not self._waits(node):
-            return {}
-        try:
-            rows = self.spark.read.schema(PENDING).parquet(self._pending_path(node))
-        except AnalysisException:
-            return {}
-        last = self._last.get(node.name, (None, None))[0]
-        if last is not None:
-            rows = rows.where(F.col("batch_id") > last)
-        out: dict[str, Cells] = {}
-        for r in rows.select("input", *STORAGE).distinct().collect():
-            out.setdefault(r.input, set()).add((r.bucket, r.slice))
-        return out
-
-    def _pending_path(self, node: Node) -> str:
-        return f"{self.root}/_state/pending/{node.name.replace('.', '/')}"
-
-    def _last_refreshes(self) -> dict[str, tuple[int | None, dt.datetime]]:
-        """Batch and start of the last good refresh per node."""
-        try:
-            history = self.spark.read.schema(REFRESH_HISTORY).parquet(f"{self.root}/_state/history")
-        except AnalysisException:
-            return {}
-        good = history.where(F.col("state") == "SUCCEEDED").groupBy("name")
-        last = good.agg(F.max("batch_id").alias("batch_id"), F.max("refresh_start_time").alias("start"))
-        return {r.name: (r.batch_id, r.start) for r in last.collect()}
-
-    def _refresh(self, node: Node, changed: dict[str, Cells], keys: dict[str, DataFrame]) -> tuple:
+    def _refresh(self, node: Node, changed: dict[str, DataFrame], keys: dict[str, DataFrame], pace: str | None) -> tuple:
         start = dt.datetime.now(dt.UTC).replace(tzinfo=None)
-        cells: Cells = set()
+        cells: DataFrame | None = None
         error: Exception | None = None
         try:
-            cells = self._reached(node, changed, keys)
-            if cells:
+            cells = self._kept_cells(node.name, self._reached(node, changed, keys), pace)
+            if cells is not None:
                 self._recompute(node, cells)
                 if self.after_node is not None:
                     self.after_node(self, node.name)
@@ -309,30 +293,31 @@ class GraphRefresher:
             error = exc
         return node, cells, start, dt.datetime.now(dt.UTC).replace(tzinfo=None), error
 
-    def _reached(self, node: Node, changed_inputs: dict[str, Cells], keys: dict[str, DataFrame]) -> Cells:
+    def _reached(self, node: Node, changed_inputs: dict[str, DataFrame], keys: dict[str, DataFrame]) -> DataFrame:
         """The cells of a node that its changed inputs reach."""
-        found = set().union(*[changed_inputs.get(i, set()) for i in node.aligned_inputs])
+        found = [changed_inputs[i].select(*STORAGE) for i in node.aligned_inputs if i in changed_inputs]
         for lk in node.lookups:
             changed_cells = changed_inputs.get(lk.name)
-            if not changed_cells:
+            if changed_cells is None:
                 continue
             changed = keys.get(lk.name)
             if changed is None:
                 changed = self._read(lk.name, changed_cells).select(F.col(lk.key).cast("string").alias("key"))
-            rows = self._read(lk.of, _whole_buckets(changed_cells) if lk.same_bucket else None)
+            rows = self._read(lk.of, changed_cells if lk.same_bucket else None, whole_buckets=True)
             rows = rows.select(F.col(lk.column).cast("string").alias("key"), *STORAGE)
-            found |= self._cells_of(rows.join(changed, "key", "left_semi"))
-        if node.grain == CELL:
-            return _bounded(found)
-        return _whole_buckets(found) if node.grain == BUCKET else {(None, None) for _ in found}
+            found.append(self._cells_of(rows.join(changed, "key", "left_semi")))
+        cells = reduce(DataFrame.unionByName, found)
+        parts = self._partitions(node.name)
+        kept = [F.col(c) if c in parts else F.lit(None).cast(t).alias(c) for c, t in zip(STORAGE, ("int", "string"), strict=True)]
+        return cells.select(*kept).distinct()
 
-    def _recompute(self, node: Node, cells: Cells) -> None:
+    def _recompute(self, node: Node, cells: DataFrame) -> None:
         by_bucket = {lk.name for lk in node.lookups if lk.same_bucket}
 
         def frame(name: str) -> DataFrame:
             if node.grain == WHOLE or name not in {*node.aligned_inputs, *by_bucket}:
                 return self._read(name)
-            return self._read(name, _whole_buckets(cells) if name in by_bucket else cells)
+            return self._read(name, cells, whole_buckets=name in by_bucket or node.grain == BUCKET)
 
         built = self._stored(node, node.build(*[frame(i) for i in node.inputs])).withColumn(LIVE, F.lit(True))
         schema, parts = self._schemas[node.name], self._partitions(node.name)
@@ -341,8 +326,7 @@ class GraphRefresher:
             out.write.mode("overwrite").parquet(self.path(node.name))
             return
         # A cell that lost all its rows must be replaced too, so each one gets a marker row readers never see.
-        storage = T.StructType(STORAGE_FIELDS[: len(parts)])
-        markers = self.spark.createDataFrame([c[: len(parts)] for c in cells], storage).select(
+        markers = cells.select(
             *[
                 F.col(f.name) if f.name in parts else F.lit(False if f.name == LIVE else None).cast(f.dataType).alias(f.name)
                 for f in schema
@@ -367,30 +351,3 @@ def refresh_history(spark: SparkSession, root: str) -> DataFrame:
     rows = spark.read.schema(REFRESH_HISTORY).parquet(f"{root}/_state/history")
     seconds = second_boundaries(F.col("refresh_start_time"), F.col("refresh_end_time"))
     return rows.withColumn("refresh_seconds", seconds)
-
-
-def _whole_buckets(cells: Cells) -> Cells:
-    return {(bucket, None) for bucket, _ in cells}
-
-
-def _bounded(cells: Cells) -> Cells:
-    """Many cells widened to all combinations of their buckets and slices, which a short filter can name."""
-    if len(cells) <= MAX_LISTED_CELLS:
-        return cells
-    buckets, slices = {b for b, _ in cells}, {s for _, s in cells}
-    return {(b, s) for b in buckets for s in slices}
-
-
-def _in_cells(cells: Cells) -> Column:
-    """A filter on the folder columns only, so other folders are never opened."""
-    by_slice: dict[str | None, set[int]] = {}
-    for bucket, slice_ in cells:
-        by_slice.setdefault(slice_, set()).add(bucket)
-    by_buckets: dict[frozenset[int], list[str | None]] = {}
-    for slice_, buckets in by_slice.items():
-        by_buckets.setdefault(frozenset(buckets), []).append(slice_)
-    tests = []
-    for buckets, slices in by_buckets.items():
-        test = F.col("bucket").isin(sorted(buckets))
-        tests.append(test if None in slices else test & F.col("slice").isin(sorted(slices)))
-    return reduce(lambda a, b: a | b, tests, F.lit(False)) if tests else F.lit(False)
