@@ -43,7 +43,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int
         owner = np.searchsorted(offsets, heads + begin, side="right") - 1
         raw = part.tobytes()
         starts = heads + begin - offsets[owner]
-        for x, y, t, start, minimum in zip(heads.tolist(), lasts.tolist(), owner.tolist(), starts.tolist(), minima[heads].tolist(), strict=True):
+        for x, y, t, start, minimum in zip(heads.tolist(), lasts.tolist(), owner.tolist(), starts.tolist(), minima[heads].view(np.int64).tolist(), strict=True):
             yield raw[x : y + window], t, start, y - x + 1, minimum
 
 
@@ -53,10 +53,54 @@ def _alone(string: bytes, window: int = WINDOW, gram: int = GRAM) -> bool:
     return n > window - gram or string.find(string[n - 1 : n - 1 + gram], n) >= 0
 
 
+def _trimmed(strings: list[Occurrence], window: int = WINDOW) -> list[Occurrence]:
+    """The stretches of the strings whose windows have a 32-bit hash that another window of the shard has too.
+
+    Windows that repeat are never lost by this; those that only look alike are told apart by the sorting that follows.
+    """
+    hashes, at = [], 0
+    while at < len(strings):
+        part, size = [], 0
+        while at < len(strings) and size < CHUNK // 2:
+            part.append(strings[at])
+            size += len(strings[at][0])
+            at += 1
+        data = np.frombuffer(b"".join(o[0] for o in part), np.uint8)
+        h = prefix_hashes(data)
+        whole = mixed((h[window:] - h[:-window]) * inverse_powers(len(data))[: len(data) - window + 1])
+        inside = np.ones(len(whole), bool)
+        for end in np.cumsum([len(o[0]) for o in part])[:-1].tolist():
+            inside[end - window + 1 : end] = False
+        hashes.append((whole[inside] >> np.uint64(32)).astype(np.uint32))
+    found = np.concatenate(hashes)
+    ordered = np.sort(found)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return []
+    table = np.zeros(1 << 24, bool)
+    table[twice >> np.uint32(8)] = True
+    repeated = table[found >> np.uint32(8)]
+    maybe = np.flatnonzero(repeated)
+    repeated[maybe] = np.isin(found[maybe], twice)
+    counts = np.array([o[4] for o in strings], np.int64)
+    ends = np.cumsum(counts)
+    edge = np.zeros(len(found) + 1, bool)
+    edge[ends] = edge[0] = True
+    heads = np.flatnonzero(repeated & (edge[:-1] | ~np.append(False, repeated[:-1])))
+    lasts = np.flatnonzero(repeated & (edge[1:] | ~np.append(repeated[1:], False)))
+    whose = np.searchsorted(ends, heads, side="right")
+    first = heads - (ends - counts)[whose]
+    out = []
+    for i, x, n in zip(whose.tolist(), first.tolist(), (lasts - heads + 1).tolist(), strict=True):
+        string, place, key, start, _, minimum = strings[i]
+        out.append((string[x : x + n + window - 1], place, key, start + x, n, minimum))
+    return out
+
+
 def _compare(strings: list[Occurrence], window: int = WINDOW) -> Iterator[tuple[int, int, int, int]]:
+    strings = sorted(_trimmed(strings, window), key=lambda o: o[1:4]) if strings else []
     if not strings:
         return
-    strings = sorted(strings, key=lambda o: o[1:4])
     sizes = np.array([len(o[0]) + 1 for o in strings], np.int64)
     begins = np.cumsum(sizes) - sizes
     # Bytes count from 2, 1 ends a string and 0 the text.

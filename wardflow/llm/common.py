@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -91,16 +92,23 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]
 # --- hashes ---
 
 
-def powers(n: int) -> np.ndarray:
-    out = np.full(n, _BASE, np.uint64)
+def _power_table(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
 
 
+@lru_cache(maxsize=2)
+def _usual_powers(base: int) -> np.ndarray:
+    return _power_table(_U(base), CHUNK + CHUNK // 2)
+
+
+def powers(n: int) -> np.ndarray:
+    return _usual_powers(int(_BASE))[:n] if n <= CHUNK + CHUNK // 2 else _power_table(_BASE, n)
+
+
 def inverse_powers(n: int) -> np.ndarray:
-    out = np.full(n, _BASE_INV, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    return _usual_powers(int(_BASE_INV))[:n] if n <= CHUNK + CHUNK // 2 else _power_table(_BASE_INV, n)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -68,18 +68,26 @@ class Queues:
             self.file.close()
 
 
-def shared_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int, known: np.ndarray | None = None) -> np.ndarray:
-    """Length, at most ``depth``, of the common prefix of the suffixes at a and b, from ``known`` symbols on."""
-    out = np.zeros(len(a), np.int64) if known is None else known.copy()
-    going = np.flatnonzero(out < depth)
+def by_fours(text: np.ndarray) -> np.ndarray:
+    """Four symbols from each place on as one number; zeros follow the end."""
+    ahead = np.append(text, np.zeros(4, text.dtype)).astype(np.uint64)
+    return sum(ahead[i : i + len(text)] << np.uint64(16 * i) for i in range(4))
+
+
+def shared_prefix(fours: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+    """Length, at most ``depth``, of the common prefix of the suffixes at a and b of a text given by its ``by_fours``."""
+    out, last = np.zeros(len(a), np.int64), len(fours) - 1
+    going = np.arange(len(a))
     while len(going):
         i, j = a[going] + out[going], b[going] + out[going]
-        inside = (i < len(text)) & (j < len(text))
-        same = np.zeros(len(going), bool)
-        same[inside] = text[i[inside]] == text[j[inside]]
-        going = going[same]
-        out[going] += 1
-        going = going[out[going] < depth]
+        differs = fours[np.minimum(i, last)] ^ fours[np.minimum(j, last)]
+        inside = np.minimum(last + 1 - np.maximum(i, j), 4)  # the end of the text is no part of a prefix
+        equal = np.where(differs == 0, 4, ((differs & (~differs + np.uint64(1))).astype(np.float64)))
+        some = differs != 0
+        equal[some] = (np.frexp(equal[some])[1] - 1) // 16
+        step = np.minimum(equal.astype(np.int64), inside)
+        out[going] += step
+        going = going[(step == 4) & (out[going] < depth)]
     return np.minimum(out, depth)
 
 
@@ -130,9 +138,11 @@ def _order_of_names(names: np.ndarray, depth: int) -> np.ndarray:
     while width < depth and n and rank.max() + 1 < n:
         following = np.full(n, -1, np.int64)
         following[: max(0, n - width)] = rank[width:]
-        order = np.lexsort((following, rank))
+        both = rank * (n + 1) + following + 1
+        order = np.argsort(both, kind="stable")
+        ordered = both[order]
         new = np.ones(n, bool)
-        new[1:] = (rank[order][1:] != rank[order][:-1]) | (following[order][1:] != following[order][:-1])
+        new[1:] = ordered[1:] != ordered[:-1]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new) - 1
         width *= 2
@@ -207,12 +217,13 @@ def sorted_suffixes(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     starts = np.flatnonzero(is_left)
     left = starts[_order_of_names(_names(text, rises, starts), depth)]
     left_shared = np.zeros(len(left), np.int16)
-    left_shared[1:] = shared_prefix(text, left[:-1], left[1:], depth)
+    fours = by_fours(text)
+    left_shared[1:] = shared_prefix(fours, left[:-1], left[1:], depth)
     left_symbol = text[left]
     bounds = np.searchsorted(left_symbol, np.arange(n_symbols + 1))
 
     def seam(a: int, b: int) -> int:
-        return int(shared_prefix(text, np.array([a]), np.array([b]), depth)[0])
+        return int(shared_prefix(fours, np.array([a]), np.array([b]), depth)[0])
 
     up = _Pass(text, ~rises, n_symbols, depth)
     larger: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(n_symbols)]

@@ -24,7 +24,7 @@ from wardflow.llm.common import n_parts, text_bytes, text_key, united, whole_tex
 FLUSH = 40 * 1024 * 1024  # bytes of strings that a task gathers before it sends them
 SHARD = 24 * 1024 * 1024  # bytes of strings a shard gets, about
 EXPANSION = 3  # strings overlap: bytes sent per byte of text, about
-LEVEL = 6
+LEVEL = 5
 PAYLOADS = "shard int, payload binary"
 SPANS = "ord long, key long, start long, end long"
 LAST = 2**63 - 1  # rows without a doc_id come after all others
@@ -68,36 +68,40 @@ class Batch:
             known.append(new)  # neither repeats the other
 
     def rows(self, n_shards: int) -> Iterator[tuple[int, bytes]]:
-        shards: dict[int, list[Occurrence]] = {}
-        for string, places in self.found.items():
-            for p in places:
-                shards.setdefault(p[4] % n_shards, []).append((string, *p))
-        spans: dict[int, list[tuple[int, int, int, int]]] = {}
-        for place, key, start, end in merged_spans(self.repeats):
-            spans.setdefault((place ^ key) % n_shards, []).append((place, key, start, end))
+        strings = [s for s, places in self.found.items() for _ in places]
+        table = np.array([p for places in self.found.values() for p in places], np.int64).reshape(-1, 5)
+        place, key, start, n = table[:, :4].T
+        minimum = table[:, 4].astype(np.uint64)
+        shard = (minimum % np.uint64(n_shards)).astype(np.int64)
+        order = np.lexsort((start, key, place, shard))
+        cuts = np.searchsorted(shard[order], np.arange(n_shards + 1))
+        repeats = np.array(list(merged_spans(self.repeats)), np.int64).reshape(-1, 4)
+        to = ((repeats[:, 0] ^ repeats[:, 1]) & 0x7FFFFFFF) % n_shards
         pack = zstandard.ZstdCompressor(level=LEVEL)
-        for shard in shards.keys() | spans.keys():
-            own = sorted(shards.get(shard, []), key=lambda o: (o[1], o[2], o[3]))
-            columns = list(zip(*own, strict=True)) or [()] * 6
-            docs = sorted(set(zip(columns[1], columns[2], strict=True)))
-            index = {d: i for i, d in enumerate(docs)}
+        for i in range(n_shards):
+            own, spans = order[cuts[i] : cuts[i + 1]], repeats[to == i]
+            if not len(own) and not len(spans):
+                continue
+            mine = [strings[j] for j in own.tolist()]
+            new = np.ones(len(own), bool)
+            new[1:] = (place[own][1:] != place[own][:-1]) | (key[own][1:] != key[own][:-1])
             body = (
-                b"".join(columns[0]),
-                np.array([len(s) for s in columns[0]], np.int32),
-                np.array(docs, np.int64).reshape(-1, 2),
-                np.diff(np.array([index[d] for d in zip(columns[1], columns[2], strict=True)], np.int32), prepend=0),
-                np.array(columns[3], np.int64),
-                np.array(columns[4], np.int32),
-                (np.array(columns[5], np.uint64) // np.uint64(n_shards) & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-                np.array(spans.get(shard, []), np.int64).reshape(-1, 4),
+                b"".join(mine),
+                np.array([len(s) for s in mine], np.int32),
+                np.stack([place[own][new], key[own][new]], axis=1),
+                new,
+                start[own],
+                n[own].astype(np.int32),
+                (minimum[own] // np.uint64(n_shards) & np.uint64(0xFFFFFFFF)).astype(np.uint32),
+                spans,
             )
-            yield shard, pack.compress(pickle.dumps(body, protocol=5))
+            yield i, pack.compress(pickle.dumps(body, protocol=5))
 
 
 def unpacked(payload: bytes) -> tuple[list[Occurrence], np.ndarray]:
-    body, lengths, docs, index, starts, windows, minima, spans = pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
+    body, lengths, docs, new, starts, windows, minima, spans = pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
     ends = np.cumsum(lengths, dtype=np.int64).tolist()
-    own = docs[np.cumsum(index)].tolist() if len(index) else []
+    own = docs[np.cumsum(new) - 1].tolist() if len(new) else []
     rows = zip(ends, lengths.tolist(), own, starts.tolist(), windows.tolist(), minima.tolist(), strict=True)
     return [(body[e - n : e], p, k, s, w, m) for e, n, (p, k), s, w, m in rows], spans
 

@@ -38,7 +38,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int
         odd[1:-1] = np.cumsum((starts[1:] - stops[:-1] != 1) | (part[np.minimum(stops[:-1], len(part) - 1)] != 32))
         raw = part.tobytes()
         ends = lasts + window - 1
-        rows = zip(starts[heads].tolist(), stops[ends].tolist(), (odd[ends] != odd[heads]).tolist(), owner[heads].tolist(), (heads - first[owner[heads]]).tolist(), (lasts - heads + 1).tolist(), minima[heads].tolist(), strict=True)
+        rows = zip(starts[heads].tolist(), stops[ends].tolist(), (odd[ends] != odd[heads]).tolist(), owner[heads].tolist(), (heads - first[owner[heads]]).tolist(), (lasts - heads + 1).tolist(), minima[heads].view(np.int64).tolist(), strict=True)
         for x, y, anew, t, start, n, minimum in rows:
             string = raw[x:y]
             yield b" ".join(string.split()) if anew else string, a + t, start, n, minimum
