@@ -190,3 +190,14 @@ def test_mask_needs_its_type(spark):
     reg.set_tag("T", "any", table="t", column="n")
     reg.set_tag_mask("T", MASK_PII_STRING)
     assert governed(spark.sql("SELECT 1 AS n"), "t", "VISITOR", reg).first().n == 1
+
+
+def test_a_mask_of_another_type_is_refused(spark):
+    from wardflow.governance import apply
+    from wardflow.governance.masks import MASK_DOB
+    from wardflow.governance.registry import Registry
+
+    reg = Registry()
+    reg.set_mask("raw.patient_dim", "ssn", MASK_DOB)
+    with pytest.raises(ValueError, match="is for date"):
+        apply.governed(spark.createDataFrame([("1",)], "ssn string"), "raw.patient_dim", "ANALYST", reg)

@@ -166,6 +166,7 @@ def test_failed_refresh_is_recorded(spark, root):
         store.refresh_available()
     row = store.history().first()
     assert row.state == "FAILED" and row.state_message
+    assert [r.scheduling_state for r in graph.listing(spark, history=store.history()).collect()] == ["FAILED"]
 
 
 def test_graph_lags(spark):

@@ -135,9 +135,11 @@ class Registry:
         self.row_policies[table] = policy
 
     def mask_for(self, table: str, column: str, data_type: str, tags: dict[str, str]) -> MaskPolicy | None:
-        """The mask of one column: its own one first, else the one of a tag it carries, if the types agree."""
+        """The mask of one column: its own one first (of another type it is an error, not a leak), else the one of a tag it carries, if the types agree."""
         own = self.column_masks.get((table, column.lower()))
         if own is not None:
+            if own.data_type != data_type:
+                raise ValueError(f"mask {own.name} is for {own.data_type}, but {table}.{column} is {data_type}")
             return own
         for tag in tags:
             policy = self.tag_masks.get(tag)

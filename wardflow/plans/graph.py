@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.plans import nodes
@@ -131,12 +132,15 @@ class Graph:
         lags = [self.lag_of(n) for n in self.nodes]
         return min((lag for lag in lags if lag != DOWNSTREAM), key=lag_seconds, default=DEFAULT_LAG)
 
-    def listing(self, spark: SparkSession, state: str = "ACTIVE") -> DataFrame:
-        """Nodes with lag, state and inputs, by name."""
+    def listing(self, spark: SparkSession, state: str = "ACTIVE", history: DataFrame | None = None) -> DataFrame:
+        """Nodes with lag, state and inputs, by name; with the refresh history, the state of the last refresh."""
         rows = [(n.name, n.target_lag, state, list(n.inputs)) for _, n in sorted(self.nodes.items())]
-        return spark.createDataFrame(
-            rows, "name string, target_lag string, scheduling_state string, inputs array<string>"
-        )
+        out = spark.createDataFrame(rows, "name string, target_lag string, scheduling_state string, inputs array<string>")
+        if history is None:
+            return out
+        last = history.groupBy("name").agg(F.max_by("state", "refresh_start_time").alias("_state"))
+        known = F.coalesce("_state", F.lit("NEVER REFRESHED")).alias("scheduling_state")
+        return out.join(last, "name", "left").select("name", "target_lag", known, "inputs").orderBy("name")
 
 
 def clinical_graph(target_lag: str = DEFAULT_LAG, gold_lag: str | None = None) -> Graph:

@@ -218,7 +218,11 @@ def department_dashboard_stored(partials: DataFrame, encounter_counts: DataFrame
     counts = encounter_counts.groupBy(F.col("department").alias("_department")).agg(
         F.sum("encounter_count").alias("encounter_count")
     )
-    return totals.join(counts, F.col("department").eqNullSafe(F.col("_department"))).drop("_department")
+    # The copy by encounter id may be behind or ahead for a while; a department seen on one side only is shown as well.
+    both = totals.join(counts, F.col("department").eqNullSafe(F.col("_department")), "full")
+    counted = [F.coalesce(c, F.lit(0)).alias(c) if c in ("unique_patients", "encounter_count", *_ADDED) else F.col(c) for c in both.columns]
+    name = F.coalesce("department", "_department").alias("department")
+    return both.select(*counted).select(name, *[c for c in both.columns if c not in ("department", "_department")])
 
 
 def department_dashboard_view(stored: DataFrame, as_of: AsOf = None) -> DataFrame:

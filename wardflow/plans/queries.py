@@ -388,10 +388,11 @@ def error_alerts(spark, sf):
     end = spark.createDataFrame([("INFO", "2100-01-01 00:00:00")], "log_level string, t string")
     end = end.select("log_level", F.col("t").cast("timestamp_ntz").alias("logged_at"))
     stream = alerts.log_stream(spark, f"{work}/log", log.schema)
-    for _ in range(2):
+    for closing in (False, True):
+        if closing:
+            end.write.mode("append").parquet(f"{work}/log")
         out = alerts.error_alerts(stream)
         alerts.write_alerts(out, f"{work}/out", f"{work}/state", every=None).awaitTermination()
-        end.write.mode("append").parquet(f"{work}/log")
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
 
