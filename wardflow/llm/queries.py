@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardflow.llm import bpe, bytewindows, jaccard, mixing, neighbours, orderhash, quality, secrets, tokens, wordwindows
 from wardflow.llm.common import prepare, staged, table
+from wardflow.llm.oracles import ORACLES
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,4 +60,5 @@ def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: _ready(fn) for name, fn in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
