@@ -222,8 +222,8 @@ class GraphRefresher:
         """The cells rows lie in."""
         return df.select(*STORAGE).distinct()
 
-    def _kept_cells(self, name: str, cells: DataFrame, pace: str | None) -> DataFrame | None:
-        """Write cells down, so that they are worked out once; None where there are none.
+    def _kept_cells(self, name: str, cells: DataFrame, pace: str | None) -> tuple[DataFrame | None, int]:
+        """Write cells down, so that they are worked out once, and count them; None where there are none.
 
         The name stands in the rows and is asked for again: a filter on the small side of a join is what makes Spark
         prune the folders of the large side at run time.
@@ -232,7 +232,8 @@ class GraphRefresher:
         rows = cells.select(F.lit(name).alias("of"), F.col("bucket").cast("int"), F.col("slice").cast("string"))
         rows.write.mode("overwrite").parquet(path)
         kept = self.spark.read.schema(CELLS).parquet(path).where(F.col("of") == name)
-        return None if kept.isEmpty() else kept.select(*STORAGE)
+        n = kept.count()
+        return kept.select(*STORAGE) if n else None, n
 
     def _on_batch(self, batch: DataFrame, batch_id: int, pace: str) -> None:
         with self._one_walk:  # what is written down for a walk stays as it is until the walk is over
@@ -255,7 +256,7 @@ class GraphRefresher:
     def _walk_levels(
         self, touched: dict[str, DataFrame], keys: dict[str, DataFrame], batch_id: int | None, pace: str | None
     ) -> None:
-        cells = {name: self._kept_cells(name, df, pace) for name, df in touched.items()}
+        cells = {name: self._kept_cells(name, df, pace)[0] for name, df in touched.items()}
         mine = self._of_pace(pace)
         history: list[tuple] = []
         failure: Exception | None = None
@@ -265,9 +266,8 @@ class GraphRefresher:
                 changed = {i: cells[i] for i in node.inputs if cells.get(i) is not None}
                 if changed and node.name in mine:
                     due.append((node, changed, keys, pace))
-            for node, reached, start, end, error in self._in_parallel(lambda args: self._refresh(*args), due):
+            for node, reached, n_cells, start, end, error in self._in_parallel(lambda args: self._refresh(*args), due):
                 state, message = ("SUCCEEDED", None) if error is None else ("FAILED", str(error).split("\n", 1)[0])
-                n_cells = 0 if reached is None else reached.count()
                 history.append((node.name, state, message, batch_id, n_cells, start, end))
                 cells[node.name] = reached
                 failure = failure or error
@@ -282,16 +282,17 @@ class GraphRefresher:
     def _refresh(self, node: Node, changed: dict[str, DataFrame], keys: dict[str, DataFrame], pace: str | None) -> tuple:
         start = dt.datetime.now(dt.UTC).replace(tzinfo=None)
         cells: DataFrame | None = None
+        n_cells = 0
         error: Exception | None = None
         try:
-            cells = self._kept_cells(node.name, self._reached(node, changed, keys), pace)
+            cells, n_cells = self._kept_cells(node.name, self._reached(node, changed, keys), pace)
             if cells is not None:
                 self._recompute(node, cells)
                 if self.after_node is not None:
                     self.after_node(self, node.name)
         except Exception as exc:
             error = exc
-        return node, cells, start, dt.datetime.now(dt.UTC).replace(tzinfo=None), error
+        return node, cells, n_cells, start, dt.datetime.now(dt.UTC).replace(tzinfo=None), error
 
     def _reached(self, node: Node, changed_inputs: dict[str, DataFrame], keys: dict[str, DataFrame]) -> DataFrame:
         """The cells of a node that its changed inputs reach."""
