@@ -19,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 * 1024 * 1024
 # Bytes of text that one numpy pass works on; longer texts are cut, with as much overlap as the pass needs.
-CHUNK = 4 * 1024 * 1024
+CHUNK = 1024 * 1024
 
 _U = np.uint64
 _BYTE_HASH = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)

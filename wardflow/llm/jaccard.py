@@ -37,9 +37,9 @@ from wardflow.llm.superkmers import order_of
 
 N = 4
 PERCENT = 85
-FRAGMENT = 4_000_000  # n-grams per fragment, at most about
+FRAGMENT = 2_500_000  # n-grams per fragment, at most about
 FRAGMENTS = 64  # fragments at least
-FLUSH = 3_000_000  # n-grams a task gathers before it sends them
+FLUSH = 1_500_000  # n-grams a task gathers before it sends them
 PARTS = 8  # groups of fragments in which the overlap of a pair is counted
 CENTRES = 1  # rounds against centres before all pairs between components are counted
 PARITIES = 512  # bits of the parity map of a set
