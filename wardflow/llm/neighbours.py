@@ -34,7 +34,8 @@ REVERSE = 12  # nodes it is a neighbour of that take part in a step
 TREES, LEAF, BLOCK = 4, 128, 256
 SAMPLE = 20_000  # nodes on which the borders of the trees are fitted, at most
 ROUNDS, SETTLED = 4, 0.002  # steps at most; share of changed edges at which they end
-BEAM, HOPS = 64, 16
+BEAM, HOPS = 320, 20
+NODE_BLOCK = 1000  # nodes whose vectors are in a task at once during a search
 TOP = 10
 EDGES = "node long, nbr long, dist double, new boolean"
 
@@ -218,18 +219,46 @@ def _closest(state: DataFrame) -> DataFrame:
     return state.withColumn("_r", rank).where(F.col("_r") <= BEAM).drop("_r")
 
 
+def _measured(met: DataFrame, nodes: DataFrame, asked: DataFrame, n_blocks: int) -> DataFrame:
+    """q, node, dist for pairs of a query and a node: both meet in the node's block, a query with its vector once per block."""
+    block = F.pmod(F.xxhash64("node"), F.lit(n_blocks)).alias("block")
+    wanted = met.select("q", "node", block).groupBy("block", "q").agg(F.collect_list("node").alias("nodes"))
+    wanted = wanted.join(asked, "q").select("block", "q", "nodes", "_qv")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        q, node, dist = [], [], []
+        if left.num_rows and right.num_rows:
+            ids = left["node"].to_numpy()
+            order = np.argsort(ids)
+            ids, x = ids[order], _matrix(left["vec"].combine_chunks(), np.float64)[order]
+            lists = right["nodes"].combine_chunks()
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            flat, qv = lists.flatten().to_numpy(), _matrix(right["_qv"].combine_chunks(), np.float64)
+            at = np.searchsorted(ids, flat)
+            for i, name in enumerate(right["q"].to_pylist()):
+                rows = at[ends[i] : ends[i + 1]]
+                node.append(ids[rows])
+                dist.append(np.sqrt(((x[rows] - qv[i]) ** 2).sum(1)))
+                q.append(np.full(len(rows), name, np.int64))
+        parts = [np.concatenate(v) if v else np.zeros(0, t) for v, t in ((q, np.int64), (node, np.int64), (dist, np.float64))]
+        return pa.table(parts, names=["q", "node", "dist"])
+
+    blocks = nodes.select("node", "vec", block).groupBy("block")
+    return blocks.cogroup(wanted.groupBy("block")).applyInArrow(run, "q long, node long, dist double")
+
+
 def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
     """q, node, dist: the nodes nearest to each query (columns q, node to begin at, vec)."""
     around = graph.select("node", "nbr").union(graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
     around = staged(around, "around")
-    asked = queries.select("q", F.col("vec").alias("_qv"))
+    asked = staged(queries.select("q", F.col("vec").alias("_qv")), "asked")
+    n_blocks = max(1, nodes.count() // NODE_BLOCK)
     state = staged(queries.select("q", "node", F.lit(0.0).alias("dist"), F.lit(False).alias("done")), "search")
     for _ in range(HOPS):
         open_nodes = state.where(~F.col("done")).select("q", "node")
         met = open_nodes.join(around, "node").select("q", F.col("nbr").alias("node")).distinct()
         met = met.join(state.select("q", "node"), ["q", "node"], "left_anti")
-        measured = met.join(nodes.select("node", "vec"), "node").join(asked, "q")
-        measured = measured.select("q", "node", _exact("vec", "_qv").alias("dist"), F.lit(False).alias("done"))
+        measured = _measured(met, nodes, asked, n_blocks).withColumn("done", F.lit(False))
         state = staged(_closest(state.withColumn("done", F.lit(True)).unionByName(measured)), "search")
         if not state.where(~F.col("done")).limit(1).count():
             break
@@ -246,6 +275,9 @@ def nearest(vectors: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
     graph = build_graph(light)
     asked = placed.where(is_query).select(F.col("vec_id").alias("q"), "node").join(nodes, "node")
     found = search(asked, graph, nodes)
+    # The score of what is returned is summed in the order of the components, so equal vectors have equal scores.
+    found = found.withColumn("_r", F.row_number().over(Window.partitionBy("q").orderBy("dist", "node"))).where(F.col("_r") <= 3 * top)
+    found = found.join(nodes, "node").join(asked.select("q", F.col("vec").alias("_qv")), "q").select("q", "node", _exact("vec", "_qv").alias("dist"))
     # Of equal vectors the first ones suffice: one more than asked for, as the query may be among them.
     order = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
     first = placed.withColumn("_r", order).where(F.col("_r") <= top + 1).drop("_r")
