@@ -34,7 +34,7 @@ REVERSE = 12  # nodes it is a neighbour of that take part in a step
 TREES, LEAF, BLOCK = 4, 128, 256
 SAMPLE = 20_000  # nodes on which the borders of the trees are fitted, at most
 ROUNDS, SETTLED = 4, 0.002  # steps at most; share of changed edges at which they end
-BEAM, HOPS = 320, 20
+BEAM, HOPS = 512, 20
 NODE_BLOCK = 1000  # nodes whose vectors are in a task at once during a search
 TOP = 10
 EDGES = "node long, nbr long, dist double, new boolean"
