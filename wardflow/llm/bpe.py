@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.llm.common import chunks, whole_text
+from wardflow.llm.common import chunks, keeps, whole_text
 
 REMEMBERED = 200_000  # strings of one generation of what a worker remembers
 WIDE = 1 << 32  # a pair of ids as one number: left * WIDE + right
@@ -229,6 +229,7 @@ class Vocabulary:
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str, pattern: str) -> Vocabulary:
+    keeps("vocabulary", vocabulary.cache_clear)
     return Vocabulary(path, pattern)
 
 

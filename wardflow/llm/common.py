@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,6 +27,20 @@ _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
+# What a Python worker keeps from task to task, and how to let go of it: workers are shared by all operators.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, forget: Callable[[], None]) -> None:
+    _KEPT[name] = forget
+
+
+def release_kept() -> None:
+    """Called where an operator needs the memory of the worker for itself."""
+    for forget in _KEPT.values():
+        forget()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on; limits for broadcasts stay as the session has them."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardflow.llm.common import chunks, mixed, n_parts, run_hashes, staged, text_bytes, text_key, whole_text, word_hashes
+from wardflow.llm.common import chunks, mixed, n_parts, release_kept, run_hashes, staged, text_bytes, text_key, whole_text, word_hashes
 from wardflow.llm.components import components
 from wardflow.llm.superkmers import order_of
 
@@ -77,6 +77,7 @@ def members(docs: DataFrame, text: str = "text", n: int = N) -> DataFrame:
     """ord, key, doc_id, n_shingles, class, parity map of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             sizes, names, bits = [], [], []
             for grams in _sets(*text_bytes(batch.column(3)), n):
@@ -95,6 +96,7 @@ def shared_parts(docs: DataFrame, n_fragments: int, text: str = "text", n: int =
     """class, part, grams (array), counts (array): the n-grams of each class that other classes have too."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         found: dict[int, np.ndarray] = {}
         size = 0
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.llm.common import chunks, run_hashes, staged, text_bytes, whole_text, word_hashes
+from wardflow.llm.common import chunks, release_kept, run_hashes, staged, text_bytes, whole_text, word_hashes
 
 SAMPLE = 20_000  # labelled rows a model is fitted on, at most
 THRESHOLD = 0.7
@@ -214,6 +214,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], T.StructField("stats", T.ArrayType(T.FloatType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             for a, b, x in _blocks(batch, 1):
                 offsets = pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32())
