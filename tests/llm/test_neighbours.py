@@ -51,3 +51,19 @@ def test_few_rows_and_ties(spark):
 @pytest.mark.parametrize("rows", [[], [(0, [1.0, 2.0])], [(0, [1.0, 2.0]), (1, [1.0, 2.0])]])
 def test_hardly_any(spark, rows):
     assert found(spark, rows) == {q: h for q, h in brute(rows).items() if h} if rows else found(spark, rows) == {}
+
+
+def scattered(spark, n=4000, width=32):
+    """Vectors without clusters, as (node, vec); the ten nearest of each."""
+    x = np.random.default_rng(3).normal(size=(n, width)).astype(np.float32)
+    d = (x**2).sum(1)[:, None] + (x**2).sum(1) - 2 * x @ x.T
+    np.fill_diagonal(d, np.inf)
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vec array<float>").repartition(3), np.argsort(d, axis=1)[:, :10]
+
+
+def test_edges_of_the_graph(spark):
+    nodes, want = scattered(spark)
+    lists = {}
+    for r in neighbours.build_graph(nodes).collect():
+        lists.setdefault(r.node, set()).add(r.nbr)
+    assert np.mean([len(lists[i] & set(w.tolist())) / 10 for i, w in enumerate(want)]) >= 0.9

@@ -2,10 +2,11 @@
 
 Equal vectors are one node of the graph, named by their smallest vec_id, so a vector that occurs very often is no hub; its
 rows come back when results are written. The graph starts from random projection trees: their borders are fitted on a
-bounded sample (``SAMPLE`` nodes), every node is put into a leaf of each tree, and leaves are compared in blocks of bounded
-size. NN-descent then improves it: each node brings together its neighbours and those it is a neighbour of, and every two
-of them, at least one of them new, try to become neighbours. A join carries the vectors to the node, so a step costs a
-fixed number of vectors per node.
+bounded sample (``SAMPLE`` nodes), and leaves that are still large are split by planes fitted on their own nodes, so a leaf
+has about ``LEAF`` nodes in a table of any size. All nodes of a leaf are compared. NN-descent then improves the graph: each
+node brings together its neighbours and those it is a neighbour of, and every two of them, at least one of them new, try to
+become neighbours, until hardly an edge changes. The recall of the edges is measured on some nodes whose nearest are known
+exactly; while it is too low, nodes keep longer lists.
 
 A search begins at the query's own node. Each step joins the best nodes not yet expanded with the graph in both
 directions and keeps the ``BEAM`` nearest, until no query has anything left to expand. Distances in the search are
@@ -18,6 +19,7 @@ counts. An empty table gives no rows. Extra columns are never read.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Callable, Iterator
 
@@ -29,15 +31,17 @@ from pyspark.sql.window import Window
 
 from wardflow.llm.common import staged
 
-K = 16  # neighbours a node keeps
-REVERSE = 12  # nodes it is a neighbour of that take part in a step
-TREES, LEAF, BLOCK = 4, 128, 256
+K, WIDER = 32, 8  # neighbours a node keeps at least, and more for every doubling of the table beyond FEW nodes
+FEW = 16_384
+TREES, LEAF = 4, 1024
 SAMPLE = 20_000  # nodes on which the borders of the trees are fitted, at most
-ROUNDS, SETTLED = 4, 0.002  # steps at most; share of changed edges at which they end
-BEAM, HOPS = 512, 20
+SETTLED = 0.002  # share of changed edges at which the steps end
+GOAL, PROBES, SLOW = 0.9, 256, 0.05  # recall a graph must reach, nodes it is measured on, changed edges at which it is due
+FILL = 8  # edges a node gets from each step's group while its longer list is filled
+BEAM = 128
 NODE_BLOCK = 1000  # nodes whose vectors are in a task at once during a search
 TOP = 10
-EDGES = "node long, nbr long, dist double, new boolean"
+EDGES = "node long, nbr long, dist float, new boolean"
 
 
 def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -81,7 +85,7 @@ def _distances(x: np.ndarray) -> np.ndarray:
 
 def _edges(a: list[np.ndarray], b: list[np.ndarray], d: list[np.ndarray]) -> pa.RecordBatch:
     n = sum(map(len, a))
-    parts = [pa.array(np.concatenate(x) if x else np.zeros(0, t)) for x, t in ((a, np.int64), (b, np.int64), (d, np.float64))]
+    parts = [pa.array(np.concatenate(x) if x else np.zeros(0, t)) for x, t in ((a, np.int64), (b, np.int64), (d, np.float32))]
     return pa.RecordBatch.from_arrays([*parts, pa.array(np.ones(n, bool))], names=["node", "nbr", "dist", "new"])
 
 
@@ -130,11 +134,26 @@ def _planes(sample: np.ndarray, depth: int, seed: int) -> tuple[np.ndarray, np.n
     return normals, borders
 
 
+def _depth(n: int, sample: int) -> int:
+    return max(0, min(math.ceil(math.log2(max(1, n / LEAF))), int(math.log2(max(1, sample / 8)))))
+
+
+def _down(leaf: np.ndarray, x: np.ndarray, planes: tuple[np.ndarray, np.ndarray], depth: int) -> np.ndarray:
+    """The leaves under ``leaf`` that the vectors belong to; a leaf's children are 2 leaf and 2 leaf + 1."""
+    normals, borders = planes
+    at = np.zeros(len(x), np.int64)
+    for level in range(depth):
+        value = np.einsum("ij,ij->i", x, normals[at])
+        right = value > borders[at]
+        at = 2 * at + 1 + right
+    return (leaf << depth) + at - (2**depth - 1)
+
+
 def _leaves(nodes: DataFrame, n: int) -> DataFrame:
     """node, vec and one leaf per tree (tree, leaf)."""
     rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vec").toArrow()
     sample = _matrix(rows["vec"].combine_chunks())
-    depth = max(0, min(math.ceil(math.log2(max(1, n / LEAF))), int(math.log2(max(1, len(sample) / 8)))))
+    depth = _depth(n, len(sample))
     trees = [_planes(sample, depth, seed) for seed in range(TREES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,69 +161,144 @@ def _leaves(nodes: DataFrame, n: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             x = _matrix(batch.column(1))
-            for t, (normals, borders) in enumerate(trees):
-                at = np.zeros(len(x), np.int64)
-                for _ in range(depth):
-                    at = 2 * at + 1 + (np.einsum("ij,ij->i", x, normals[at]) > borders[at])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(at), batch.column(0), batch.column(1)], names=["tree", "leaf", "node", "vec"])
+            for t, planes in enumerate(trees):
+                leaf = _down(np.ones(len(x), np.int64), x, planes, depth)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(leaf), batch.column(0), batch.column(1)], names=["tree", "leaf", "node", "vec"])
 
-    return nodes.select("node", "vec").mapInArrow(run, "tree int, leaf long, node long, vec array<float>")
+    return staged(nodes.select("node", "vec").mapInArrow(run, "tree int, leaf long, node long, vec array<float>"), "leaves")
 
 
-def _first_graph(nodes: DataFrame, n: int) -> DataFrame:
-    placed = staged(_leaves(nodes, n), "leaves")
-    sizes = placed.groupBy("tree", "leaf").agg(F.count("*").alias("size"))
-    block = F.xxhash64("tree", "leaf", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)))
-    rows = placed.join(sizes, ["tree", "leaf"]).select(block.alias("block"), "node", "vec")
+def _first_graph(placed: DataFrame, k: int) -> DataFrame:
+    rows = placed.select(F.xxhash64("tree", "leaf").alias("block"), "node", "vec")
 
-    def of_block(group: pa.RecordBatch) -> tuple:
+    def of_leaf(group: pa.RecordBatch) -> tuple:
         ids, x = group.column(1).to_numpy(), _matrix(group.column(2))
         if len(ids) < 2:
             return ids[:0], ids[:0], np.zeros(0)
         d = _distances(x)
         np.fill_diagonal(d, np.inf)
-        k = min(K, len(ids) - 1)
-        near = np.argpartition(d, k - 1, axis=1)[:, :k]
-        return np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(d, near, 1).ravel().astype(np.float64)
+        m = min(k, len(ids) - 1)
+        near = np.argpartition(d, m - 1, axis=1)[:, :m]
+        return np.repeat(ids, m), ids[near].ravel(), np.take_along_axis(d, near, 1).ravel()
 
-    return staged(_nearest(_in_groups(rows, "block", of_block), K), "graph")
+    return staged(_nearest(_in_groups(rows, "block", of_leaf), k), "graph")
 
 
 # --- NN-descent ---
 
 
-def _step(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges that the neighbours of each node found among themselves and that may improve one of their lists."""
+def _joined(left: pa.Table, right: pa.Table, fill: int | None) -> pa.Table:
+    """Edges among the members of each node of a block. left: the members' reach and vectors; right: u, of (a member), new."""
+    a, b, d = [], [], []
+    if left.num_rows and right.num_rows:
+        ids, x, reach = left["member"].to_numpy(), _matrix(left["vec"].combine_chunks()), left["reach"].to_numpy()
+        order = np.argsort(ids)
+        ids, x, reach = ids[order], x[order], reach[order]
+        norms = (x**2).sum(1)
+        u, new = right["u"].to_numpy(), right["new"].to_numpy()
+        order = np.argsort(u, kind="stable")
+        at, new = np.searchsorted(ids, right["of"].to_numpy()[order]), new[order]
+        ends = np.append(np.flatnonzero(np.diff(u[order])) + 1, len(u))
+        for i, j in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+            m, w = at[i:j], new[i:j]
+            y = x[m]
+            near = np.maximum(norms[m][:, None] + norms[m] - 2 * (y @ y.T), 0)
+            good = (near < reach[m][:, None]) & (w[:, None] | w)
+            np.fill_diagonal(good, False)
+            if fill is not None and len(m) > fill:
+                kept = np.argpartition(np.where(good, near, np.inf), fill - 1, axis=1)[:, :fill]
+                few = np.zeros_like(good)
+                np.put_along_axis(few, kept, True, axis=1)
+                good &= few
+            p, q = np.nonzero(good)
+            a.append(m[p].astype(np.int32))
+            b.append(m[q].astype(np.int32))
+            d.append(near[p, q])
+            if len(a) % 64 == 0:
+                a, b, d = ([v] for v in _once(a, b, d))
+        a, b, d = _once(a, b, d)
+        a, b = ids[a], ids[b]
+    return pa.table([pa.array(np.asarray(a, np.int64)), pa.array(np.asarray(b, np.int64)), pa.array(np.asarray(d, np.float32)), pa.array(np.ones(len(a), bool))], names=["node", "nbr", "dist", "new"])
+
+
+def _once(a: list[np.ndarray], b: list[np.ndarray], d: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once: several nodes of a block may bring it together."""
+    a, b, d = np.concatenate(a), np.concatenate(b), np.concatenate(d)
+    _, first = np.unique(a.astype(np.int64) << 32 | b, return_index=True)
+    return a[first], b[first], d[first]
+
+
+def _step(graph: DataFrame, nodes: DataFrame, home: DataFrame, k: int, fill: int | None = None) -> DataFrame:
+    """Edges that the neighbours of each node found among themselves and that may improve one of their lists.
+
+    Nodes of a leaf are worked on together, as they share many neighbours: a vector is sent once per leaf that needs it.
+    """
     ahead = graph.select(F.col("node").alias("u"), F.col("nbr").alias("member"), "new")
     back = graph.select(F.col("nbr").alias("u"), F.col("node").alias("member"), "new")
     order = Window.partitionBy("u").orderBy(F.desc("new"), F.xxhash64("member", "u"))
-    back = back.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= REVERSE).drop("_r")
+    back = back.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k * 2 // 3).drop("_r")
     members = ahead.union(back).groupBy("u", "member").agg(F.max("new").alias("new"))
-    reach = graph.groupBy("node").agg(F.when(F.count("*") < K, float("inf")).otherwise(F.max("dist")).alias("reach"))
-    carried = nodes.join(reach, "node").select(F.col("node").alias("member"), "reach", "vec")
-    rows = members.join(carried, "member").select("u", "member", "new", "reach", "vec")
+    members = staged(members.join(home, "u").select("block", "u", "member", "new"), "members")
+    reach = graph.groupBy("node").agg(F.when(F.count("*") < k, float("inf")).otherwise(F.max("dist")).cast("float").alias("reach"))
+    carried = nodes.join(reach, "node", "left").select(F.col("node").alias("member"), F.coalesce("reach", F.lit(float("inf")).cast("float")).alias("reach"), "vec")
+    wanted = members.select("block", "member").distinct().join(carried, "member").select("block", "member", "reach", "vec")
+    asking = members.select(F.col("block").alias("by"), "u", F.col("member").alias("of"), "new")
+    return wanted.groupBy("block").cogroup(asking.groupBy("by")).applyInArrow(lambda left, right: _joined(left, right, fill), EDGES)
 
-    def of_node(group: pa.RecordBatch) -> tuple:
-        ids, new, reach = group.column(1).to_numpy(), group.column(2).to_numpy(zero_copy_only=False), group.column(3).to_numpy()
-        d = _distances(_matrix(group.column(4)))
-        good = (d < np.maximum(reach[:, None], reach)) & (new[:, None] | new)
-        a, b = np.nonzero(np.triu(good, 1))
-        near = d[a, b].astype(np.float64)
-        return np.concatenate([ids[a], ids[b]]), np.concatenate([ids[b], ids[a]]), np.concatenate([near, near])
 
-    return _in_groups(rows, "u", of_node)
+def _exact_lists(nodes: DataFrame, top: int) -> DataFrame:
+    """node, nbr: the exact nearest of PROBES nodes, by one pass over all nodes."""
+    probes = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(PROBES).toArrow()
+    own, x = probes["node"].to_numpy(), _matrix(probes["vec"].combine_chunks())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, names = np.full((len(own), 0), np.inf, np.float32), np.zeros((len(own), 0), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                ids, y = batch.column(0).to_numpy(), _matrix(batch.column(1))
+                d = np.maximum((x**2).sum(1)[:, None] + (y**2).sum(1) - 2 * (x @ y.T), 0)
+                d[own[:, None] == ids] = np.inf
+                near, names = np.concatenate([near, d], 1), np.concatenate([names, np.broadcast_to(ids, d.shape)], 1)
+                best = np.argsort(near, axis=1)[:, :top]
+                near, names = np.take_along_axis(near, best, 1), np.take_along_axis(names, best, 1)
+        ok = np.isfinite(near)
+        yield _edges([np.broadcast_to(own[:, None], near.shape)[ok]], [names[ok]], [near[ok]])
+
+    return staged(_nearest(nodes.select("node", "vec").mapInArrow(run, EDGES), top).select("node", "nbr"), "exact")
+
+
+def _recall(graph: DataFrame, exact: DataFrame) -> float:
+    n = exact.count()
+    return graph.join(exact, ["node", "nbr"]).count() / n if n else 1.0
+
+
+def _let_go(nodes: DataFrame) -> None:
+    """Shuffle files of steps that are done go with the objects that name them."""
+    gc.collect()
+    nodes.sparkSession._jvm.System.gc()
 
 
 def build_graph(nodes: DataFrame) -> DataFrame:
-    """node, nbr, dist (squared): about the K nearest of every node (columns node, vec)."""
+    """node, nbr, dist (squared): nearest of every node (columns node, vec).
+
+    Steps go on until hardly an edge changes. Where the graph has then, or will have, less than GOAL of the true nearest
+    of the probes, lists become longer and the steps go on, at the most until every node has all others.
+    """
     n = nodes.count()
-    graph = _first_graph(nodes, n)
-    for _ in range(ROUNDS):
-        found = _step(graph, nodes)
-        graph = staged(_nearest(graph.withColumn("new", F.lit(False)).unionByName(found), K), "graph")
-        if graph.where("new").count() <= SETTLED * K * n:
-            break
-    return graph
+    k = max(1, min(n - 1, K + round(WIDER * max(0.0, math.log2(max(n, 1) / FEW)))))
+    placed = _leaves(nodes, n)
+    home = staged(placed.where("tree = 0").select(F.col("node").alias("u"), F.col("leaf").alias("block")), "home")
+    graph, exact = _first_graph(placed, k), _exact_lists(nodes, TOP)
+    while True:
+        graph = staged(_nearest(graph.withColumn("new", F.lit(False)).unionByName(_step(graph, nodes, home, k)), k), "graph")
+        changed = graph.where("new").count() / max(1, k * n)
+        if changed <= SLOW and k < n - 1 and _recall(graph, exact) < GOAL - changed:
+            k = min(n - 1, k + k // 2)
+            every = graph.withColumn("new", F.lit(True))
+            graph = staged(_nearest(every.unionByName(_step(every, nodes, home, k, FILL)), k).withColumn("new", F.lit(True)), "graph")
+        elif changed <= SETTLED:
+            return graph
+        _let_go(nodes)
 
 
 # --- search ---
@@ -254,15 +348,14 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
     asked = staged(queries.select("q", F.col("vec").alias("_qv")), "asked")
     n_blocks = max(1, nodes.count() // NODE_BLOCK)
     state = staged(queries.select("q", "node", F.lit(0.0).alias("dist"), F.lit(False).alias("done")), "search")
-    for _ in range(HOPS):
+    while True:
         open_nodes = state.where(~F.col("done")).select("q", "node")
         met = open_nodes.join(around, "node").select("q", F.col("nbr").alias("node")).distinct()
         met = met.join(state.select("q", "node"), ["q", "node"], "left_anti")
         measured = _measured(met, nodes, asked, n_blocks).withColumn("done", F.lit(False))
         state = staged(_closest(state.withColumn("done", F.lit(True)).unionByName(measured)), "search")
         if not state.where(~F.col("done")).limit(1).count():
-            break
-    return state.select("q", "node", "dist")
+            return state.select("q", "node", "dist")
 
 
 def nearest(vectors: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
