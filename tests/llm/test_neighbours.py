@@ -67,3 +67,15 @@ def test_edges_of_the_graph(spark):
     for r in neighbours.build_graph(nodes).collect():
         lists.setdefault(r.node, set()).add(r.nbr)
     assert np.mean([len(lists[i] & set(w.tolist())) / 10 for i, w in enumerate(want)]) >= 0.9
+
+
+def test_leaves_stay_small(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SAMPLE", 64)
+    monkeypatch.setattr(neighbours, "LEAF", 32)
+    x = np.random.default_rng(4).normal(size=(3000, 8)).astype(np.float32)
+    x[2000:2300] = x[0]  # as doubles may differ that are equal as floats
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vec array<float>").repartition(3)
+    placed = neighbours._leaves(nodes, len(x)).select("tree", "leaf", "node").toPandas()
+    assert (placed.groupby("tree").node.nunique() == len(x)).all() and len(placed) == neighbours.TREES * len(x)
+    sizes = placed.groupby(["tree", "leaf"]).size()
+    assert sizes.max() <= 64 and sizes.mean() >= 8

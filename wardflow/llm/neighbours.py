@@ -29,12 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wardflow.llm.common import staged
+from wardflow.llm.common import mixed, staged
 
 K, WIDER = 32, 8  # neighbours a node keeps at least, and more for every doubling of the table beyond FEW nodes
 FEW = 16_384
 TREES, LEAF = 4, 1024
-SAMPLE = 20_000  # nodes on which the borders of the trees are fitted, at most
+SAMPLE = 20_000  # nodes on which the borders of a tree, or of a part of it, are fitted at once
 SETTLED = 0.002  # share of changed edges at which the steps end
 GOAL, PROBES, SLOW = 0.9, 256, 0.05  # recall a graph must reach, nodes it is measured on, changed edges at which it is due
 FILL = 8  # edges a node gets from each step's group while its longer list is filled
@@ -138,19 +138,63 @@ def _depth(n: int, sample: int) -> int:
     return max(0, min(math.ceil(math.log2(max(1, n / LEAF))), int(math.log2(max(1, sample / 8)))))
 
 
-def _down(leaf: np.ndarray, x: np.ndarray, planes: tuple[np.ndarray, np.ndarray], depth: int) -> np.ndarray:
-    """The leaves under ``leaf`` that the vectors belong to; a leaf's children are 2 leaf and 2 leaf + 1."""
+def _down(leaf: np.ndarray, ids: np.ndarray, x: np.ndarray, planes: tuple[np.ndarray, np.ndarray], depth: int) -> np.ndarray:
+    """The leaves under ``leaf`` that the vectors belong to; a leaf's children are 2 leaf and 2 leaf + 1. What lies in a plane goes to either side."""
     normals, borders = planes
     at = np.zeros(len(x), np.int64)
     for level in range(depth):
         value = np.einsum("ij,ij->i", x, normals[at])
-        right = value > borders[at]
+        either = (mixed(ids.astype(np.uint64) + leaf.astype(np.uint64)) >> np.uint64(level)) & np.uint64(1) == 1
+        right = (value > borders[at]) | ((value == borders[at]) & either)
         at = 2 * at + 1 + right
     return (leaf << depth) + at - (2**depth - 1)
 
 
+def _split(large: DataFrame) -> DataFrame:
+    """Leaves (tree, leaf, size, node, vec) in parts of about LEAF nodes, by planes fitted on nodes of the leaf; only these are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, planes, depth = None, None, 0
+        waiting: list[pa.RecordBatch] = []
+
+        def out(part: pa.RecordBatch) -> pa.RecordBatch:
+            leaf = _down(part.column(1).to_numpy(), part.column(3).to_numpy(), _matrix(part.column(4)), planes, depth)
+            return pa.RecordBatch.from_arrays([part.column(0), pa.array(leaf), part.column(3), part.column(4)], names=["tree", "leaf", "node", "vec"])
+
+        def fitted() -> Iterator[pa.RecordBatch]:
+            nonlocal planes, depth, waiting
+            sample = np.concatenate([_matrix(w.column(4)) for w in waiting])[:SAMPLE]
+            depth = max(1, _depth(waiting[0].column(2)[0].as_py(), len(sample)))
+            planes = _planes(sample, depth, hash(key) & 0x7FFFFFFF)
+            yield from map(out, waiting)
+            waiting = []
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tree, leaf = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero((tree[1:] != tree[:-1]) | (leaf[1:] != leaf[:-1])) + 1).tolist(), len(leaf)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if key != (int(tree[a]), int(leaf[a])):
+                    if waiting:
+                        yield from fitted()
+                    key, planes = (int(tree[a]), int(leaf[a])), None
+                part = batch.slice(a, b - a)
+                if planes is not None:
+                    yield out(part)
+                    continue
+                waiting.append(part)
+                if sum(w.num_rows for w in waiting) >= SAMPLE:
+                    yield from fitted()
+        if waiting:
+            yield from fitted()
+
+    rows = large.select("tree", "leaf", "size", "node", "vec").repartition("tree", "leaf").sortWithinPartitions("tree", "leaf", F.xxhash64("node"))
+    return rows.mapInArrow(run, "tree int, leaf long, node long, vec array<float>")
+
+
 def _leaves(nodes: DataFrame, n: int) -> DataFrame:
-    """node, vec and one leaf per tree (tree, leaf)."""
+    """node, vec and one leaf per tree (tree, leaf), of about LEAF nodes and 2 LEAF at most, whatever n is."""
     rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vec").toArrow()
     sample = _matrix(rows["vec"].combine_chunks())
     depth = _depth(n, len(sample))
@@ -160,12 +204,21 @@ def _leaves(nodes: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1))
+            ids, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
             for t, planes in enumerate(trees):
-                leaf = _down(np.ones(len(x), np.int64), x, planes, depth)
+                leaf = _down(np.ones(len(x), np.int64), ids, x, planes, depth)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(leaf), batch.column(0), batch.column(1)], names=["tree", "leaf", "node", "vec"])
 
-    return staged(nodes.select("node", "vec").mapInArrow(run, "tree int, leaf long, node long, vec array<float>"), "leaves")
+    placed = staged(nodes.select("node", "vec").mapInArrow(run, "tree int, leaf long, node long, vec array<float>"), "leaves")
+    small: DataFrame | None = None
+    while True:
+        large = placed.groupBy("tree", "leaf").agg(F.count("*").alias("size")).where(F.col("size") > 2 * LEAF)
+        large = staged(large, "large-leaves")
+        rest = placed.join(large.select("tree", "leaf"), ["tree", "leaf"], "left_anti")
+        small = rest if small is None else small.unionByName(rest)
+        if large.isEmpty():
+            return small
+        placed = staged(_split(placed.join(large, ["tree", "leaf"])), "leaves")
 
 
 def _first_graph(placed: DataFrame, k: int) -> DataFrame:
