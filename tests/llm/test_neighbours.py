@@ -79,3 +79,14 @@ def test_leaves_stay_small(spark, monkeypatch):
     assert (placed.groupby("tree").node.nunique() == len(x)).all() and len(placed) == neighbours.TREES * len(x)
     sizes = placed.groupby(["tree", "leaf"]).size()
     assert sizes.max() <= 64 and sizes.mean() >= 8
+
+
+def test_search_with_a_small_beam(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BEAM", 32)
+    nodes, want = scattered(spark)
+    asked = nodes.where("node % 40 = 0").select(F.col("node").alias("q"), "node", "vec")
+    hits = {}
+    for r in neighbours.search(asked, neighbours.build_graph(nodes), nodes).where("q <> node").collect():
+        hits.setdefault(r.q, []).append((r.dist, r.node))
+    assert np.mean([len({i for _, i in sorted(h)[:10]} & set(want[q].tolist())) / 10 for q, h in hits.items()]) >= 0.9
+    assert len(hits) == 100
