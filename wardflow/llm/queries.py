@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import bpe, bytewindows, jaccard, mixing, neighbours, orderhash, quality, secrets, tokens, wordwindows
+from wardflow.llm import (
+    bpe,
+    bytewindows,
+    exactdedup,
+    importance,
+    jaccard,
+    mixing,
+    neighbours,
+    orderhash,
+    periodicruns,
+    quality,
+    secrets,
+    tokens,
+    wordwindows,
+)
 from wardflow.llm.common import prepare, staged, table
 from wardflow.llm.oracles import ORACLES
 
@@ -53,6 +67,18 @@ def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodicruns.digests(periodicruns.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.duplicates(table(spark, sf_dir, "documents"))
+
+
 def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(prepare(spark), sf_dir)
 
