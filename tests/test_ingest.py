@@ -97,6 +97,74 @@ def test_rerun_replaces_or_skips(spark, root):
     assert routing.route_batch(mixed, root, "002", mode="skip").status == "ROUTED"  # a removed batch may come again
 
 
+def broken(df):
+    return df.withColumn("vendor_id", F.expr("if(pat_mrn = 'MRN-900003', raise_error('torn file'), vendor_id)"))
+
+
+@pytest.mark.parametrize("mode", ["replace", "merge"])
+def test_a_failed_rerun_changes_nothing(spark, root, mode):
+    assert routing.batches(spark, root).count() == 0 == routing.routed(spark, root).count()
+    good = batch(spark, [(v, f"MRN-90000{i}", *rest[1:]) for i, (v, *rest) in enumerate(GOOD, 1)])
+    with pytest.raises(Exception, match="torn file"):
+        routing.route_batch(broken(good), root, "001", mode=mode)
+    assert [tuple(r) for r in routing.batches(spark, root).collect()] == [("001", "FAILED", 0, 0, "FAILED")]
+    routing.route_batch(good, root, "001")
+    want = rows(routing.accepted(spark, root))
+    assert len(want) == 5
+    with pytest.raises(Exception, match="torn file"):
+        routing.route_batch(broken(good).repartition(5), root, "001", mode=mode)
+    assert rows(routing.accepted(spark, root)) == want
+    assert [tuple(r) for r in routing.batches(spark, root).collect()] == [("001", "ROUTED", 5, 0, "FAILED")]
+    assert routing.route_batch(good.limit(1), root, "001", mode="skip").status == "SKIPPED"
+
+
+def test_skip_looks_for_the_rows(spark, root):
+    from wardflow.sources import files
+    from wardflow.sources.snapshots import SnapshotTable
+
+    routing.route_batch(batch(spark, GOOD + INVALID), root, "001")
+    table = SnapshotTable(spark, f"{root}/batch_id=001")
+    files.delete(spark, f"{table.latest().paths(table.root)[0]}/status=quarantined")
+    again = routing.route_batch(batch(spark, GOOD + INVALID), root, "001", mode="skip")
+    assert (again.status, again.quarantined) == ("ROUTED", 4) and routing.quarantined(spark, root).count() == 4
+
+
+def test_merge_updates_by_key(spark, root):
+    keys = ["vendor_id"]
+    first = routing.route_batch(batch(spark, GOOD + INVALID), root, "001", mode="merge", keys=keys)
+    assert (first.accepted, first.quarantined) == (5, 4)
+    # One row is new, one changes its value, one that was rejected comes right, one that was good comes wrong.
+    newer = [("VL-000009", *GOOD[0][1:]), (GOOD[0][0], *GOOD[0][1:4], "7", *GOOD[0][5:]),
+             ("VL-000021", "MRN-900001", "GLU", "Glucose", "1", "mg/dL", "2024-10-21", "N"), (*GOOD[1][:7], "?")]
+    for _ in range(2):
+        result = routing.route_batch(batch(spark, newer), root, "001", mode="merge", keys=keys)
+        assert (result.accepted, result.quarantined) == (6, 4)
+    good = dict(rows(routing.accepted(spark, root), "vendor_id", "result_value"))
+    assert good == {"VL-000001": "7", "VL-000003": "95", "VL-000004": "95", "VL-000005": "95", "VL-000009": "95", "VL-000021": "1"}
+    bad = {r.vendor_id: r.rejection_reasons for r in routing.quarantined(spark, root).collect()}
+    assert bad["VL-000002"] == ["ABNORMAL_YN invalid value: ?"] and set(bad) == {"VL-000002", "BADID", "VL-000020\n", None}
+    assert [tuple(r) for r in routing.batches(spark, root).collect()] == [("001", "ROUTED", 6, 4, "ROUTED")]
+    routing.route_batch(batch(spark, [(None, *GOOD[0][1:])]), root, "001", mode="merge", keys=keys)  # a missing key is a key
+    assert routing.quarantined(spark, root).where("vendor_id IS NULL").count() == 1
+
+
+def test_failed_import_keeps_the_rows(spark, root, importer):
+    importer.run_import("alpha", "B-1")
+    broken_rows = spark.range(6).select(F.when(F.col("id") == 5, F.raise_error(F.lit("torn file")).cast("long")).otherwise(F.col("id")).alias("id"))
+    spark.range(3).write.mode("overwrite").parquet(f"{root}/raw/alpha")
+    import wardflow.operators.imports as imports
+
+    known = imports.read
+    imports.read = lambda *a: broken_rows if a[1].endswith("/alpha") else known(*a)
+    try:
+        assert importer.run_import("alpha", "B-2").status == "FAILED"
+    finally:
+        imports.read = known
+    kept = read(spark, f"{root}/curated/a")
+    assert kept.count() == 5 and {r.batch_id for r in kept.collect()} == {"B-1"}
+    assert {r.source_table: r.last_run_status for r in importer.status().collect()}["alpha"] == "FAILED"
+
+
 def test_empty_batch(spark, root):
     result = routing.route_batch(batch(spark, []), root, "EMPTY")
     assert (result.accepted, result.quarantined) == (0, 0)

@@ -432,6 +432,23 @@ ORACLES: dict[str, str] = {
              CAST(NULL AS BIGINT) AS n_rows
            UNION ALL SELECT 'BATCH-002', 'ROUTED', a, q, a + q FROM n""",
     ),
+    "failed_rerun": _with(
+        f"""{_VENDOR}, n AS (SELECT count(CASE WHEN len(reasons) = 0 THEN 1 END) AS a,
+              count(CASE WHEN len(reasons) > 0 THEN 1 END) AS q FROM checked)""",
+        """SELECT 'BATCH-001' AS batch_id, CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'quarantined' END AS status, count(*) AS n_rows,
+             'ROUTED' AS state, 'FAILED' AS last_run, any_value(a) AS accepted, any_value(q) AS quarantined, 'FAILED' AS second_run,
+             'SKIPPED' AS third_run FROM checked, n GROUP BY 2""",
+    ),
+    "merged_batch": _with(
+        f"""{_VENDOR}, both_runs AS (SELECT result_value, CAST(result_value AS BIGINT) % 3 = 1 AS old, result_unit, abnormal_yn,
+              list_filter(reasons, lambda r: NOT starts_with(r, 'ABNORMAL_YN')) AS rest, reasons FROM checked),
+            merged AS (SELECT result_value, CASE WHEN old THEN result_unit ELSE 'mmol/L' END AS result_unit,
+              CASE WHEN old THEN abnormal_yn ELSE 'N' END AS abnormal_yn,
+              CASE WHEN len(CASE WHEN old THEN reasons ELSE rest END) = 0 THEN 'accepted' ELSE 'quarantined' END AS status
+              FROM both_runs)""",
+        """SELECT 'BATCH-001' AS batch_id, *, (SELECT count(*) FROM merged WHERE status = 'accepted') AS accepted FROM merged""",
+    ),
+    "failed_replace": """SELECT c_custkey, c_name, c_acctbal, k AS kept_in FROM customer, (VALUES ('folder'), ('table')) t(k)""",
     "skipped_batch": _with(
         _VENDOR,
         """SELECT CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'quarantined' END AS status, count(*) AS n_rows,

@@ -476,6 +476,58 @@ def skipped_batch(spark, sf):
     return rows.withColumn("second_run", F.lit(again.status))
 
 
+def _torn(df: DataFrame, number: str) -> DataFrame:
+    """The rows, but reading the one with the largest number fails, after others were written."""
+    n = F.col(number).cast("bigint")
+    largest = df.agg(F.max(n)).first()[0]
+    return df.withColumn(number, F.when(n == largest, F.raise_error(F.lit("torn file"))).otherwise(F.col(number)))
+
+
+@query
+def failed_rerun(spark, sf):
+    """A second run of a batch fails half-way: the rows of the first one still count, and a third run skips them."""
+    base, log = new_workspace(spark, "vendor"), RunLog(spark, f"{new_workspace(spark, 'log')}/log")
+    labs = td.vendor_labs(spark, sf)
+    route_batch(labs, base, "BATCH-001")
+    failed = process_vendor_batch(_torn(labs, "result_value"), base, "BATCH-001", log)
+    again = route_batch(labs.where("vendor_id IS NULL"), base, "BATCH-001", mode="skip")
+    rows = routed(spark, base).groupBy("batch_id", "status").agg(F.count("*").alias("n_rows"))
+    listed = batches(spark, base).join(rows, "batch_id")
+    return listed.select(
+        "batch_id", "status", "n_rows", "state", "last_run", "accepted", "quarantined",
+        F.lit(failed.status).alias("second_run"), F.lit(again.status).alias("third_run"),
+    )
+
+
+@query
+def merged_batch(spark, sf):
+    """A batch comes again with a part of its rows changed and others new: by key, each row counts once, the newest."""
+    base = new_workspace(spark, "vendor")
+    labs, third = td.vendor_labs(spark, sf), F.col("result_value").cast("bigint") % 3
+    route_batch(labs.where(third != 0), base, "BATCH-001")
+    newer = labs.where(third != 1).withColumns({"result_unit": F.lit("mmol/L"), "abnormal_yn": F.lit("N")})
+    for _ in range(2):  # merging twice changes nothing
+        result = route_batch(newer, base, "BATCH-001", mode="merge", keys=["result_value"])
+    out = routed(spark, base).select("batch_id", "result_value", "result_unit", "abnormal_yn", "status")
+    return out.withColumn("accepted", F.lit(result.accepted).cast("bigint"))
+
+
+@query
+def failed_replace(spark, sf):
+    """A table and a folder are replaced by a query that fails half-way; both keep the rows they had."""
+    path, name = f"{new_workspace(spark, 'replaced')}/customer", "wardflow_replaced_customer"
+    rows = td.load(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    for target, home in ((path, None), (name, f"{path}-table")):
+        ctas(rows, target, home)
+        try:
+            ctas(_torn(rows.withColumn("c_name", F.lit("lost")), "c_custkey"), target, home)
+        except Exception as exc:  # what comes back is what is read below
+            if "torn file" not in str(exc):
+                raise
+    folder, table = read(spark, path).withColumn("kept_in", F.lit("folder")), spark.table(name).withColumn("kept_in", F.lit("table"))
+    return folder.unionByName(table)
+
+
 @query
 def batch_log(spark, sf):
     """What the run log says after a drifted batch was processed."""

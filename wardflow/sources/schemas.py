@@ -117,9 +117,7 @@ VENDOR_LAB = _struct(
     },
 )
 
-BATCH = _struct(
-    "batch_id state", {"accepted": T.LongType(), "quarantined": T.LongType(), "at": _TS}
-)
+BATCH_RUN = _struct("batch_id state", {"at": _TS})
 
 ROLE_ACCESS = _struct("role_name", {"department": _S})
 

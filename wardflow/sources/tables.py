@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.functions.dates import as_timestamp
+from wardflow.sources.files import write_text
+from wardflow.sources.snapshots import KEEP, RUN, SnapshotTable, Version, is_snapshot
 
 
 def create_layers(spark: SparkSession, names: Sequence[str] = ("raw", "curated", "gold", "governance")) -> None:
@@ -65,37 +67,75 @@ def append_rows(
 
 
 def append(df: DataFrame, target: str) -> None:
-    """Append to a table name or to a parquet folder; an append to a folder feeds the streams that watch it."""
-    writer = df.write.mode("append")
-    if _is_path(target):
-        writer.parquet(target)
+    """Append to a table name, to a folder made by ``ctas`` (as its next version), or to a plain parquet folder; an append
+    to a plain folder feeds the streams that watch it."""
+    if not _is_path(target):
+        df.write.mode("append").format("parquet").saveAsTable(target)
+    elif is_snapshot(df.sparkSession, target):
+        SnapshotTable(df.sparkSession, target).append(df)
     else:
-        writer.format("parquet").saveAsTable(target)
+        df.write.mode("append").parquet(target)
+
 
+def ctas(df: DataFrame, target: str, base_location: str | None = None, keep: int = KEEP) -> Version:
+    """Create or replace a table (or folder) from a query, in one step.
 
-def ctas(df: DataFrame, target: str, base_location: str | None = None) -> None:
-    """Create or replace a table (or folder) from a query."""
-    writer = df.write.mode("overwrite").format("parquet")
+    The rows are written beside those in force and take effect together, so a write that fails changes nothing and
+    readers never see a part of either. A catalog table points at the folder of its newest version; below a plain path
+    ``read`` looks the version up.
+    """
+    spark = df.sparkSession
     if _is_path(target):
-        writer.save(target)
-    elif base_location:
-        writer.option("path", base_location).saveAsTable(target)
-    else:
-        writer.saveAsTable(target)
+        return SnapshotTable(spark, target, keep).replace(df)
+    table = SnapshotTable(spark, base_location or _home_of(spark, target), keep)
+    run, n = table.written(df, ())
+    # The catalog is told before older folders are dropped, so the name always leads to rows that are there.
+    _point(spark, target, df.schema, f"{table.root}/{RUN}={run}")
+    return table.adopt(run, df.schema, (), n, {"table": target})
+
+
+def _home_of(spark: SparkSession, name: str) -> str:
+    """Where the versions of a catalog table lie that was given no place of its own."""
+    database, _, table = name.rpartition(".")
+    folder = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{folder.rstrip('/')}/{table}.versions"
+
+
+def _point(spark: SparkSession, name: str, schema: T.StructType, folder: str) -> None:
+    """Let a name stand for the rows of a folder. With the same columns the catalog changes in one step; otherwise the
+    entry is made anew, which moves no rows."""
+    if spark.catalog.tableExists(name):
+        known = spark.table(name).schema
+        same = [(f.name, f.dataType) for f in known] == [(f.name, f.dataType) for f in schema]
+        if same and spark.catalog.getTable(name).tableType == "EXTERNAL":
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    columns = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+    spark.catalog.createTable(name, path=folder, source="parquet", schema=columns)
 
 
 def export_open(df: DataFrame, base_location: str, name: str | None = None) -> str:
-    """Publish a gold result as open parquet files at a location other engines can read."""
-    if name:
-        ctas(df, name, base_location)
-    else:
-        ctas(df, base_location)
+    """Publish a gold result as open parquet files at a location other engines can read.
+
+    Besides the version file, ``_symlink_format_manifest/manifest`` lists the data files in force, one a line, as several
+    engines read it; it is replaced as a whole.
+    """
+    spark = df.sparkSession
+    version = ctas(df, name, base_location) if name else ctas(df, base_location)
+    root = base_location.rstrip("/")
+    listed = SnapshotTable(spark, root).frame(version, version.paths(root)).inputFiles()
+    write_text(spark, f"{root}/_symlink_format_manifest/manifest", "".join(f"{f}\n" for f in sorted(listed)))
     return base_location
 
 
 def read(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     if not _is_path(target):
         return spark.table(target)
+    if is_snapshot(spark, target):
+        rows = SnapshotTable(spark, target).read()
+        return rows if schema is None else rows.select(*schema.names)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(target)
 
