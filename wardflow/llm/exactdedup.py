@@ -20,6 +20,7 @@ returns them whatever their names.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -68,8 +69,8 @@ def from_golomb(code: bytes) -> np.ndarray:
 
 
 def low_bits(span: int, n: int) -> int:
-    """The best parameter for n numbers spread over a span: a power of two near 0.69 times the usual gap."""
-    return max(0, int(0.69 * span / max(n, 1)).bit_length() - 1)
+    """The best parameter for n numbers spread over a span: the power of two nearest to 0.69 times the usual gap."""
+    return max(0, int(0.69 * math.sqrt(2) * span / max(n, 1)).bit_length() - 1)
 
 
 def _words_of(bits: np.ndarray) -> np.ndarray:

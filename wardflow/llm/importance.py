@@ -103,7 +103,7 @@ class Dictionary:
     def _learn(self) -> None:
         self.known |= self.fresh
         self.fresh = {}
-        made = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        made = ahocorasick.Automaton()
         for word, payload in self.known.items():
             made.add_word(f" {word} ", payload)
         made.make_automaton()
