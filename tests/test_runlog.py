@@ -94,6 +94,79 @@ def test_streams_over_the_log(spark, root):
     assert got[1, "RUN_IMPORT", "INFO"] == 2 and got[2, "PROCESS", "ERROR"] == 2
 
 
+def line(spark, *events):
+    return rows_frame(spark, [("R", step, level, "m", None, f"2024-10-25 {at}") for step, level, at in events], RUN_LOG)
+
+
+def test_alerts_are_raised_at_once_and_cleared_by_a_timer(spark, root):
+    path, schema = f"{root}/log", log(spark).schema
+
+    def after(*events):
+        if events:
+            append(line(spark, *events), path)
+        found = alerts.step_alerts(alerts.log_stream(spark, path, schema), late="0 seconds")
+        alerts.start_alerts(found, f"{root}/alerts", f"{root}/state", every=None).awaitTermination()
+        got = rows(spark.read.schema(found.schema).parquet(f"{root}/alerts"), "step_name", "event", "at", "error_count")
+        return sorted((s, e, f"{at:%H:%M:%S}", n) for s, e, at, n in got)
+
+    raised = [("LOAD", "RAISED", "02:00:00", 1)]
+    assert after(("LOAD", "ERROR", "02:00:00")) == raised  # no other event has to come first
+    assert after(("LOAD", "ERROR", "02:04:59"), ("LOAD", "INFO", "02:05:00")) == raised  # prolonged, not raised again
+    assert after(("LOAD", "WARN", "02:09:58")) == raised
+    # A healthy event of another step moves time: five minutes after the last error the timer clears the alert.
+    cleared = [("LOAD", "CLEARED", "02:09:59", 2), *raised]
+    assert after(("SAVE", "INFO", "02:10:00")) == cleared
+    again = [("LOAD", "RAISED", "02:20:00", 3), ("SAVE", "RAISED", "02:20:00", 1)]
+    assert after(*[("LOAD", "ERROR", t) for t in ("02:22:00", "02:20:00", "02:21:00")], ("SAVE", "ERROR", "02:20:00")) == sorted(cleared + again)
+    # Backlog: spells that are over are cleared in the trigger that reads them; errors from before stand alone.
+    late = [("LOAD", "RAISED", "01:00:00", 1), ("LOAD", "CLEARED", "01:05:00", 1)]
+    more = [("LOAD", "CLEARED", "02:27:00", 3), ("LOAD", "RAISED", "03:00:00", 1), ("SAVE", "CLEARED", "02:25:00", 1)]
+    assert after(("LOAD", "ERROR", "03:00:00"), ("LOAD", "ERROR", "01:00:00")) == sorted(cleared + again + late + more)
+    assert after() == sorted(cleared + again + late + more)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != alerts.STATE_STORE
+
+
+def test_steps_and_times_may_be_missing(spark, root):
+    path, schema = f"{root}/log", log(spark).schema
+    broken = [("R", None, "ERROR", "m", None, "2024-10-25 02:00:00"), ("R", "A", "ERROR", "m", None, None), ("R", "A", None, "m", None, "2024-10-25 02:00:00")]
+    append(rows_frame(spark, broken, RUN_LOG), path)
+    append(line(spark, *[("HOT", "ERROR", f"03:00:{i % 60:02d}") for i in range(3000)]).repartition(8), path)
+    found = alerts.step_alerts(alerts.log_stream(spark, path, schema))
+    alerts.start_alerts(found, f"{root}/alerts", f"{root}/state", every=None).awaitTermination()
+    got = rows(spark.read.schema(found.schema).parquet(f"{root}/alerts"), "step_name", "event", "error_count")
+    assert set(got) >= {("HOT", "RAISED", 3000), (None, "RAISED", 1)} and not any(s == "A" for s, *_ in got)
+
+
+def test_spells_join_in_any_order():
+    import random
+
+    r = random.Random(4)
+    for _ in range(200):
+        times = [r.randint(0, 400) for _ in range(r.randint(1, 30))]
+        whole = alerts.joined_spells([(t, t, 1) for t in times], 10)
+        parts = [times[i::3] for i in range(3)]
+        packed = [s for p in parts for s in alerts.joined_spells([(t, t, 1) for t in p], 10)]
+        r.shuffle(packed)
+        assert alerts.joined_spells(packed, 10) == whole
+        ordered = sorted(times)
+        assert len(whole) == 1 + sum(b - a >= 10 for a, b in zip(ordered, ordered[1:], strict=False))
+
+
+def test_windows_are_current_after_every_trigger(spark, root):
+    path, schema = f"{root}/log", log(spark).schema
+
+    def after(*events):
+        append(line(spark, *events), path)
+        found = alerts.error_alerts(alerts.log_stream(spark, path, schema))
+        alerts.keep_current(found, f"{root}/alerts", f"{root}/state", ["window_start"], every=None).awaitTermination()
+        return sorted((w.minute, n) for w, n in rows(read(spark, f"{root}/alerts"), "window_start", "error_count"))
+
+    assert after(("LOAD", "INFO", "02:00:00")) == []
+    assert after(("LOAD", "ERROR", "02:01:00")) == [(0, 1)]
+    assert after(("LOAD", "ERROR", "02:02:00"), ("SAVE", "ERROR", "02:06:00")) == [(0, 2), (5, 1)]
+    assert after(("LOAD", "INFO", "05:00:00")) == [(0, 2), (5, 1)]
+
+
 def test_details_that_do_not_fit(spark):
     from pyspark.sql import functions as F
 

@@ -401,6 +401,22 @@ ORACLES: dict[str, str] = {
              count(*) AS error_count, max(logged_at) AS last_error
            FROM log WHERE log_level = 'ERROR' GROUP BY 1, 2""",
     ),
+    "raised_alerts": _with(
+        f"""{_LOG}, errors AS (SELECT batch_id, logged_at, CASE WHEN logged_at < lag(logged_at) OVER w + INTERVAL 720 MINUTE THEN 0 ELSE 1 END AS fresh
+              FROM log WHERE log_level = 'ERROR' AND logged_at IS NOT NULL WINDOW w AS (PARTITION BY batch_id ORDER BY logged_at)),
+            spells AS (SELECT batch_id, min(logged_at) AS first_error, max(logged_at) AS last_error, count(*) AS error_count
+              FROM (SELECT *, sum(fresh) OVER (PARTITION BY batch_id ORDER BY logged_at) AS spell FROM errors) GROUP BY batch_id, spell),
+            ends AS (SELECT *, last_error + INTERVAL 720 MINUTE AS quiet,
+              lead(first_error) OVER (PARTITION BY batch_id ORDER BY first_error) AS next_error FROM spells)""",
+        """SELECT batch_id, 'RAISED' AS event, first_error AS at, first_error, last_error, error_count FROM ends
+           UNION ALL SELECT batch_id, 'CLEARED', quiet, first_error, last_error, error_count FROM ends
+           WHERE next_error IS NOT NULL OR quiet <= (SELECT max(logged_at) - INTERVAL 10 MINUTE FROM log)""",
+    ),
+    "streamed_run_summary": _with(
+        _LOG,
+        """SELECT date_trunc('hour', logged_at) AS log_hour, step_name, log_level, count(*) AS event_count,
+             min(logged_at) AS first_event, max(logged_at) AS last_event FROM log GROUP BY 1, 2, 3""",
+    ),
     "validated_rows": _with(
         _VENDOR, f"SELECT result_value, len(reasons) = 0 AS is_valid, {_JSON_REASONS} AS reasons FROM checked"
     ),

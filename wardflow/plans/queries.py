@@ -380,22 +380,32 @@ def detail_misfits(spark, sf):
 
 @query
 def error_alerts(spark, sf):
-    """Closed five-minute windows with errors, found by the stream; the log is first landed as files it can follow."""
+    """Five-minute windows with errors, kept current by a stream over the log: each is there after the trigger that saw
+    its errors, whether it has closed or not."""
     work = new_workspace(spark, "alerts")
-    log = td.run_log(spark, sf).select("log_level", "logged_at")
-    ctas(log, f"{work}/log")
-    # The stream reports a window when later events have passed it, so one far later event closes all of them.
-    end = spark.createDataFrame([("INFO", "2100-01-01 00:00:00")], "log_level string, t string")
-    end = end.select("log_level", F.col("t").cast("timestamp_ntz").alias("logged_at"))
-    stream = alerts.log_stream(spark, f"{work}/log", log.schema)
-    for closing in (False, True):
-        if closing:
-            end.write.mode("append").parquet(f"{work}/log")
-        out = alerts.error_alerts(stream)
-        alerts.write_alerts(out, f"{work}/out", f"{work}/state", every=None).awaitTermination()
+    out = alerts.error_alerts(td.run_log_stream(spark, sf))
+    alerts.keep_current(out, f"{work}/out", f"{work}/state", ["window_start"], every=None).awaitTermination()
+    return read(spark, f"{work}/out")
+
+
+@query
+def raised_alerts(spark, sf):
+    """Alerts per batch: raised with the first error, prolonged by others within half a day, cleared by a timer after that."""
+    work = new_workspace(spark, "alerts")
+    out = alerts.step_alerts(td.run_log_stream(spark, sf), by="batch_id", minutes=720)
+    alerts.start_alerts(out, f"{work}/out", f"{work}/state", every=None).awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{work}/out")
 
 
+@query
+def streamed_run_summary(spark, sf):
+    """The hourly summary of the run log, kept current by a stream."""
+    work = new_workspace(spark, "summary")
+    out = alerts.run_summary_stream(td.run_log_stream(spark, sf))
+    alerts.keep_current(out, f"{work}/out", f"{work}/state", ["log_hour", "step_name", "log_level"], every=None).awaitTermination()
+    return read(spark, f"{work}/out")
+
+
 # --- ingestion -----------------------------------------------------------------------------------------------------------
 
 

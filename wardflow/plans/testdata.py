@@ -178,12 +178,23 @@ def messy_vendor_labs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a run log: errors, warnings for sign-ups, and details on purchases and sign-ups."""
+    return _as_run_log(load(spark, sf_dir, "events"))
+
+
+def run_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log as a stream over the files of the events."""
+    # A file of a fixed name is matched by a pattern too, which is what a file stream looks for.
+    path = f"{sf_dir}/events.parque[t]"
+    return _as_run_log(spark.readStream.schema(load(spark, sf_dir, "events").schema).parquet(path))
+
+
+def _as_run_log(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     number = F.regexp_extract("props", '"k": ?([0-9]+)', 1).cast("bigint")
     user = _text("user_id")
     loaded = detail_of(rows_loaded=number, target=kind, batch_id=user)
     routed = detail_of(accepted=number * 2, quarantined=number, batch_id=user)
-    return load(spark, sf_dir, "events").select(
+    return events.select(
         F.concat_ws("-", kind, user, _text("event_id")).alias("run_id"),
         kind.alias("step_name"),
         F.when(kind == "error", "ERROR").when(kind == "signup", "WARN").otherwise("INFO").alias("log_level"),
