@@ -307,3 +307,156 @@ def test_running_query_and_reopened_store(spark, root):
     assert_equals_full(again)
     with pytest.raises(ValueError, match="has 2 buckets"):
         GraphRefresher(spark, graph, root, n_buckets=3)
+
+
+def test_groups_cover_the_first_slices(monkeypatch):
+    from wardflow.streaming import refresh
+
+    for fan in (2, 3, 8):
+        monkeypatch.setattr(refresh, "FAN", fan)
+        for n in range(0, 40 * fan, fan):
+            cover = GraphRefresher.cover(n)
+            held = [i for level, groups in cover.items() for g in groups for i in range(g * fan**level, (g + 1) * fan**level)]
+            assert sorted(held) == list(range(n))
+            assert all(len(groups) < fan or level == max(cover) for level, groups in cover.items())
+
+
+def test_buckets_are_merged_from_few_groups(spark, root, monkeypatch):
+    """Gold is merged from groups of old slices; rows that come late to one of them, to a bucket that had none there, or
+    twice, end in the same as a full recompute."""
+    from wardflow.streaming import refresh
+
+    monkeypatch.setattr(refresh, "FAN", 2)
+    only = ["gold.patient_encounter_summary", "gold.department_dashboard"]
+    store = GraphRefresher(spark, clinical_graph(), root, n_buckets=2)
+    store.land("raw.patient_dim", patients(spark), "day-00")
+    data = ENCOUNTERS + LATE_ENCOUNTERS
+
+    def same():
+        want, gold = full(store), only[0]
+        assert sorted(map(str, rows(store.table(gold, AS_OF)))) == sorted(map(str, rows(want[gold])))
+        assert sorted(map(str, rows(store.table(only[1], AS_OF)))) == sorted(map(str, rows(want[only[1]])))
+
+    for i in range(9):
+        row = (f"S{i}", *data[i % len(data)][1:])
+        store.land("raw.encounter_fact", encounters(spark, [row]), f"day-{i:02d}")
+        if i in (1, 4, 8):
+            store.refresh_available(only=only)
+            same()
+    name = "curated.encounter_partials"
+    assert store._sealed(name) == 8 and store.cover(8) == {3: [0]}
+    cells = store._cells_of(store._read(name))
+    merged = store._read_merged(name, cells)
+    assert {r.slice for r in merged.select("slice").distinct().collect()} <= {None, "day-08"}
+    # Late rows: to old slices, of patients of either bucket.
+    for day, row in (("day-00", data[0]), ("day-03", data[5]), ("day-05", data[7])):
+        store.land("raw.encounter_fact", encounters(spark, [(f"L{day}", *row[1:])]), day)
+    store.refresh_available(only=only)
+    same()
+    store._walk({"raw.encounter_fact": store._cells_of(store._read("raw.encounter_fact"))}, {}, 0)
+    same()
+    assert store._sealed(name) == 8
+    store.refresh_available()  # the other tables have their own memory of what they read
+    assert_equals_full(store)
+    store.rebuild()
+    assert_equals_full(store)
+
+
+def test_a_new_group_takes_all_buckets(spark, root, monkeypatch):
+    """The slice that makes a group full holds no row of some bucket, whose earlier rows are rolled up all the same."""
+    from wardflow.streaming import refresh
+
+    monkeypatch.setattr(refresh, "FAN", 2)
+    gold = "gold.patient_encounter_summary"
+    store = GraphRefresher(spark, clinical_graph(), root, n_buckets=8)
+    store.land("raw.patient_dim", patients(spark), "a")
+    store.land("raw.encounter_fact", encounters(spark), "a")
+    store.refresh_available(only=[gold])
+    store.land("raw.encounter_fact", encounters(spark, [("B", *ENCOUNTERS[0][1:])]), "b")
+    store.refresh_available(only=[gold])
+    assert store._sealed("curated.encounter_partials") == 2
+    store.land("raw.encounter_fact", encounters(spark, [(f"C{i}", *r[1:]) for i, r in enumerate(ENCOUNTERS)]), "c")
+    store.refresh_available(only=[gold])
+    assert sorted(map(str, rows(store.table(gold, AS_OF)))) == sorted(map(str, rows(full(store)[gold])))
+
+
+def test_a_failed_roll_up_is_made_again(spark, root, monkeypatch):
+    from wardflow.streaming import refresh
+
+    monkeypatch.setattr(refresh, "FAN", 2)
+    gold, made = "gold.patient_encounter_summary", GraphRefresher._make_groups
+    store = GraphRefresher(spark, clinical_graph(), root, n_buckets=2)
+    store.land("raw.patient_dim", patients(spark), "a")
+    for i, day in enumerate("abcd"):
+        store.land("raw.encounter_fact", encounters(spark, [(f"{day}{r[0]}", *r[1:]) for r in ENCOUNTERS[i::4]]), day)
+
+    def torn(self, node, level, *args):
+        made(self, node, level, *args)
+        if level == 2:
+            raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(GraphRefresher, "_make_groups", torn)
+    with pytest.raises(Exception, match="lost driver"):
+        store.refresh_available(only=[gold])
+    assert store._sealed("curated.encounter_partials") == 0
+    monkeypatch.setattr(GraphRefresher, "_make_groups", made)
+    again = GraphRefresher(spark, clinical_graph(), root, n_buckets=2)
+    again.refresh_available(only=[gold])
+    assert again._sealed("curated.encounter_partials") == 4
+    assert sorted(map(str, rows(again.table(gold, AS_OF)))) == sorted(map(str, rows(full(again)[gold])))
+
+
+def test_lookups_read_only_cells_that_hold_their_keys(spark, root):
+    gold = "gold.abnormal_results_summary"
+    store = GraphRefresher(spark, clinical_graph(), root, n_buckets=4)
+    store.land("raw.patient_dim", patients(spark))
+    for i in range(4):
+        store.land("raw.encounter_fact", encounters(spark, [(f"{r[0]}" if i == 2 else f"X{i}{r[0]}", *r[1:]) for r in ENCOUNTERS]), f"day-{i}")
+    store.refresh_available(only=[gold])
+    store.land("raw.lab_results", labs(spark, [r for r in LABS if r[1] == ENCOUNTERS[0][0]]), "day-9")
+    store.refresh_available(only=[gold])
+    assert store.table(gold).count() == full(store)[gold].count() > 0
+    held = spark.read.parquet(f"{root}/_state/cells/only-{gold}/{gold.replace('.', '/')}-of-curated/fact_encounter")
+    assert {r.slice for r in held.collect()} == {"day-2"} and held.count() == 1
+    # The other way: a late encounter finds the cells of the lab rows that wait for it.
+    store.land("raw.lab_results", labs(spark, [(f"W{r[0]}", "late", *r[2:]) for r in LABS]), "day-9")
+    store.refresh_available(only=[gold])
+    before = store.table(gold).count()
+    store.land("raw.encounter_fact", encounters(spark, [("late", *ENCOUNTERS[3][1:])]), "day-10")
+    store.refresh_available(only=[gold])
+    assert store.table(gold).count() == full(store)[gold].count() > before
+    store.refresh_available()
+    assert_equals_full(store)
+
+
+def test_only_names_known_tables(spark, root):
+    store = GraphRefresher(spark, clinical_graph(), root, n_buckets=1)
+    with pytest.raises(ValueError, match="unknown tables"):
+        store.refresh_available(only=["gold.other"])
+    store.refresh_available(only=[])
+    store.land("raw.encounter_fact", encounters(spark))
+    store.refresh_available(only=["curated.fact_encounter"])
+    assert store.table("curated.fact_encounter").count() == 10 and store.table("gold.department_dashboard", AS_OF).count() == 0
+
+
+def test_sketches_follow_without_old_rows(spark, root, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from wardflow.streaming import refresh
+
+    monkeypatch.setattr(refresh, "FAN", 2)
+    store = GraphRefresher(spark, clinical_graph(sketches=True), root, n_buckets=3)
+    row = ENCOUNTERS[0]
+    for i in range(5):
+        many = [(f"E{i * 500 + j}", f"P{j}", *row[2:]) for j in range(600)]  # 100 of them come again in the next slice
+        store.land("raw.encounter_fact", encounters(spark, many), f"day-{i}")
+        if i in (2, 4):
+            store.refresh_available(only=["gold.department_estimates"])
+            raw = store.table("raw.encounter_fact")
+            exact = raw.agg(F.count_distinct("encounter_id"), F.count_distinct("pat_id")).first()
+            got = store.table("gold.department_estimates").first()
+            for estimate, count in zip(got[1:], exact, strict=True):
+                assert abs(estimate - count) <= nodes.SKETCH_BOUND * count
+    assert store._sealed("curated.department_sketches") == 4
+    # No exact count was worked out on the way.
+    assert store.table("raw.encounter_keys").count() == 3000 and store.table("gold.department_encounter_counts").count() == 0

@@ -170,11 +170,20 @@ def test_catalog_table_keeps_its_rows_when_a_write_fails(spark):
 
 
 def test_export_lists_its_files(spark, root):
+    tables.create_layers(spark)
     path = f"{root}/open"
     for n in (3, 4):
         tables.export_open(spark.range(n), path)
         listed = files.read_text(spark, f"{path}/_symlink_format_manifest/manifest").split()
         assert spark.read.parquet(*listed).count() == n == tables.read(spark, path).count()
+        plain = spark.read.parquet(path)
+        assert plain.columns == ["id"] and plain.count() == n
+    with pytest.raises(Exception, match="torn"):
+        tables.export_open(torn(rows(spark, [(i, "b", i) for i in range(8)]).repartition(8)), path)
+    assert tables.read(spark, path).count() == 4 == spark.read.parquet(path).count()
     tables.append(spark.range(2), path)
     assert tables.read(spark, path).count() == 6
+    tables.export_open(spark.range(5), f"{root}/named", "gold.named_export")
+    listed = files.read_text(spark, f"{root}/named/_symlink_format_manifest/manifest").split()
+    assert spark.read.parquet(*listed).count() == 5 == spark.table("gold.named_export").count()
     assert not snapshots.is_snapshot(spark, f"{root}/nothing")

@@ -37,13 +37,21 @@ class Source:
 
 @dataclass(frozen=True)
 class Lookup:
-    """An input joined to input ``of`` by ``column`` = ``key``. With ``same_bucket`` both sides are stored by that key."""
+    """An input joined to input ``of`` by ``column`` = ``key``. With ``same_bucket`` both sides are stored by that key.
+
+    Else copies of raw tables can tell where to look: ``at`` is stored by ``key`` and says in which cells of ``name`` a key
+    stands; ``by`` is stored by ``column`` and says in which cells of ``of`` a value stands. Both must be made from the
+    source whose cells the table keeps. Rows of ``of`` that do not fulfil ``where`` look nothing up.
+    """
 
     name: str
     key: str
     of: str
     column: str
     same_bucket: bool = False
+    at: str | None = None
+    by: str | None = None
+    where: str | None = None
 
 
 # How finely a node is stored and refreshed.
@@ -61,7 +69,9 @@ class Node:
     * BUCKET: a bucket is computed from all slices of its inputs, for results that combine rows of different times,
     * WHOLE: rebuilt from its inputs, which must be small.
 
-    ``view`` adds the columns that depend on the current day.
+    ``view`` adds the columns that depend on the current day. ``merge`` makes one row of the rows of several cells, grouped
+    by the columns it is given; with it, rows of old slices are rolled up for nodes that read whole buckets. ``in_place``
+    says that ``build`` handles each row by itself, so the rows of a cell need not be gathered again.
     """
 
     name: str
@@ -72,6 +82,8 @@ class Node:
     lookups: tuple[Lookup, ...] = ()
     view: Callable[..., DataFrame] | None = None
     target_lag: str = DEFAULT_LAG
+    merge: Callable[..., DataFrame] | None = None
+    in_place: bool = False
 
     @property
     def aligned_inputs(self) -> tuple[str, ...]:
@@ -82,11 +94,13 @@ class Node:
 class Graph:
     def __init__(self, sources: Iterable[Source], nodes: Iterable[Node]):
         self.sources: dict[str, Source] = {}
+        self.copied_from: dict[str, Source] = {}
         for s in sources:
             self.sources[s.name] = s
             for c in s.copies:
                 fields = [s.schema[name] for name in c.columns]
                 self.sources[c.name] = Source(c.name, T.StructType(fields), c.bucket_by)
+                self.copied_from[c.name] = s
         self.nodes = {n.name: n for n in self._ordered({n.name: n for n in nodes})}
         for node in self.nodes.values():
             if node.grain == CELL and [self.grain_of(i) for i in node.aligned_inputs] != [CELL]:
@@ -143,8 +157,9 @@ class Graph:
         return out.join(last, "name", "left").select("name", "target_lag", known, "inputs").orderBy("name")
 
 
-def clinical_graph(target_lag: str = DEFAULT_LAG, gold_lag: str | None = None) -> Graph:
-    """Patients, encounters, labs and providers up to the gold tables, which may follow at a slower pace."""
+def clinical_graph(target_lag: str = DEFAULT_LAG, gold_lag: str | None = None, sketches: bool = False) -> Graph:
+    """Patients, encounters, labs and providers up to the gold tables, which may follow at a slower pace. With ``sketches``
+    there are also estimates of distinct counts, whose refresh reads nothing but merged sketches."""
     sources = [
         Source("raw.patient_dim", schemas.PATIENT, "pat_id"),
         Source("raw.provider_dim", schemas.PROVIDER, "prov_id"),
@@ -152,21 +167,23 @@ def clinical_graph(target_lag: str = DEFAULT_LAG, gold_lag: str | None = None) -
             "raw.encounter_fact",
             schemas.ENCOUNTER,
             "pat_id",
-            (Copy("raw.encounter_keys", ("encounter_id", "department"), "encounter_id"),),
+            (Copy("raw.encounter_keys", ("encounter_id", "department", "pat_id"), "encounter_id"),),
         ),
-        Source("raw.lab_results", schemas.LAB_RESULT, "pat_id"),
+        Source("raw.lab_results", schemas.LAB_RESULT, "pat_id", (Copy("raw.lab_keys", ("encounter_id", "pat_id"), "encounter_id"),)),
     ]
     provider = Lookup("raw.provider_dim", "prov_id", "raw.encounter_fact", "attending_prov_id")
-    encounter = Lookup("curated.fact_encounter", "encounter_id", "curated.fact_lab_results", "encounter_id")
+    encounter = Lookup("curated.fact_encounter", "encounter_id", "curated.fact_lab_results", "encounter_id",
+                       at="raw.encounter_keys", by="raw.lab_keys", where="abnormal_flag <> 'NORMAL'")
     patient = Lookup("curated.dim_patient", "pat_id", "curated.fact_lab_results", "pat_id", same_bucket=True)
     derived = [
-        Node("curated.dim_patient", nodes.dim_patient_stored, ("raw.patient_dim",), view=nodes.dim_patient_view),
-        Node("curated.dim_provider", nodes.dim_provider, ("raw.provider_dim",)),
+        Node("curated.dim_patient", nodes.dim_patient_stored, ("raw.patient_dim",), view=nodes.dim_patient_view,
+             in_place=True),
+        Node("curated.dim_provider", nodes.dim_provider, ("raw.provider_dim",), in_place=True),
         Node("curated.fact_encounter", nodes.fact_encounter_stored, ("raw.encounter_fact", "raw.provider_dim"),
              lookups=(provider,), view=nodes.fact_encounter_view),
-        Node("curated.fact_lab_results", nodes.fact_lab_results, ("raw.lab_results",)),
+        Node("curated.fact_lab_results", nodes.fact_lab_results, ("raw.lab_results",), in_place=True),
         Node("curated.encounter_partials", nodes.encounter_partials, ("curated.fact_encounter",),
-             target_lag=DOWNSTREAM),
+             target_lag=DOWNSTREAM, merge=nodes.merged_partials),
         Node("gold.patient_encounter_summary", nodes.patient_encounter_summary_merged,
              ("curated.dim_patient", "curated.encounter_partials"), BUCKET, "pat_id",
              view=nodes.patient_encounter_summary_view),
@@ -181,6 +198,15 @@ def clinical_graph(target_lag: str = DEFAULT_LAG, gold_lag: str | None = None) -
              ("gold.department_partials", "gold.department_encounter_counts"), WHOLE,
              view=nodes.department_dashboard_view),
     ]
+    if sketches:
+        derived += [
+            Node("curated.department_sketches", nodes.department_sketches, ("curated.fact_encounter",),
+                 target_lag=DOWNSTREAM, merge=nodes.merged_sketches),
+            Node("gold.department_sketch_totals", nodes.merged_sketches, ("curated.department_sketches",), BUCKET,
+                 target_lag=DOWNSTREAM),
+            Node("gold.department_estimates", nodes.department_estimates_stored, ("gold.department_sketch_totals",), WHOLE,
+                 view=nodes.department_estimates_view),
+        ]
     lags = {"curated": target_lag, "gold": gold_lag or target_lag}
     return Graph(
         sources,

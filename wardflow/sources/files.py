@@ -12,6 +12,12 @@ def _located(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system it lies on."""
+    fs, where = _located(spark, path)
+    return fs.makeQualified(where).toString()
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the files in a folder; none where there is no such folder."""
     fs, where = _located(spark, folder)
@@ -59,6 +65,23 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    fs, where = _located(spark, path)
+    if not fs.rename(where, _located(spark, to)[1]):
+        raise OSError(f"{path} cannot be moved to {to}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _located(spark, path)
+    fs.mkdirs(where)
+
+
+def filled(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder holds anything but hidden files."""
+    fs, where = _located(spark, folder)
+    return fs.exists(where) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(where))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, where = _located(spark, path)
     return fs.exists(where)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.functions.dates import as_timestamp
-from wardflow.sources.files import write_text
+from wardflow.sources import files
 from wardflow.sources.snapshots import KEEP, RUN, SnapshotTable, Version, is_snapshot
 
 
@@ -75,6 +76,9 @@ def append(df: DataFrame, target: str) -> None:
         SnapshotTable(df.sparkSession, target).append(df)
     else:
         df.write.mode("append").parquet(target)
+        spark, root = df.sparkSession, target.rstrip("/")
+        if files.exists(spark, _manifest(root)):
+            _list_files(spark, root, [f"{root}/{file}" for file in _data_files(spark, root)])
 
 
 def ctas(df: DataFrame, target: str, base_location: str | None = None, keep: int = KEEP) -> Version:
@@ -119,17 +123,47 @@ def _point(spark: SparkSession, name: str, schema: T.StructType, folder: str) ->
 def export_open(df: DataFrame, base_location: str, name: str | None = None) -> str:
     """Publish a gold result as open parquet files at a location other engines can read.
 
-    Besides the version file, ``_symlink_format_manifest/manifest`` lists the data files in force, one a line, as several
-    engines read it; it is replaced as a whole.
+    With a name the catalog points at the newest version. Without one the location is a plain folder of files: they are
+    written out of sight, moved there, and ``_symlink_format_manifest/manifest``, which lists them one a line as several
+    engines read it, is replaced as a whole; files of the time before go last. Those who read by the manifest, as ``read``
+    does, never see a mixture, and a write that fails leaves all as it was.
     """
-    spark = df.sparkSession
-    version = ctas(df, name, base_location) if name else ctas(df, base_location)
-    root = base_location.rstrip("/")
-    listed = SnapshotTable(spark, root).frame(version, version.paths(root)).inputFiles()
-    write_text(spark, f"{root}/_symlink_format_manifest/manifest", "".join(f"{f}\n" for f in sorted(listed)))
+    spark, root = df.sparkSession, base_location.rstrip("/")
+    if name:
+        version = ctas(df, name, root)
+        _list_files(spark, root, SnapshotTable(spark, root).frame(version, version.paths(root)).inputFiles())
+        return base_location
+    staging, before = f"{root}/_staging-{uuid.uuid4().hex}", _data_files(spark, root)
+    moved: list[str] = []
+    try:
+        df.write.parquet(staging)
+        for file in _data_files(spark, staging):
+            files.move(spark, f"{staging}/{file}", f"{root}/{file}")
+            moved.append(file)
+        _list_files(spark, root, [f"{root}/{file}" for file in moved])
+    except BaseException:
+        for file in moved:
+            files.delete(spark, f"{root}/{file}")
+        raise
+    finally:
+        files.delete(spark, staging)
+    for file in before:
+        files.delete(spark, f"{root}/{file}")
     return base_location
 
 
+def _data_files(spark: SparkSession, folder: str) -> list[str]:
+    return [n for n in files.names(spark, folder) if not n.startswith(("_", "."))]
+
+
+def _manifest(root: str) -> str:
+    return f"{root}/_symlink_format_manifest/manifest"
+
+
+def _list_files(spark: SparkSession, root: str, listed: Iterable[str]) -> None:
+    files.write_text(spark, _manifest(root), "".join(f"{files.qualified(spark, f)}\n" for f in sorted(listed)))
+
+
 def read(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     if not _is_path(target):
         return spark.table(target)
@@ -137,7 +171,8 @@ def read(spark: SparkSession, target: str, schema: T.StructType | None = None) -
         rows = SnapshotTable(spark, target).read()
         return rows if schema is None else rows.select(*schema.names)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(target)
+    manifest = _manifest(target.rstrip("/"))
+    return reader.parquet(*(files.read_text(spark, manifest).split("\n")[:-1] if files.exists(spark, manifest) else [target]))
 
 
 def _is_path(target: str) -> bool:
