@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.governance.lineage import column_tags, stricter, with_tags
 from wardflow.governance.registry import Registry, RowPolicy
 from wardflow.governance.roles import DEFAULT_GRANTS, role_closure
 
@@ -19,12 +20,19 @@ def governed(
     access: DataFrame | None = None,
     grants: Iterable[tuple[str, str]] = DEFAULT_GRANTS,
 ) -> DataFrame:
-    """The frame as the role may see it."""
+    """The frame as the role may see it.
+
+    Columns carry the tags of all tagged columns they are made from, as the plan tells (see ``lineage``), so a derived
+    column is masked without being declared. Where the mask of an inherited tag is for another type, the column is NULL
+    for those who would not see the value itself. A harmless one, such as a count, has to be released.
+    """
     roles = role_closure(role, grants)
+    inherited = {c: tags for c, tags in column_tags(df).items() if any(t not in df.schema[c].metadata.get("tags", {}) for t in tags)}
+    df = with_tags(df, inherited) if inherited else df
     policy = registry.row_policies.get(table)
     if policy is not None:
         df = row_policy(df, policy, roles, access)
-    masks = {column: mask for column, mask, _ in registry.resolved_masks(df, table)}
+    masks = {column: mask for column, mask, _ in registry.resolved_masks(df, table, set(inherited))}
     return df.select(
         *[
             masks[f.name].apply(F.col(f.name), roles).alias(f.name, metadata=f.metadata)
@@ -64,7 +72,7 @@ def governed_view(
 
 def tag_frame(df: DataFrame, registry: Registry, table: str) -> DataFrame:
     """Write the tags of a table's columns into the frame, where they follow selects, joins, views and files."""
-    return _with_tags(df, registry.column_tags(table))
+    return with_tags(df, registry.column_tags(table))
 
 
 def propagate_tags(out: DataFrame, lineage: Mapping[str, Sequence[tuple[DataFrame, str]]]) -> DataFrame:
@@ -75,21 +83,4 @@ def propagate_tags(out: DataFrame, lineage: Mapping[str, Sequence[tuple[DataFram
             for tag, value in source.schema[name].metadata.get("tags", {}).items():
                 known = tags.setdefault(column, {}).get(tag)
                 tags[column][tag] = value if known is None else stricter(tag, known, value)
-    return _with_tags(out, tags)
-
-
-def stricter(tag: str, a: str, b: str) -> str:
-    """Of two values of a tag the more sensitive one; tags without order keep the first."""
-    order = ("PUBLIC", "INTERNAL", "CONFIDENTIAL", "RESTRICTED")
-    return max(a, b, key=order.index) if tag == "SENSITIVITY" else a
-
-
-def _with_tags(df: DataFrame, tags: Mapping[str, Mapping[str, str]]) -> DataFrame:
-    def column(f) -> Column:
-        added = tags.get(f.name.lower()) or tags.get(f.name)
-        if not added:
-            return F.col(f.name)
-        meta = {**f.metadata, "tags": {**f.metadata.get("tags", {}), **added}}
-        return F.col(f.name).alias(f.name, metadata=meta)
-
-    return df.select(*[column(f) for f in df.schema])
+    return with_tags(out, tags)

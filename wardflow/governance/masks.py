@@ -40,6 +40,15 @@ class MaskPolicy:
     comment: str = ""
 
 
+def closed(policy: MaskPolicy, data_type: str) -> MaskPolicy:
+    """The mask for a column of another type: the value for those whom the mask shows it unchanged, NULL for others."""
+
+    def apply(col: Column, roles: Roles) -> Column:
+        return col if policy.apply(col, roles) is col else F.lit(None).cast(data_type)
+
+    return MaskPolicy(f"{policy.name}_CLOSED", data_type, apply, f"{policy.comment}; NULL where the type differs")
+
+
 MASK_SSN = MaskPolicy("MASK_SSN", "string", mask_ssn, "full for ADMIN, last four for CLINICIAN, hidden for others")
 MASK_PII_STRING = MaskPolicy("MASK_PII_STRING", "string", mask_pii, "visible to ADMIN and CLINICIAN, hidden for others")
 MASK_DOB = MaskPolicy("MASK_DOB", "date", mask_dob, "visible to ADMIN and CLINICIAN, NULL for others")

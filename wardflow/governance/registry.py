@@ -5,13 +5,13 @@ The registry holds governance declarations made by people (a few per column), ne
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.governance.masks import MASK_DOB, MASK_PII_STRING, MASK_SSN, MaskPolicy
+from wardflow.governance.masks import MASK_DOB, MASK_PII_STRING, MASK_SSN, MaskPolicy, closed
 from wardflow.sources.schemas import TAG_REFERENCE
 
 DOMAINS = ("DATABASE", "WAREHOUSE", "SCHEMA", "TABLE", "COLUMN")
@@ -134,8 +134,9 @@ class Registry:
     def set_row_policy(self, table: str, policy: RowPolicy) -> None:
         self.row_policies[table] = policy
 
-    def mask_for(self, table: str, column: str, data_type: str, tags: dict[str, str]) -> MaskPolicy | None:
-        """The mask of one column: its own one first (of another type it is an error, not a leak), else the one of a tag it carries, if the types agree."""
+    def mask_for(self, table: str, column: str, data_type: str, tags: dict[str, str], inherited: bool = False) -> MaskPolicy | None:
+        """The mask of one column: its own one first (of another type it is an error, not a leak), else the one of a tag it
+        carries, if the types agree. A column that inherited its tags is closed where they don't."""
         own = self.column_masks.get((table, column.lower()))
         if own is not None:
             if own.data_type != data_type:
@@ -145,7 +146,8 @@ class Registry:
             policy = self.tag_masks.get(tag)
             if policy is not None and policy.data_type == data_type:
                 return policy
-        return None
+        bound = [self.tag_masks[t] for t in tags if t in self.tag_masks]
+        return closed(bound[0], data_type) if inherited and bound else None
 
     def policies(self, spark: SparkSession) -> DataFrame:
         """All policies in use."""
@@ -167,16 +169,17 @@ class Registry:
             "policy_name string, policy_kind string, ref_entity_name string, ref_column_name string, tag_name string",
         )
 
-    def resolved_masks(self, df: DataFrame, table: str) -> list[tuple[str, MaskPolicy, str | None]]:
-        """(column, mask, tag it came by) for every protected column of a frame."""
+    def resolved_masks(self, df: DataFrame, table: str, inherited: Collection[str] = ()) -> list[tuple[str, MaskPolicy, str | None]]:
+        """(column, mask, tag it came by) for every protected column of a frame; ``inherited`` names the columns whose tags
+        come from what they are made of."""
         bound = self.column_tags(table)
         out = []
         for f in df.schema:
             tags = {**f.metadata.get("tags", {}), **bound.get(f.name.lower(), {})}
-            policy = self.mask_for(table, f.name, f.dataType.simpleString(), tags)
+            policy = self.mask_for(table, f.name, f.dataType.simpleString(), tags, f.name in inherited)
             if policy is not None:
                 own = (table, f.name.lower()) in self.column_masks
-                out.append((f.name, policy, None if own else next(t for t in tags if self.tag_masks.get(t) is policy)))
+                out.append((f.name, policy, None if own else next((t for t in tags if self.tag_masks.get(t) is policy), next(iter(tags), None))))
         return out
 
 
