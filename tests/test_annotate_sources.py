@@ -33,6 +33,56 @@ def test_model_hook_gets_batches(notes):
     assert got == {"N1": str(len(NOTES[0][1])), "N2": str(len(NOTES[1][1])), "N3": None}
 
 
+def test_model_is_loaded_once_and_asked_again(spark, tmp_path):
+    loads = str(tmp_path / "loads")
+
+    def load():
+        import os
+        import tempfile
+
+        os.makedirs(loads, exist_ok=True)
+        tempfile.mkstemp(prefix=f"{os.getpid()}-", dir=loads)
+        calls = []
+
+        def model(texts):
+            calls.append(texts)
+            if len(calls) == 1:
+                raise ConnectionError("not awake")
+            if "bad" in texts:
+                raise ValueError("cannot read\nthis")
+            return [t.upper() if t != "nothing" else None for t in texts]
+
+        return model
+
+    data = [(i, ["a", "b", "bad", "nothing", None, "", " \t"][i % 7]) for i in range(700)]
+    df = spark.createDataFrame(data, "id int, t string").repartition(12)
+    got = annotate.annotate_with_model(df, "t", load, "out", "why", wait=0.0)
+    answers = {(r.t, r.out, r.why) for r in got.collect()}
+    assert answers == {("a", "A", None), ("b", "B", None), ("bad", None, "cannot read"), ("nothing", None, None), (None, None, None), ("", "", None), (" \t", "", None)}
+    import os
+
+    pids = [n.split("-")[0] for n in os.listdir(loads)]
+    assert len(pids) == len(set(pids)) < 12  # fewer loads than tasks, one per worker
+    assert got.columns == ["id", "t", "out", "why"] and annotate.annotate_with_model(df.limit(0), "t", load).collect() == []
+    with pytest.raises(Exception, match="cannot read"):
+        annotate.annotate_with_model(df, "t", load, wait=0.0).collect()
+
+
+def test_rules_as_a_table(spark):
+    texts = [(1, "Troponin is HIGH, stemi"), (2, "nothing here"), (3, None), (4, "a stemix"), (5, "x42 high"), (6, ""), (7, "Two rules: mdd and stemi")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    rules = spark.createDataFrame(
+        [(2, "stemi", "stemi$", "cardiology"), (1, "mdd", None, "psychiatry"), (3, None, "[0-9]+", "number"), (4, "high", "high", "b"), (4, "high", "x", "a"), (1, "here", "^here", "never")],
+        "priority int, trigger string, pattern string, category string")
+    got = dict(rows(annotate.categorize_by_rules(df, "t", "id", rules), "id", "category"))
+    assert got == {1: "cardiology", 2: "other", 3: "other", 4: "other", 5: "number", 6: "other", 7: "psychiatry"}
+    many = spark.range(1000).selectExpr("id AS priority", "concat('w', id) AS trigger", "cast(NULL AS string) AS pattern", "concat('c', id) AS category")
+    spoken = spark.createDataFrame([(i, f"w{i} w{i + 1}") for i in range(0, 900, 7)], "id int, t string")
+    got = annotate.categorize_by_rules(spoken, "t", "id", many, "none", "kind")
+    assert all(r.kind == f"c{r.id}" for r in got.collect()) and got.columns == ["id", "t", "kind"]
+    assert {r.kind for r in annotate.categorize_by_rules(spoken, "t", "id", many.limit(0), "none", "kind").collect()} == {"none"}
+
+
 def test_extract_fields(notes):
     out = annotate.extract_fields(notes, "note_text", {"dx": r"Dx: ([^.]+)", "dose": r"[0-9]+mg", "none": "zzz"})
     assert rows(out.orderBy("note_id"), "extracted.dx", "extracted.dose", "extracted.none") == [

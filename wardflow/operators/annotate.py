@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -11,6 +13,19 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.text import leading_sentences, preview
 
+# A model gets texts, none of them missing or blank, and returns as many annotations.
+Model = Callable[[list[str]], Sequence[str | None]]
+
+
+# Models that a Python worker has loaded; workers are used for many tasks.
+_LOADED: dict[str, Model] = {}
+
+
+def _loaded(name: str, load: Callable[[], Model]) -> Model:
+    if name not in _LOADED:
+        _LOADED[name] = load()
+    return _LOADED[name]
+
 
 def previews(df: DataFrame, text_col: str, n: int = 120, *keep: str) -> DataFrame:
     return df.select(*keep, preview(F.col(text_col), n).alias("preview"))
@@ -38,6 +53,53 @@ def annotate_text(
     return df.withColumn(out, F.pandas_udf(run, "string")(F.col(text_col)))
 
 
+def annotate_with_model(
+    df: DataFrame,
+    text_col: str,
+    load: Callable[[], Model],
+    out: str = "summary",
+    error: str | None = None,
+    attempts: int = 3,
+    wait: float = 0.5,
+) -> DataFrame:
+    """Add one annotation per text by a model that each Python worker loads once, however many tasks it runs.
+
+    The model gets the different texts of an Arrow batch in one call. A missing text has no annotation, a blank one the
+    empty text; neither is sent. A call that fails is repeated, ``attempts`` times in all, after ``wait`` seconds and twice
+    as long every time. If it still fails the task fails; with a column for the ``error`` the texts are then sent one by
+    one, and those that fail by themselves get NULL and the message, so a bad text costs no other one its annotation.
+    """
+    name = uuid.uuid4().hex
+
+    def ask(model: Model, texts: list[str]) -> list[tuple[str | None, str | None]]:
+        for attempt in range(attempts):
+            try:
+                found = list(model(texts))
+                if len(found) != len(texts):
+                    raise ValueError(f"the model returned {len(found)} annotations for {len(texts)} texts")
+                return [(f, None) for f in found]
+            except Exception as exc:
+                if attempt + 1 < attempts:
+                    time.sleep(wait * 2**attempt)
+                elif error is None:
+                    raise
+                elif len(texts) == 1:
+                    return [(None, str(exc).split("\n", 1)[0])]
+        return [answer for text in texts for answer in ask(model, [text])]
+
+    def run(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = _loaded(name, load)
+        for texts in frames:
+            wanted = list(dict.fromkeys(t for t in texts if t is not None and t.strip()))
+            known = dict(zip(wanted, ask(model, wanted), strict=True)) if wanted else {}
+            rows = [(None if t is None else "", None) if t not in known else known[t] for t in texts]
+            yield pd.DataFrame(rows, columns=["value", "error"], dtype="object")
+
+    answers = df.withColumn("_answer", F.pandas_udf(run, "value string, error string")(F.col(text_col)))
+    columns = {out: "value"} | ({error: "error"} if error else {})
+    return answers.withColumns({c: F.col(f"_answer.{part}") for c, part in columns.items()}).drop("_answer")
+
+
 def extract_fields(
     df: DataFrame,
     text_col: str,
@@ -89,3 +151,25 @@ def categorize(
     for pattern, label in reversed(rules):
         value = F.when(F.col(text_col).rlike(pattern), label).otherwise(value)
     return df.withColumn(out, value)
+
+
+def categorize_by_rules(
+    df: DataFrame, text_col: str, key: str, rules: DataFrame, otherwise: str = "other", out: str = "category"
+) -> DataFrame:
+    """The category of the first rule that fits, from a table of rules (priority, trigger, pattern, category).
+
+    The smallest priority is first; of equal ones the smallest category. A rule fits a text that holds its trigger, a word
+    of letters a-z and digits in lower case, and in whose lower-cased text the pattern (with none: the trigger alone) is
+    found. Words of a text meet the triggers in a join, so a text is tested against the rules that its words call and not
+    against all; rules without a trigger are tested on every text. ``key`` names each row. Missing texts fit no rule.
+    """
+    folded = F.translate(text_col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("_folded")
+    known = rules.select("priority", F.col("trigger").alias("_word"), "pattern", F.col("category").alias("_category"))
+    texts = df.where(F.col(text_col).isNotNull()).select(F.col(key).alias("_key"), folded)
+    words = F.array_distinct(F.regexp_extract_all("_folded", F.lit("[a-z0-9]+"), F.lit(0)))
+    called = texts.select("_key", "_folded", F.explode(words).alias("_word")).join(known.where(F.col("_word").isNotNull()), "_word").drop("_word")
+    always = texts.join(known.where(F.col("_word").isNull()).drop("_word"), how="cross")
+    fits = called.unionByName(always).where(F.col("pattern").isNull() | F.expr("_folded RLIKE pattern"))
+    first = fits.groupBy("_key").agg(F.min(F.struct("priority", "_category")).alias("_first"))
+    named = df.join(first, F.col(key) == F.col("_key"), "left")
+    return named.select(*[F.col(c) for c in df.columns if c != out], F.coalesce("_first._category", F.lit(otherwise)).alias(out))

@@ -121,6 +121,7 @@ _LOG = """log AS (
          k, ts AS logged_at, CAST(user_id AS VARCHAR) AS batch_id, event_type
   FROM (SELECT *, CAST(regexp_extract(props, '"k": ?([0-9]+)', 1) AS BIGINT) AS k FROM events))"""
 
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WHOLE_SECOND = "date_trunc('second', {0})"
 
 
@@ -301,6 +302,11 @@ ORACLES: dict[str, str] = {
         f"SELECT 'raw.{t}' AS layer, count(*) AS n_rows FROM {t}"
         for t in ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "conversations")
     ),
+    "estimated_counts": _with(
+        _FULL_FACT,
+        """SELECT department, count(DISTINCT encounter_id) AS encounter_count, count(DISTINCT pat_id) AS unique_patients,
+             true AS encounters_close, true AS patients_close FROM fact_encounter GROUP BY department""",
+    ),
     "lagged_dashboard": _with(_FULL_FACT, _dashboard("fact_encounter")),
     "republished_gold": _with(_FULL_FACT, _dashboard("fact_encounter")),
     "incremental_abnormal": _with(f"{_PEOPLE}, {_FULL_FACT}, {_LABS}", _ABNORMAL),
@@ -550,6 +556,10 @@ ORACLES: dict[str, str] = {
            WHERE tag_name = 'PII_TYPE' AND tag_value = 'MRN'""",
     ),
     "tagged_columns": _with(_TAGS, "SELECT tag_name, count(*) AS tagged_columns FROM refs GROUP BY tag_name"),
+    "inherited_masks": """WITH known AS (
+        SELECT doc_id, lang, text AS piece FROM documents UNION ALL SELECT conv_id, 'turn', role FROM conversations)
+      SELECT lang, '***MASKED***' AS last_piece, CAST(NULL AS BIGINT) AS n_chars, count(piece) AS n_pieces, max(quality) AS best, count(*) AS n_rows
+      FROM known LEFT JOIN labels USING (doc_id) GROUP BY lang""",
     "label_mapping": _with(
         _TAGS, "SELECT object_name, column_name, tag_value, label FROM refs LEFT JOIN labels_of USING (tag_value)"
     ),
@@ -575,4 +585,40 @@ ORACLES: dict[str, str] = {
     "categorized_turns": r"""SELECT role, CASE WHEN regexp_matches(text, '[0-9]') THEN 'numbers'
         WHEN regexp_matches(text, '\?') THEN 'question' WHEN regexp_matches(text, '\n') THEN 'list' ELSE 'other' END
         AS category, count(*) AS n_turns FROM conversations GROUP BY 1, 2""",
+    "modelled_notes": """SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN '' WHEN text IS NULL THEN NULL WHEN trim(text) = '' THEN ''
+        ELSE len(regexp_extract_all(text, '[A-Za-z]+')) || ' words' END AS summary, CAST(NULL AS VARCHAR) AS problem FROM documents""",
+    "ruled_turns": f"""WITH words AS (SELECT word, count(*) AS priority FROM (
+          SELECT unnest(regexp_extract_all({_LOWERED}, '[a-z0-9]+')) AS word FROM benchmark) GROUP BY word),
+        rules AS (SELECT word, priority, 'word of ' || lpad(CAST(length(word) AS VARCHAR), 2, '0') AS category FROM words),
+        spoken AS (SELECT conv_id, turn, unnest(regexp_extract_all({_LOWERED}, '[a-z0-9]+')) AS word FROM conversations),
+        first_rule AS (SELECT conv_id, turn, min((priority, category)) AS f FROM spoken JOIN rules USING (word) GROUP BY conv_id, turn)
+      SELECT role, coalesce(f[2], 'other') AS category, count(*) AS n_turns
+      FROM conversations LEFT JOIN first_rule USING (conv_id, turn) GROUP BY 1, 2""",
+    "listed_graph": """SELECT name, lag AS target_lag, state AS scheduling_state, inputs, (SELECT count(*) FROM customer) AS summary_rows FROM (VALUES
+        ('curated.dim_patient', '1 minute', 'SUCCEEDED', 'raw.patient_dim'),
+        ('curated.dim_provider', '1 minute', 'NEVER REFRESHED', 'raw.provider_dim'),
+        ('curated.encounter_partials', 'DOWNSTREAM', 'NEVER REFRESHED', 'curated.fact_encounter'),
+        ('curated.fact_encounter', '1 minute', 'SUCCEEDED', 'raw.encounter_fact, raw.provider_dim'),
+        ('curated.fact_lab_results', '1 minute', 'NEVER REFRESHED', 'raw.lab_results'),
+        ('gold.abnormal_results_summary', '1 hour', 'NEVER REFRESHED', 'curated.fact_lab_results, curated.fact_encounter, curated.dim_patient'),
+        ('gold.department_dashboard', '1 hour', 'NEVER REFRESHED', 'gold.department_partials, gold.department_encounter_counts'),
+        ('gold.department_encounter_counts', 'DOWNSTREAM', 'NEVER REFRESHED', 'raw.encounter_keys'),
+        ('gold.department_partials', 'DOWNSTREAM', 'NEVER REFRESHED', 'curated.encounter_partials'),
+        ('gold.patient_encounter_summary', '1 hour', 'SUCCEEDED', 'curated.dim_patient, curated.encounter_partials')) t(name, lag, state, inputs)""",
+    "protected_columns": _with(
+        _PATIENTS,
+        """SELECT CASE column_name WHEN 'ssn' THEN 'MASK_SSN' WHEN 'birth_date' THEN 'MASK_DOB' ELSE 'MASK_PII_STRING' END AS policy_name,
+             'MASKING_POLICY' AS policy_kind, column_name, CASE WHEN column_name NOT IN ('ssn', 'birth_date') THEN 'PII_TYPE' END AS tag_name, n AS n_values
+           FROM (UNPIVOT (SELECT count(ssn) AS ssn, count(pat_first_name) AS pat_first_name, count(pat_last_name) AS pat_last_name, count(email) AS email,
+             count(phone) AS phone, count(address_line_1) AS address_line_1, count(birth_date) AS birth_date, count(pat_mrn) AS pat_mrn FROM patients)
+             ON COLUMNS(*) INTO NAME column_name VALUE n)""",
+    ),
+    "schema_scan": """SELECT 'customer' AS table_name, column_index AS ordinal, column_name, n AS n_values
+        FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM customer) ON COLUMNS(*) INTO NAME column_name VALUE n)
+        JOIN (SELECT column_name, column_index FROM duckdb_columns() WHERE table_name = 'customer') USING (column_name)
+      UNION ALL SELECT 'documents', column_index, column_name, n
+        FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM documents) ON COLUMNS(*) INTO NAME column_name VALUE n)
+        JOIN (SELECT column_name, column_index FROM duckdb_columns() WHERE table_name = 'documents') USING (column_name)""",
+    "whole_text_files": """SELECT s_nationkey, string_agg(line, '|' ORDER BY line) AS suppliers
+      FROM (SELECT s_nationkey, s_suppkey || ',' || s_name AS line FROM supplier) GROUP BY s_nationkey""",
 }

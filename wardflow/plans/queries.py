@@ -11,7 +11,7 @@ from wardflow.functions import text
 from wardflow.functions.dates import hour_floor, second_boundaries, within_minutes, year_boundaries
 from wardflow.functions.details import detail_field, misfits
 from wardflow.functions.flags import bucket, review_tier
-from wardflow.governance import apply, classify
+from wardflow.governance import apply, classify, lineage
 from wardflow.governance.masks import MASK_PII_STRING
 from wardflow.governance.registry import (
     DEPARTMENT_ROW_FILTER,
@@ -31,7 +31,18 @@ from wardflow.plans import testdata as td
 from wardflow.plans.graph import clinical_graph
 from wardflow.session import new_workspace
 from wardflow.sources.schemas import IMPORT_CONFIG, PROVIDER, RUN_LOG, VENDOR_LAB
-from wardflow.sources.tables import create_table, ctas, export_open, latest, read, register_views, rows_frame, with_lineage
+from wardflow.sources.tables import (
+    create_table,
+    ctas,
+    export_open,
+    latest,
+    read,
+    read_whole_text,
+    register_views,
+    rows_frame,
+    table_columns,
+    with_lineage,
+)
 from wardflow.streaming import alerts
 from wardflow.streaming.refresh import GraphRefresher, refresh_history
 
@@ -118,8 +129,9 @@ def layer_row_counts(spark, sf):
 # --- incremental refresh -------------------------------------------------------------------------------------------------
 
 
-def _refreshed(spark: SparkSession, sf: str, after_node=None, labs: bool = False) -> GraphRefresher:
-    """A store fed in three drops: late providers and patients come after the encounters that refer to them."""
+def _refreshed(spark: SparkSession, sf: str, *only: str, after_node=None, labs: bool = False) -> GraphRefresher:
+    """A store fed in three drops: late providers and patients come after the encounters that refer to them. After each
+    drop all tables are refreshed, or only those named and what they are made from."""
     store = GraphRefresher(spark, clinical_graph(), new_workspace(spark, "graph"), n_buckets=8, after_node=after_node)
     people, facts, who = td.patients(spark, sf), td.encounters(spark, sf), td.providers(spark, sf)
     # Rows without the date belong to the other drop; every row arrives once.
@@ -135,13 +147,13 @@ def _refreshed(spark: SparkSession, sf: str, after_node=None, labs: bool = False
     for drop in drops:
         for name, df in drop:
             store.land(name, df)
-        store.refresh_available()
+        store.refresh_available(only=only or None)
     return store
 
 
 @query
 def incremental_summary(spark, sf):
-    return _refreshed(spark, sf).table("gold.patient_encounter_summary", td.AS_OF)
+    return _refreshed(spark, sf, "gold.patient_encounter_summary").table("gold.patient_encounter_summary", td.AS_OF)
 
 
 @query
@@ -153,7 +165,7 @@ def republished_gold(spark, sf):
         if name == "gold.department_dashboard":
             export_open(store.table(name, td.AS_OF), out)
 
-    _refreshed(spark, sf, publish)
+    _refreshed(spark, sf, after_node=publish)
     return read(spark, out).withColumn("avg_charges", F.col("avg_charges").cast("double"))
 
 
@@ -190,6 +202,29 @@ def incremental_dashboard(spark, sf):
     return out.withColumn("avg_charges", F.col("avg_charges").cast("double"))
 
 
+@query
+def estimated_counts(spark, sf):
+    """Distinct counts per department: estimates kept from sketches while rows arrive in slices, beside exact ones, and
+    whether they are within the stated bound."""
+    store = GraphRefresher(spark, clinical_graph(sketches=True), new_workspace(spark, "graph"), n_buckets=4)
+    facts = td.encounters(spark, sf)
+    early = F.coalesce(F.col("admit_date") < "1996-01-01", F.lit(False))
+    for label, rows in (("old", facts.where(early)), ("new", facts.where(~early))):
+        store.land("raw.encounter_fact", rows, label)
+        store.refresh_available(only=["gold.department_estimates"])
+    guessed = store.table("gold.department_estimates")
+    exact = facts.groupBy(F.col("department").alias("d")).agg(
+        F.count_distinct("encounter_id").alias("encounter_count"), F.count_distinct("pat_id").alias("unique_patients"))
+
+    def close(estimate: str, count: str):
+        return F.abs(F.col(estimate) - F.col(count)) <= nodes.SKETCH_BOUND * F.col(count) + 1
+
+    return guessed.join(exact, F.col("department").eqNullSafe(F.col("d")), "full").select(
+        "department", "encounter_count", "unique_patients",
+        close("encounter_estimate", "encounter_count").alias("encounters_close"), close("patient_estimate", "unique_patients").alias("patients_close"),
+    )
+
+
 @query
 def refresh_states(spark, sf):
     """How often each table was refreshed while three drops arrived."""
@@ -758,6 +793,22 @@ def tag_masked_documents(spark, sf):
     return seen.groupBy("lang", "loud").agg(F.count("*").alias("n_docs"))
 
 
+@query
+def inherited_masks(spark, sf):
+    """Tags follow texts through a join, a union, expressions and aggregates by the plan alone: the analyst sees masks, no
+    numbers worked out from the texts, and only the counts that are released."""
+    reg = Registry()
+    reg.define_tag("PII_TYPE", ["EMAIL"])
+    reg.set_tag("PII_TYPE", "EMAIL", table="raw.documents", column="text")
+    reg.set_tag_mask("PII_TYPE", MASK_PII_STRING)
+    docs = apply.tag_frame(td.load(spark, sf, "documents"), reg, "raw.documents")
+    heads = docs.select("doc_id", "lang", F.lower(F.substring("text", 1, 9)).alias("piece"), F.length("text").alias("n"))
+    turns = td.load(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.lit("turn").alias("lang"), F.col("role").alias("piece"), F.length("role").alias("n"))
+    known = heads.unionByName(turns).join(td.load(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    found = known.groupBy("lang").agg(F.max("piece").alias("last_piece"), F.sum("n").alias("n_chars"), F.count("piece").alias("n_pieces"), F.max("quality").alias("best"), F.count("*").alias("n_rows"))
+    return apply.governed(lineage.release(found, "n_pieces"), "gold.pieces", "ANALYST", reg)
+
+
 # --- annotation --------------------------------------------------------------------------------------------------------------
 
 
@@ -813,3 +864,87 @@ def categorized_turns(spark, sf):
     rules = [(r"[0-9]", "numbers"), (r"\?", "question"), (r"\n", "list")]
     out = annotate.categorize(td.load(spark, sf, "conversations"), "text", rules)
     return out.groupBy("role", "category").agg(F.count("*").alias("n_turns"))
+
+
+def _word_counter():
+    """A stand-in for a model: it counts words, and its first call fails, as a service may that is not awake yet."""
+    import re
+
+    asleep = [True]
+
+    def model(texts: list[str]) -> list[str]:
+        if asleep.pop() if asleep else False:
+            raise ConnectionError("not awake yet")
+        return [f"{len(re.findall('[A-Za-z]+', t))} words" for t in texts]
+
+    return model
+
+
+@query
+def modelled_notes(spark, sf):
+    """Annotations by a model that every worker loads once; the first call of each fails and is repeated."""
+    docs = td.load(spark, sf, "documents").withColumn("text", F.when(F.col("doc_id") % 50 == 0, "").otherwise(F.col("text")))
+    return annotate.annotate_with_model(docs, "text", _word_counter, error="problem", wait=0.0).select("doc_id", "summary", "problem")
+
+
+@query
+def ruled_turns(spark, sf):
+    """Turns of conversations by the first rule of a table with a rule for every word of the benchmark texts."""
+    folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = td.load(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(folded, F.lit("[a-z0-9]+"), F.lit(0))).alias("trigger"))
+    size = F.length("trigger")
+    rules = words.groupBy("trigger").agg(F.count("*").alias("priority")).select(
+        "priority", "trigger", F.concat(F.lit("(^|[^a-z0-9])"), "trigger", F.lit("([^a-z0-9]|$)")).alias("pattern"),
+        F.concat(F.lit("word of "), F.when(size < 10, F.concat(F.lit("0"), size.cast("string"))).otherwise(size.cast("string"))).alias("category"),
+    )
+    spoken = F.concat_ws("-", "conv_id", "turn")
+    turns = td.load(spark, sf, "conversations").withColumn("turn_key", spoken)
+    return annotate.categorize_by_rules(turns, "text", "turn_key", rules).groupBy("role", "category").agg(F.count("*").alias("n_turns"))
+
+
+# --- listings ----------------------------------------------------------------------------------------------------------------
+
+
+@query
+def listed_graph(spark, sf):
+    """The tables of the graph with lag, inputs and the state of their last refresh, after only providers and patients came."""
+    graph = clinical_graph("1 minute", "1 hour")
+    store = GraphRefresher(spark, graph, new_workspace(spark, "graph"), n_buckets=2)
+    store.land("raw.provider_dim", td.providers(spark, sf))
+    store.land("raw.patient_dim", td.patients(spark, sf))
+    store.refresh_available(only=["gold.patient_encounter_summary"])
+    listed = graph.listing(spark, history=store.history(1000))
+    rows = store.table("gold.patient_encounter_summary", td.AS_OF).agg(F.count("*").alias("n")).first().n
+    return listed.select("name", "target_lag", "scheduling_state", F.array_join("inputs", ", ").alias("inputs"), F.lit(rows).alias("summary_rows"))
+
+
+@query
+def protected_columns(spark, sf):
+    """Which policy protects which column of the patients, by which tag, and how many values that covers."""
+    reg, people = clinical_registry(), td.patients(spark, sf)
+    refs = reg.policy_references(people, "raw.patient_dim").withColumnRenamed("ref_column_name", "column_name")
+    columns = [r.column_name for r in refs.select("column_name").collect()]  # declarations, a few per table
+    counts = people.agg(*[F.count(c).alias(c) for c in columns]).unpivot([], columns, "column_name", "n_values")
+    return refs.join(counts, "column_name").select("policy_name", "policy_kind", "column_name", "tag_name", "n_values")
+
+
+@query
+def schema_scan(spark, sf):
+    """The columns of two tables with their place and how many values each has."""
+    found = None
+    for name in ("customer", "documents"):
+        df = td.load(spark, sf, name)
+        filled = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "n_values")
+        listed = table_columns(df).join(filled, "column_name").select(F.lit(name).alias("table_name"), "ordinal", "column_name", "n_values")
+        found = listed if found is None else found.unionByName(listed)
+    return found
+
+
+@query
+def whole_text_files(spark, sf):
+    """Suppliers written as one text file per nation; every file comes back as one value."""
+    path = f"{new_workspace(spark, 'texts')}/suppliers"
+    lines = td.load(spark, sf, "supplier").select("s_nationkey", F.concat_ws(",", "s_suppkey", "s_name").alias("line"))
+    lines.repartition("s_nationkey").write.partitionBy("s_nationkey").text(path)
+    content = F.array_sort(F.array_remove(F.split("content", "\n"), ""))
+    return read_whole_text(spark, path).select(F.col("s_nationkey").cast("bigint").alias("s_nationkey"), F.array_join(content, "|").alias("suppliers"))
