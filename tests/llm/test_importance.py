@@ -60,15 +60,12 @@ def ranked(rows):
 
 
 @pytest.mark.parametrize(("limit", "fresh", "grams", "percent"), [(importance.WORDS, importance.FRESH, 1, 10), (importance.WORDS, 1, 1, 100), (5, 1, 2, 33), (0, 1, 3, 0)])
-def test_against_plain_loops(spark, monkeypatch, limit, fresh, grams, percent):
+def test_against_plain_loops(spark, limit, fresh, grams, percent):
     # The dictionary may learn all words, some or none.
-    monkeypatch.setattr(importance, "WORDS", limit)
-    monkeypatch.setattr(importance, "FRESH", fresh)
-    monkeypatch.setattr(importance, "_DICTIONARY", [importance.Dictionary()])
     rows = corpus(random.Random(grams))
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     target = spark.createDataFrame([(i, t) for i, t in enumerate(TARGET)], "item_id long, text string")
-    got = importance.resampled(docs, target, grams=grams, percent=percent)
+    got = importance.resampled(docs, target, grams=grams, percent=percent, words=limit, fresh=fresh)
     assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
     got, want = [tuple(r) for r in got.collect()], plain(rows, TARGET, grams, percent=percent)
     assert ranked(r[:4] for r in got) == ranked(r[:4] for r in want)

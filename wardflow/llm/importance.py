@@ -95,7 +95,8 @@ _FOLDED = _folding()
 class Dictionary:
     """Delimited words with payloads (CRC, and length above it), as an automaton."""
 
-    def __init__(self) -> None:
+    def __init__(self, limit: int = WORDS, step: int = FRESH) -> None:
+        self.limit, self.step = limit, step
         self.known: dict[str, int] = {}
         self.fresh: dict[str, int] = {}
         self.automaton: ahocorasick.Automaton | None = None
@@ -122,17 +123,22 @@ class Dictionary:
             payload = self.fresh.get(word)
             if payload is None:
                 payload = zlib.crc32(word.encode("latin-1")) | (b - a) << 32
-                if len(self.known) + len(self.fresh) < WORDS:
+                if len(self.known) + len(self.fresh) < self.limit:
                     self.fresh[word] = payload
             rest[i] = payload
         out[missing] = rest
-        if len(self.fresh) >= max(FRESH, len(self.known) // 4):
+        if self.fresh and len(self.fresh) >= max(self.step, len(self.known) // 4):
             self._learn()
         return out
 
 
-_DICTIONARY = [Dictionary()]
-keeps("word dictionary", lambda: _DICTIONARY.__setitem__(0, Dictionary()))
+_DICTIONARIES: dict[tuple[int, int], Dictionary] = {}
+keeps("word dictionary", _DICTIONARIES.clear)
+
+
+def kept_dictionary(limit: int = WORDS, step: int = FRESH) -> Dictionary:
+    """The dictionary of this worker, with what it learned in earlier tasks."""
+    return _DICTIONARIES.setdefault((limit, step), Dictionary(limit, step))
 
 
 def text_buckets(data: np.ndarray, offsets: np.ndarray, grams: int, buckets: int, words: Dictionary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,15 +173,16 @@ def _stored(buckets: int) -> str:
     return "<u2" if buckets <= 2**16 else "<u4"
 
 
-def features(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text", grams: int = GRAMS, buckets: int = BUCKETS) -> DataFrame:
+def features(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text", grams: int = GRAMS, buckets: int = BUCKETS, words: int = WORDS, fresh: int = FRESH) -> DataFrame:
     """``keys``, n_words, n_features and the buckets of all features, as little-endian numbers behind each other."""
     kind = _stored(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = kept_dictionary(words, fresh)
         for batch in batches:
             data, offsets = text_bytes(batch.column(len(keys)))
             for a, b in chunks(offsets):
-                found, first, n_words = text_buckets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], grams, buckets, _DICTIONARY[0])
+                found, first, n_words = text_buckets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], grams, buckets, known)
                 body = pa.py_buffer(found.astype(kind).tobytes())
                 cuts = pa.py_buffer((first * int(kind[2])).astype(np.int64).tobytes())
                 packed = pa.Array.from_buffers(pa.large_binary(), b - a, [None, cuts, body]).cast(pa.binary())
@@ -273,10 +280,10 @@ def drawn(rows: DataFrame, least: int = LEAST, percent: int = PERCENT, id_column
     return above.unionByName(rows.where(~high).withColumn("rank", F.lit(None).cast("long")))
 
 
-def resampled(docs: DataFrame, target: DataFrame, text: str = "text", id_column: str = "doc_id", target_text: str = "text", grams: int = GRAMS, buckets: int = BUCKETS, seed: int = SEED, least: int = LEAST, percent: int = PERCENT) -> DataFrame:
+def resampled(docs: DataFrame, target: DataFrame, text: str = "text", id_column: str = "doc_id", target_text: str = "text", grams: int = GRAMS, buckets: int = BUCKETS, seed: int = SEED, least: int = LEAST, percent: int = PERCENT, words: int = WORDS, fresh: int = FRESH) -> DataFrame:
     """Per document id, n_features, weight, score and rank; the drawn documents are those with a rank."""
-    found = staged(features(docs, (id_column,), text, grams, buckets), "features")
-    aimed = features(target, (), target_text, grams, buckets)
+    found = staged(features(docs, (id_column,), text, grams, buckets, words, fresh), "features")
+    aimed = features(target, (), target_text, grams, buckets, words, fresh)
     gain = gains(bucket_counts(found, buckets), bucket_counts(aimed, buckets), buckets)
     scored = staged(noisy(weighted(found, gain, buckets), seed, id_column), "scored")
     return drawn(scored, least, percent, id_column).select(id_column, "n_features", "weight", "score", "rank")
