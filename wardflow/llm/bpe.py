@@ -12,12 +12,12 @@ columns other than the keys and the text are never read.
 from __future__ import annotations
 
 import gc
+import hashlib
 import heapq
 import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from wardflow.llm.common import chunks, keeps, whole_text
 
 REMEMBERED = 200_000  # strings of one generation of what a worker remembers
+CHARACTERS = 2_000_000  # of texts that are merged together
 WIDE = 1 << 32  # a pair of ids as one number: left * WIDE + right
 DOUBLE_SPACE = re.compile(r"\s\s")
 
@@ -41,11 +42,12 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Remembered:
-    """Ids of strings met before, in two generations: what was not met again for a whole generation is forgotten."""
+    """Ids of strings met before, four bytes each, in two generations: what was not met again for a whole generation is
+    forgotten."""
 
     def __init__(self):
-        self.now: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def missing(self, wanted: set[str]) -> list[str]:
         """The strings of ``wanted`` that are unknown; all others are in ``now`` afterwards."""
@@ -60,7 +62,7 @@ class Remembered:
                     out.append(w)
         return out
 
-    def add(self, strings: Iterable[str], ids: Iterable[tuple[int, ...]]) -> None:
+    def add(self, strings: Iterable[str], ids: Iterable[bytes]) -> None:
         self.now.update(zip(strings, ids, strict=True))
 
 
@@ -94,16 +96,14 @@ class Vocabulary:
         self.bytes_of |= {i: content.encode() for content, i in self.added.items()}
         self.split_added = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         size = max(self.bytes_of) + 1
-        parts = [self.bytes_of.get(i, b"") for i in range(size)]
-        self.lengths = np.array([len(p) for p in parts], np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.frombuffer(b"".join(parts), np.uint8)
+        self.lengths, self.starts, self.flat = _laid_out([self.bytes_of.get(i, b"") for i in range(size)])
+        self.digits = _laid_out([b"%d," % i for i in range(size)])
         self.known, self.cuts = Remembered(), Remembered()
 
     # --- encoding ---
 
-    def merge_all(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        """The ids of each piece, merged together through one pair occurrence index."""
+    def merge_all(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, four bytes each, merged together through one pair occurrence index."""
         if not pieces:
             return []
         spelled = [p.encode("utf-8") for p in pieces]
@@ -160,23 +160,27 @@ class Vocabulary:
                             push(heap, q)
         bounds = [0, *ends.tolist()]
         left = np.array(symbols, np.int64)
-        alive = np.concatenate([[0], np.cumsum(left >= 0)])[bounds].tolist()
-        left = left[left >= 0].tolist()
-        return [tuple(left[x:y]) for x, y in zip(alive, alive[1:], strict=False)]
+        alive = (4 * np.concatenate([[0], np.cumsum(left >= 0)])[bounds]).tolist()
+        packed = left[left >= 0].astype(np.int32).tobytes()
+        return [packed[x:y] for x, y in zip(alive, alive[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text, added tokens included.
+        """The ids of each text, added tokens included."""
+        return [np.frombuffer(x, np.int32).tolist() for x in self.packed(texts)]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each.
 
         A piece never runs past a space that stands alone, so texts are first cut there and what follows each such
         space is looked up as a whole; only unknown cuts are split into pieces, and only unknown pieces are merged.
         """
-        gc.disable()  # no cycles arise here, and the many remembered tuples make collections slow
+        gc.disable()  # no cycles arise here, and the many remembered strings make collections slow
         try:
-            return self._encode(texts)
+            return self._packed(texts)
         finally:
             gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
+    def _packed(self, texts: list[str]) -> list[bytes]:
         cuts: list[tuple[list[str], list[str]]] = []
         for t in texts:
             if any(content in t for content in self.added) or DOUBLE_SPACE.search(t):
@@ -191,15 +195,10 @@ class Vocabulary:
         self.known.add(new, self.merge_all(new))
         known = self.known.now
         for content, i in self.added.items():
-            known[content] = (i,)
-        self.cuts.add(split, [tuple(chain.from_iterable([known[p] for p in ps])) for ps in split.values()])
+            known[content] = np.int32(i).tobytes()
+        self.cuts.add(split, [b"".join([known[p] for p in ps]) for ps in split.values()])
         whole = self.cuts.now
-        out = []
-        for head, rest in cuts:
-            ids = list(chain.from_iterable(map(known.__getitem__, head)))
-            ids.extend(chain.from_iterable(map(whole.__getitem__, rest)))
-            out.append(ids)
-        return out
+        return [b"".join([*map(known.__getitem__, head), *map(whole.__getitem__, rest)]) for head, rest in cuts]
 
     def _pieces(self, text: str) -> list[str]:
         if self.split_added is None:
@@ -219,12 +218,26 @@ class Vocabulary:
             keep = (ids >= 0) & (ids < len(self.lengths))  # unknown ids stand for nothing
             offsets = np.concatenate([[0], np.cumsum(keep)])[offsets]
             ids = ids[keep]
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        data = self.flat[at].tobytes()
-        bounds = np.concatenate([[0], ends])[offsets].tolist()
-        return [data[x:y].decode("utf-8", "replace") for x, y in zip(bounds, bounds[1:], strict=False)]
+        return [x.decode("utf-8", "replace") for x in _spelled(ids, offsets, self.lengths, self.starts, self.flat)]
+
+    def decimal(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Each run of ids in decimal, joined by commas."""
+        return [x[:-1] for x in _spelled(ids, offsets, *self.digits)]
+
+
+def _spelled(ids: np.ndarray, offsets: np.ndarray, lengths: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> list[bytes]:
+    """The strings that ids stand for, put together for each run of them."""
+    each = lengths[ids]
+    ends = np.cumsum(each)
+    at = np.repeat(starts[ids] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
+    data = flat[at].tobytes()
+    bounds = np.concatenate([[0], ends])[offsets].tolist()
+    return [data[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
+
+
+def _laid_out(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    lengths = np.array([len(p) for p in parts], np.int64)
+    return lengths, np.cumsum(lengths) - lengths, np.frombuffer(b"".join(parts), np.uint8)
 
 
 @lru_cache(maxsize=2)
@@ -246,6 +259,12 @@ def piece_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def _flat(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids behind each other, and where those of each text begin."""
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int64)
+    return np.frombuffer(b"".join(packed), np.int32), offsets
+
+
 def encode(docs: DataFrame, keys: Iterable[str] = ("doc_id",), text: str = "text", path: str | None = None) -> DataFrame:
     """``keys`` and the token ids (``ids``) of every whole text."""
     path, pattern = path or vocabulary_path(), piece_pattern()
@@ -257,10 +276,9 @@ def encode(docs: DataFrame, keys: Iterable[str] = ("doc_id",), text: str = "text
         for batch in batches:
             texts = batch.column(len(keys)).to_pylist()
             lengths = np.array([len(t) for t in texts], np.int64)
-            for a, b in chunks(np.concatenate([[0], np.cumsum(lengths)]), 2_000_000):
-                ids = [np.array(x, np.int32) for x in vocab.encode(texts[a:b])]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+            for a, b in chunks(np.concatenate([[0], np.cumsum(lengths)]), CHARACTERS):
+                ids, offsets = _flat(vocab.packed(texts[a:b]))
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(a, b - a) for i in range(len(keys))], lists], names=[*keys, "ids"])
 
     return docs.select(*keys, whole_text(text).alias("_text")).mapInArrow(run, schema)
@@ -296,6 +314,24 @@ def digest_columns() -> list[Column]:
     ]
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Per document the number of ids, their digest, and the digest of the text decoded from them."""
-    return decode(encode(docs, path=path), path=path).select(*digest_columns())
+def digests(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
+    """Per document the number of ids, their digest, and the digest of the text decoded from them, in one pass: ids and
+    decoded text are put together from tables of bytes and never leave the task."""
+    path, pattern = path or vocabulary_path(), piece_pattern()
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(path, pattern)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in chunks(np.concatenate([[0], np.cumsum([len(t) for t in texts])]), CHARACTERS):
+                ids, offsets = _flat(vocab.packed(texts[a:b]))
+                counts, written, decoded = np.diff(offsets), [], []
+                for x, y in chunks(offsets, 500_000):
+                    part, own = ids[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x]
+                    written += [hashlib.sha256(d).hexdigest() for d in vocab.decimal(part, own)]
+                    decoded += [hashlib.sha256(d.encode()).hexdigest() for d in vocab.decode(part, own)]
+                columns = [batch.column(0).slice(a, b - a), pa.array(counts, pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *[f.name for f in fields]])
+
+    return docs.select("doc_id", whole_text(text).alias("_text")).mapInArrow(run, T.StructType([docs.schema["doc_id"], *fields]))

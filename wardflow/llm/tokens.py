@@ -39,7 +39,7 @@ def length_histogram(docs: DataFrame, by: Iterable[str] = (), text: str = "text"
             arrow = [batch.schema.field(i).type for i in range(len(by))]
             ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
             for a, b in chunks(ends, 2_000_000):
-                counts.update((*k, len(ids)) for k, ids in zip(keys[a:b], vocab.encode(texts[a:b]), strict=True))
+                counts.update((*k, len(ids) // 4) for k, ids in zip(keys[a:b], vocab.packed(texts[a:b]), strict=True))
         if counts:
             columns = list(zip(*counts, strict=True))
             parts = [pa.array(c, t) for c, t in zip(columns, [*arrow, pa.int64()], strict=True)]
