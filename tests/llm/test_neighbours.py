@@ -90,3 +90,18 @@ def test_search_with_a_small_beam(spark, monkeypatch):
         hits.setdefault(r.q, []).append((r.dist, r.node))
     assert np.mean([len({i for _, i in sorted(h)[:10]} & set(want[q].tolist())) / 10 for q, h in hits.items()]) >= 0.9
     assert len(hits) == 100
+
+
+@pytest.mark.parametrize(("offset", "scale"), [(3000.0, 1.0), (0.0, 1e100), (0.0, 1e-30)])
+def test_offsets_and_sizes_change_nothing(spark, offset, scale):
+    """An offset that all vectors share, and components beyond single precision, leave nearest rows what they are."""
+    x = np.random.default_rng(5).normal(size=(700, 32))
+    moved = x * scale + offset
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(moved)], "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    for q, hits in got.items():
+        want = np.argsort(((x - x[q]) ** 2).sum(1), kind="stable")[1:11]
+        assert len(hits & set(want.tolist())) >= 9
+    assert len(got) == 7

@@ -291,7 +291,9 @@ def _step(graph: DataFrame, nodes: DataFrame, home: DataFrame, k: int, fill: int
     order = Window.partitionBy("u").orderBy(F.desc("new"), F.xxhash64("member", "u"))
     back = back.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k * 2 // 3).drop("_r")
     members = ahead.union(back).groupBy("u", "member").agg(F.max("new").alias("new"))
-    members = staged(members.join(home, "u").select("block", "u", "member", "new"), "members")
+    # Two members are compared if one of them is new, so nodes without a new member send nothing.
+    members = members.join(home, "u").withColumn("_any", F.max("new").over(Window.partitionBy("u")))
+    members = staged(members.where("_any").select("block", "u", "member", "new"), "members")
     reach = graph.groupBy("node").agg(F.when(F.count("*") < k, float("inf")).otherwise(F.max("dist")).cast("float").alias("reach"))
     carried = nodes.join(reach, "node", "left").select(F.col("node").alias("member"), F.coalesce("reach", F.lit(float("inf")).cast("float")).alias("reach"), "vec")
     wanted = members.select("block", "member").distinct().join(carried, "member").select("block", "member", "reach", "vec")
@@ -411,13 +413,38 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
             return state.select("q", "node", "dist")
 
 
+def centred(nodes: DataFrame) -> DataFrame:
+    """node and its vector in single precision, less the mean of all and by the largest component that is left.
+
+    The graph needs the order of distances only, which both keep; without them an offset that all vectors share would
+    take up the digits, and large components would be out of range. To the driver come as many numbers as a vector has.
+    """
+    n = nodes.count()
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                part = (_matrix(batch.column(0), np.float64) / n).sum(0)
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["part"])
+
+    parts = nodes.select("vec").mapInArrow(sums, "part array<double>").select(F.posexplode("part"))
+    means = [r.mean for r in parts.groupBy("pos").agg(F.sum("col").alias("mean")).orderBy("pos").collect()]
+    less = F.zip_with("vec", F.array(*[F.lit(m) for m in means]) if means else F.array().cast("array<double>"), lambda x, m: x - m)
+    moved = nodes.select("node", less.alias("vec"))
+    largest = moved.agg(F.max(F.array_max(F.transform("vec", F.abs)))).first()[0] or 1.0
+    return moved.select("node", F.transform("vec", lambda x: (x / F.lit(largest)).cast("float")).alias("vec"))
+
+
 def nearest(vectors: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest rows of each query row, its own left out."""
     rows = staged(usable(vectors), "vectors")
     distinct = rows.groupBy("vec").agg(F.min("vec_id").alias("node"))
     nodes = staged(distinct.select("node", "vec"), "nodes")
     placed = staged(rows.join(nodes, "vec").select("vec_id", "node"), "placed")
-    light = staged(nodes.select("node", F.col("vec").cast("array<float>").alias("vec")), "light-nodes")
+    light = staged(centred(nodes), "light-nodes")
     graph = build_graph(light)
     asked = placed.where(is_query).select(F.col("vec_id").alias("q"), "node").join(nodes, "node")
     found = search(asked, graph, nodes)
