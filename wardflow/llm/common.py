@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -36,9 +39,15 @@ def keeps(name: str, forget: Callable[[], None]) -> None:
 
 
 def release_kept() -> None:
-    """Called where an operator needs the memory of the worker for itself."""
+    """Called where an operator needs the memory of the worker for itself; what was kept goes back to the machine."""
+    if not _KEPT:
+        return
     for forget in _KEPT.values():
         forget()
+    _KEPT.clear()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # another allocator than glibc's
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
