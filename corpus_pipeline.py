@@ -41,10 +41,12 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix, and digests of them and of the text decoded from them."""
+    """Token ids of every document of the mix, and digests of them and of the text decoded from them.
+
+    One pass in Python: a second one would hold a worker with a vocabulary of its own for each task.
+    """
     prepare(spark)
-    done = bpe.decode(bpe.encode(docs))
-    return done.select(*bpe.digest_columns(), "ids")
+    return bpe.digests(docs, with_ids=True)
 
 
 STAGES = [

@@ -78,3 +78,14 @@ def test_ids_equal_the_library(stages):
 def test_run_is_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, FOLDER).select("doc_id", "n_tokens").collect()
     assert sorted(map(tuple, got)) == sorted((r.doc_id, r.n_tokens) for r in stages[0][5])
+
+
+def test_encoding_takes_one_pass(spark):
+    """A second pass in Python holds a second worker with a vocabulary for each task, on top of the memory of the stages."""
+    texts = ["", None, "a word", "  two  spaces\n", "é 漢字 \U0001f600 <|endoftext|>", "x" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = corpus_pipeline.bpe_encoding(spark, docs, FOLDER)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = bpe.decode(bpe.encode(docs)).select(*bpe.digest_columns(), "ids")
+    assert got.columns == want.columns and got.schema["ids"].dataType == want.schema["ids"].dataType
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

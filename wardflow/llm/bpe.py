@@ -314,11 +314,13 @@ def digest_columns() -> list[Column]:
     ]
 
 
-def digests(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
-    """Per document the number of ids, their digest, and the digest of the text decoded from them, in one pass: ids and
-    decoded text are put together from tables of bytes and never leave the task."""
+def digests(docs: DataFrame, path: str | None = None, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Per document the number of ids, their digest, and the digest of the text decoded from them, in one pass: ids (unless
+    asked for, as a last column) and decoded text are put together from tables of bytes and never leave the task."""
     path, pattern = path or vocabulary_path(), piece_pattern()
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    if with_ids:
+        fields.append(T.StructField("ids", T.ArrayType(T.IntegerType(), False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
@@ -332,6 +334,8 @@ def digests(docs: DataFrame, path: str | None = None, text: str = "text") -> Dat
                     written += [hashlib.sha256(d).hexdigest() for d in vocab.decimal(part, own)]
                     decoded += [hashlib.sha256(d.encode()).hexdigest() for d in vocab.decode(part, own)]
                 columns = [batch.column(0).slice(a, b - a), pa.array(counts, pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *[f.name for f in fields]])
 
     return docs.select("doc_id", whole_text(text).alias("_text")).mapInArrow(run, T.StructType([docs.schema["doc_id"], *fields]))

@@ -46,6 +46,7 @@ def release_kept() -> None:
         forget()
     _KEPT.clear()
     gc.collect()
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another allocator than glibc's
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 

@@ -128,6 +128,7 @@ def shared_parts(docs: DataFrame, n_fragments: int, text: str = "text", n: int =
             yield flushed()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         waiting: list[bytes] = []
         current = None
         for batch in batches:
