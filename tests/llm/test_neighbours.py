@@ -81,6 +81,51 @@ def test_leaves_stay_small(spark, monkeypatch):
     assert sizes.max() <= 64 and sizes.mean() >= 8
 
 
+@pytest.mark.parametrize("at_once", [1, 7, 5000])
+def test_first_graph_is_the_best_of_all_leaves(spark, monkeypatch, at_once):
+    monkeypatch.setattr(neighbours, "LEAF", 32)
+    monkeypatch.setattr(neighbours, "MERGED", at_once)
+    nodes, _ = scattered(spark, 400, 6)
+    vec = {r.node: np.array(r.vec) for r in nodes.collect()}
+    placed = neighbours.staged(neighbours._leaves(nodes, 400), "test-leaves")
+    leaves, near = {}, {}
+    for r in placed.collect():
+        leaves.setdefault((r.tree, r.leaf), []).append(r.node)
+    for own in leaves.values():
+        for a in own:
+            near.setdefault(a, set()).update(b for b in own if b != a)
+    got = {}
+    for r in neighbours._first_graph(placed, 5).collect():
+        got.setdefault(r.node, []).append(r.nbr)
+    for a, others in near.items():
+        assert sorted(got[a]) == sorted(sorted(others, key=lambda b: ((vec[a] - vec[b]) ** 2).sum())[:5])
+
+
+def test_larger_tables_get_more_trees(spark, monkeypatch):
+    """A worse first graph in a larger table costs steps, and each sends vectors to the leaves again."""
+    for name, value in (("FEW", 512), ("LEAF", 32), ("K", 8), ("WIDER", 2)):
+        monkeypatch.setattr(neighbours, name, value)
+    nodes, want = scattered(spark, 3000, 12)
+    sent, staged, most = [], neighbours.staged, neighbours.MORE
+
+    def counted(df, label):
+        out = staged(df, label)
+        if label == "members":
+            sent.append(out.select("block", "member").distinct().count())
+        return out
+
+    monkeypatch.setattr(neighbours, "staged", counted)
+    rows = {}
+    for more in (0, most):
+        monkeypatch.setattr(neighbours, "MORE", more)
+        lists = {}
+        for r in neighbours.build_graph(nodes).collect():
+            lists.setdefault(r.node, set()).add(r.nbr)
+        assert np.mean([len(lists[i] & set(w.tolist())) / 10 for i, w in enumerate(want)]) >= 0.9
+        rows[more], sent[:] = sum(sent), []
+    assert rows[most] < 0.8 * rows[0]
+
+
 def test_search_with_a_small_beam(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BEAM", 32)
     nodes, want = scattered(spark)

@@ -3,10 +3,11 @@
 Equal vectors are one node of the graph, named by their smallest vec_id, so a vector that occurs very often is no hub; its
 rows come back when results are written. The graph starts from random projection trees: their borders are fitted on a
 bounded sample (``SAMPLE`` nodes), and leaves that are still large are split by planes fitted on their own nodes, so a leaf
-has about ``LEAF`` nodes in a table of any size. All nodes of a leaf are compared. NN-descent then improves the graph: each
-node brings together its neighbours and those it is a neighbour of, and every two of them, at least one of them new, try to
-become neighbours, until hardly an edge changes. The recall of the edges is measured on some nodes whose nearest are known
-exactly; while it is too low, nodes keep longer lists.
+has about ``LEAF`` nodes in a table of any size. All nodes of a leaf are compared. A leaf is a smaller share of a larger table,
+so that gets more trees; otherwise its first graph would be worse and more steps, with more rows each, would follow.
+NN-descent then improves the graph: each node brings together its neighbours and those it is a neighbour of, and every two
+of them, at least one of them new, try to become neighbours, until hardly an edge changes. The recall of the edges is
+measured on some nodes whose nearest are known exactly; while it is too low, nodes keep longer lists.
 
 A search begins at the query's own node. Each step joins the best nodes not yet expanded with the graph in both
 directions and keeps the ``BEAM`` nearest, until no query has anything left to expand. Distances in the search are
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import gc
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from wardflow.llm.common import mixed, staged
 
 K, WIDER = 32, 8  # neighbours a node keeps at least, and more for every doubling of the table beyond FEW nodes
 FEW = 16_384
-TREES, LEAF = 4, 1024
+TREES, MORE, LEAF = 4, 4, 1024  # trees at least, and more for every doubling of the table beyond FEW nodes; nodes of a leaf
 SAMPLE = 20_000  # nodes on which the borders of a tree, or of a part of it, are fitted at once
 SETTLED = 0.002  # share of changed edges at which the steps end
 GOAL, PROBES, SLOW = 0.9, 256, 0.05  # recall a graph must reach, nodes it is measured on, changed edges at which it is due
@@ -41,6 +42,7 @@ FILL = 8  # edges a node gets from each step's group while its longer list is fi
 BEAM = 128
 NODE_BLOCK = 1000  # nodes whose vectors are in a task at once during a search
 TOP = 10
+MERGED = 5000  # lists of the first graph that are merged at once, at least
 EDGES = "node long, nbr long, dist float, new boolean"
 
 
@@ -89,24 +91,6 @@ def _edges(a: list[np.ndarray], b: list[np.ndarray], d: list[np.ndarray]) -> pa.
     return pa.RecordBatch.from_arrays([*parts, pa.array(np.ones(n, bool))], names=["node", "nbr", "dist", "new"])
 
 
-def _in_groups(rows: DataFrame, key: str, of_group: Callable[[pa.RecordBatch], tuple]) -> DataFrame:
-    """Edges that ``of_group`` finds among the rows of each key; groups are small, a task handles many."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, d, n = [], [], [], 0
-        for group in _groups(batches):
-            x, y, z = of_group(group)
-            for out, values in ((a, x), (b, y), (d, z)):
-                out.append(values)
-            n += len(x)
-            if n > 100_000:
-                yield _edges(a, b, d)
-                a, b, d, n = [], [], [], 0
-        yield _edges(a, b, d)
-
-    return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, EDGES)
-
-
 def _nearest(edges: DataFrame, k: int) -> DataFrame:
     """The k nearest different neighbours of each node; an edge that was there before is not new."""
     once = edges.groupBy("node", "nbr").agg(F.min("dist").alias("dist"), F.min("new").alias("new"))
@@ -114,6 +98,11 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
     return once.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
 
 
+def _grown(least: int, more: int, n: int) -> int:
+    """A number that grows by ``more`` for every doubling of the table beyond FEW nodes."""
+    return least + round(more * max(0.0, math.log2(max(n, 1) / FEW)))
+
+
 # --- the first graph ---
 
 
@@ -198,7 +187,7 @@ def _leaves(nodes: DataFrame, n: int) -> DataFrame:
     rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vec").toArrow()
     sample = _matrix(rows["vec"].combine_chunks())
     depth = _depth(n, len(sample))
-    trees = [_planes(sample, depth, seed) for seed in range(TREES)]
+    trees = [_planes(sample, depth, seed) for seed in range(_grown(TREES, MORE, n))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,19 +211,50 @@ def _leaves(nodes: DataFrame, n: int) -> DataFrame:
 
 
 def _first_graph(placed: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each node among those it shares a leaf with. A leaf sends one list per node, not a row per edge."""
     rows = placed.select(F.xxhash64("tree", "leaf").alias("block"), "node", "vec")
 
-    def of_leaf(group: pa.RecordBatch) -> tuple:
-        ids, x = group.column(1).to_numpy(), _matrix(group.column(2))
-        if len(ids) < 2:
-            return ids[:0], ids[:0], np.zeros(0)
-        d = _distances(x)
-        np.fill_diagonal(d, np.inf)
-        m = min(k, len(ids) - 1)
-        near = np.argpartition(d, m - 1, axis=1)[:, :m]
-        return np.repeat(ids, m), ids[near].ravel(), np.take_along_axis(d, near, 1).ravel()
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            ids, x = group.column(1).to_numpy(), _matrix(group.column(2))
+            if len(ids) < 2:
+                continue
+            d = _distances(x)
+            np.fill_diagonal(d, np.inf)
+            m = min(k, len(ids) - 1)
+            near = np.argpartition(d, m - 1, axis=1)[:, :m]
+            ends = pa.array(np.arange(0, len(ids) * m + 1, m, dtype=np.int32))
+            dists = np.take_along_axis(d, near, 1).astype(np.float32).ravel()
+            columns = [pa.array(ids), pa.ListArray.from_arrays(ends, pa.array(ids[near].ravel())), pa.ListArray.from_arrays(ends, pa.array(dists))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "nbrs", "dists"])
+
+    def nearest_of(whole: pa.RecordBatch) -> pa.RecordBatch:
+        a = np.repeat(whole.column(0).to_numpy(), whole.column(1).value_lengths().to_numpy())
+        b, d = whole.column(1).flatten().to_numpy(), whole.column(2).flatten().to_numpy()
+        order = np.lexsort((d, b, a))
+        a, b, d = a[order], b[order], d[order]
+        once = np.ones(len(a), bool)
+        once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        a, b, d = a[once], b[once], d[once]
+        order = np.lexsort((b, d, a))
+        order = order[np.arange(len(a)) - np.searchsorted(a, a) < k]  # a is sorted before and after
+        return _edges([a[order]], [b[order]], [d[order]])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(w.num_rows for w in waiting) >= MERGED:
+                whole = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+                ids = whole.column(0).to_numpy()
+                cut = int(np.searchsorted(ids, ids[-1]))  # more lists of the last node may follow
+                yield nearest_of(whole.slice(0, cut))
+                waiting = [whole.slice(cut)]
+        if sum(w.num_rows for w in waiting):
+            yield nearest_of(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
 
-    return staged(_nearest(_in_groups(rows, "block", of_leaf), k), "graph")
+    found = rows.repartition("block").sortWithinPartitions("block").mapInArrow(lists, "node long, nbrs array<long>, dists array<float>")
+    return staged(found.repartition("node").sortWithinPartitions("node").mapInArrow(merged, EDGES), "graph")
 
 
 # --- NN-descent ---
@@ -340,7 +360,7 @@ def build_graph(nodes: DataFrame) -> DataFrame:
     of the probes, lists become longer and the steps go on, at the most until every node has all others.
     """
     n = nodes.count()
-    k = max(1, min(n - 1, K + round(WIDER * max(0.0, math.log2(max(n, 1) / FEW)))))
+    k = max(1, min(n - 1, _grown(K, WIDER, n)))
     placed = _leaves(nodes, n)
     home = staged(placed.where("tree = 0").select(F.col("node").alias("u"), F.col("leaf").alias("block")), "home")
     graph, exact = _first_graph(placed, k), _exact_lists(nodes, TOP)
