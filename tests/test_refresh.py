@@ -429,6 +429,19 @@ def test_lookups_read_only_cells_that_hold_their_keys(spark, root):
     assert_equals_full(store)
 
 
+def test_many_keys_are_not_broadcast(spark, root):
+    """A million keys are a few MB of files, which a broadcast table of them takes more than ten times."""
+    from pyspark.sql import functions as F
+
+    store = GraphRefresher(spark, clinical_graph(), root, n_buckets=4)
+    store.land("raw.lab_results", labs(spark), "day-1")
+    held = {(r.bucket, r.slice) for r in spark.read.parquet(f"{root}/raw/lab_results").collect()}
+    for ids, broadcast in ((spark.range(1_000_000), False), (spark.range(200_000, 210_000), True)):
+        found = store._cells_of_keys("raw.lab_keys", ids.select(F.concat(F.lit("E"), "id").alias("key")), "keys", None)
+        assert {(r.bucket, r.slice) for r in found.collect()} == held
+        assert ("BroadcastHashJoin [encounter_id" in found._jdf.queryExecution().executedPlan().toString()) == broadcast
+
+
 def test_only_names_known_tables(spark, root):
     store = GraphRefresher(spark, clinical_graph(), root, n_buckets=1)
     with pytest.raises(ValueError, match="unknown tables"):

@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 
 # Settings every job of the package relies on. Joins carry no broadcast hints: Spark broadcasts a side only when its
 # size is under the threshold (again checked at run time), shuffles it otherwise, and splits skewed partitions.
+# Sizes are estimated from files, where a row takes an eighth or less of its bytes in memory (and a row of a broadcast
+# table four times those), so files count eight times. The threshold leaves room for several broadcasts at once in a
+# driver of half a GB.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,7 +21,8 @@ SETTINGS = {
     # Split a skewed join side even when a later aggregate then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.sources.fileCompressionFactor": "8.0",
     # Aggregates that build a set per key stay hash based for many keys per task before they fall back to sorting.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.parquet.filterPushdown": "true",
