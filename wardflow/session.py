@@ -21,7 +21,7 @@ SETTINGS = {
     # Split a skewed join side even when a later aggregate then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
     "spark.sql.sources.fileCompressionFactor": "8.0",
     # Aggregates that build a set per key stay hash based for many keys per task before they fall back to sorting.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
