@@ -11,8 +11,8 @@ from pyspark.sql import SparkSession
 # Settings every job of the package relies on. Joins carry no broadcast hints: Spark broadcasts a side only when its
 # size is under the threshold (again checked at run time), shuffles it otherwise, and splits skewed partitions.
 # Sizes are estimated from files, where a row takes an eighth or less of its bytes in memory (and a row of a broadcast
-# table four times those), so files count eight times. The threshold leaves room for several broadcasts at once in a
-# driver of half a GB.
+# table several times those), so files count eight times. The threshold leaves room for several broadcasts at once in a
+# driver of 750 MB.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
